@@ -54,16 +54,23 @@ def with_row_index(df: DataFrame, span_micros: int, key: str = "symbol",
 
 
 def blocks_with_halo(seq: DataFrame, block_rows: int, halo: int) -> DataFrame:
-    """Assign ``_blk`` and append halo copies of each block's last rows."""
+    """Assign ``_blk`` and add halo copies of each block's last rows.
+
+    The copies are generated in the same pipeline (``explode`` of one or two
+    targets per row), so the input plan is computed once and shuffled once.
+    """
     if halo >= block_rows:
         raise ValueError("halo must be shorter than a block")
-    own = seq.withColumn(BLK, F.floor(F.col(T) / block_rows)).withColumn(OWN, F.lit(True))
+    blk = F.floor(F.col(T) / block_rows)
     if halo <= 0:
-        return own
-    copies = (seq.where(F.pmod(F.col(T), F.lit(block_rows)) >= block_rows - halo)
-                 .withColumn(BLK, F.floor(F.col(T) / block_rows) + 1)
-                 .withColumn(OWN, F.lit(False)))
-    return own.unionByName(copies)
+        return seq.withColumn(BLK, blk).withColumn(OWN, F.lit(True))
+    own = F.struct(blk.alias("b"), F.lit(True).alias("o"))
+    copy = F.struct((blk + 1).alias("b"), F.lit(False).alias("o"))
+    in_tail = F.pmod(F.col(T), F.lit(block_rows)) >= block_rows - halo
+    targets = F.when(in_tail, F.array(own, copy)).otherwise(F.array(own))
+    return (seq.withColumn("_tgt", F.explode(targets))
+               .withColumn(BLK, F.col("_tgt.b")).withColumn(OWN, F.col("_tgt.o"))
+               .drop("_tgt"))
 
 
 def in_block(key: str = "symbol") -> Window:
