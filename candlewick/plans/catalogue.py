@@ -8,6 +8,7 @@ same names on both sides.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 from typing import Callable
 
@@ -31,6 +32,8 @@ from candlewick.sources.klines import decode_kline_payload, pack_kline_payload
 from candlewick.sources.tables import table
 from candlewick.sources.ticks import event_ticks, order_ticks
 from candlewick.sinks.messages import kafka_frame, to_json_messages
+from candlewick.streaming.candles import landed_glob
+from candlewick.streaming.jobs import run_candle_stream, stream_pipeline
 
 # Rows per block for the catalogue.  The long daily series (orders, ~2,400
 # rows per symbol) spans three blocks, so the sf0.01 check runs every
@@ -287,6 +290,34 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _events_path(sf):
+    return os.path.join(sf, "events.parquet")
+
+
+def _stream_candles(spark, sf):
+    return spark.read.parquet(landed_glob(run_candle_stream(spark, _events_path(sf), "1 day")))
+
+
+def _stream_signals(spark, sf):
+    return stream_pipeline(spark, _events_path(sf), "4 hours")
+
+
+def _closed(candles_sql, interval):
+    """Windows the watermark has closed at end of input (delay 0)."""
+    return (f"SELECT * FROM ({candles_sql}) WHERE datetime + INTERVAL '{interval}' <= "
+            f"(SELECT date_trunc('millisecond', max(ts)) FROM ({Q.EVENT_TICKS}))")
+
+
+C4H_CLOSED = _closed(C4H, "4 hours")
+
+QUERIES.update({
+    "stream_candles": Query(_stream_candles, CANDLE_COLS, CANDLE_DBL, _closed(C1D, "1 day"), "STR1 STR4"),
+    "stream_rsi": Query(_stream_signals, S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(C4H_CLOSED), "STR2 STR4"),
+    "stream_lifecycle": Query(_stream_signals, LIFE_COLS, LIFE_DBL,
+                              Q.lifecycle_final(Q.flags(Q.rsi_full(C4H_CLOSED))), "STR3 STR4"),
+})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.spark for name, q in QUERIES.items()}
 
