@@ -290,6 +290,18 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _csv_warmup(spark, sf):
+    """SRC7: daily candles landed as CSV (one folder per symbol), read back
+    with the notebook's explicit schema, then the warm-up RSI (CMP3)."""
+    from candlewick.streaming.jobs import run_folder
+    from candlewick.sources.klines import read_csv_candles
+    path = run_folder(spark, "csv")
+    (_daily_orders(spark, sf).select("symbol", *[f.name for f in S.CSV_CANDLE_SCHEMA.fields])
+     .write.partitionBy("symbol").option("header", True).csv(path))
+    c = read_csv_candles(spark, path).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+    return rsi_warmup(c, "1 day", block_rows=BLOCK)
+
+
 def _events_path(sf):
     return os.path.join(sf, "events.parquet")
 
@@ -310,7 +322,16 @@ def _closed(candles_sql, interval):
 
 C4H_CLOSED = _closed(C4H, "4 hours")
 
+WARM_SQL = ("SELECT datetime, symbol, close, AU, AD, CASE WHEN AU IS NULL OR AD IS NULL THEN NULL "
+            "WHEN AD = 0 THEN CASE WHEN AU > 0 THEN 100.0 END ELSE 100.0 - 100.0 / (1.0 + AU / AD) END AS RSI "
+            f"FROM (SELECT *, CASE WHEN t >= {S.WARMUP_PERIODS} THEN up_ewma / (1.0 - pow({Q.KEEP}, t)) END AS AU, "
+            f"CASE WHEN t >= {S.WARMUP_PERIODS} THEN down_ewma / (1.0 - pow({Q.KEEP}, t)) END AS AD "
+            "FROM ({src}))")
+
 QUERIES.update({
+    "csv_rsi_warmup": Query(_csv_warmup, ["datetime", "symbol", "close", "AU", "AD", "RSI"],
+                            {"close", "AU", "AD", "RSI"}, WARM_SQL.replace("{src}", Q.rsi_full(O1D)),
+                            "SRC7 CMP3"),
     "stream_candles": Query(_stream_candles, CANDLE_COLS, CANDLE_DBL, _closed(C1D, "1 day"), "STR1 STR4"),
     "stream_rsi": Query(_stream_signals, S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(C4H_CLOSED), "STR2 STR4"),
     "stream_lifecycle": Query(_stream_signals, LIFE_COLS, LIFE_DBL,

@@ -1,0 +1,49 @@
+"""End-to-end pipelines (PIPE1 daily tick, PIPE2 backfill).
+
+PIPE2: ticks -> candles -> klines table -> RSI history -> klines_rsi table.
+PIPE1: the daily chain collect -> RSI -> detect -> check as one plan; the
+state after the newest tick of every symbol is its ``task_state`` and live
+signal.  The streaming form of PIPE1 is ``streaming.jobs.stream_pipeline``.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from candlewick import schema as S
+from candlewick.operators.divergence import divergence_flags
+from candlewick.operators.ewma import block_plan
+from candlewick.operators.lifecycle import lifecycle
+from candlewick.operators.resample import candles_from_ticks
+from candlewick.operators.rsi import rsi_frame
+from candlewick.operators.sequence import DEFAULT_BLOCK_ROWS
+from candlewick.operators.topn import newest
+from candlewick.session import materialize
+from candlewick.sinks.tables import overwrite_table
+
+
+def backfill(spark: SparkSession, ticks: DataFrame, out_dir: str, interval: str = "1 day",
+             block_rows: int = DEFAULT_BLOCK_ROWS) -> dict[str, str]:
+    """PIPE2: writes ``klines`` and ``klines_rsi`` (partitioned by symbol)."""
+    klines_path = os.path.join(out_dir, "klines")
+    rsi_path = os.path.join(out_dir, "klines_rsi")
+    overwrite_table(candles_from_ticks(ticks, interval), klines_path)
+    klines = spark.read.parquet(klines_path)
+    overwrite_table(rsi_frame(klines, interval, block_rows=block_rows).select(*S.RSI_COLUMNS), rsi_path)
+    return {"klines": klines_path, "klines_rsi": rsi_path}
+
+
+def signal_states(candles: DataFrame, interval: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Every tick's RSI, divergence flags and lifecycle state."""
+    r = materialize(rsi_frame(candles, interval, block_rows=block_rows))
+    f = materialize(divergence_flags(r, block_plan(S.COM, block_rows)[0]))
+    return lifecycle(f).join(r.select("symbol", "datetime", "rsi"), ["symbol", "datetime"])
+
+
+def daily(candles: DataFrame, interval: str = "1 day", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """PIPE1: per symbol, the newest tick with its RSI, flags and signal state."""
+    s = newest(signal_states(candles, interval, block_rows))
+    return s.withColumn("state", F.col("live_after").cast("bigint"))
