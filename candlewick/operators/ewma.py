@@ -190,3 +190,12 @@ def exact_fold(rows: DataFrame, xcols: list[str], ecols: list[str], com: float,
 
     return (rows.groupBy(key, BLK).cogroup(halo.groupBy(key, BLK))
                 .applyInPandas(replay, schema))
+
+
+def ewma_running_list(df: DataFrame, col: str, com: float, out: str, key: str = "symbol",
+                      order: str = "datetime") -> DataFrame:
+    """WIN2 + UDF1 in their literal form: fold over ``collect_list`` of a
+    running frame.  O(n^2) per symbol and one task per symbol: kept as the
+    executable definition for tests, never used by the catalogue."""
+    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(out, ewma_fold_expr(F.collect_list(F.col(col)).over(w), com))

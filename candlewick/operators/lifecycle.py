@@ -21,6 +21,7 @@ blocked prefix scans (bounded in-block windows + per-block carries).
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,7 +106,7 @@ def lifecycle(flags: DataFrame, key: str = "symbol") -> DataFrame:
     prev_us = F.when(first, F.col("_edge_us")).otherwise(F.lag("_us").over(w))
     prev_lf = F.when(first, F.col("_carry_lf")).otherwise(F.lag("_lf").over(w))
     covered = F.coalesce(prev_lf > prev_us - reach, F.lit(False))
-    f = f.withColumn("_covered", covered)
+    f = f.withColumn("_covered", covered).persist(StorageLevel.MEMORY_AND_DISK)
     # a tick not covered by a flag of the previous two days starts idle; it
     # opens a segment named by its row index.  Each row's segment is the
     # newest opening at or before it: in-block running max + block carry.

@@ -32,3 +32,8 @@ def publish_kafka(df: DataFrame, bootstrap_servers: str, topic: str = TOPIC, key
     except Exception as exc:  # connector jar missing or broker unreachable
         raise RuntimeError(f"Kafka publish failed ({exc.__class__.__name__}); "
                            "is spark-sql-kafka on the classpath?") from exc
+
+
+def console(df: DataFrame, n: int = 20) -> None:
+    """SNK6: debugging display only; never part of a pipeline."""
+    df.show(n, truncate=False)

@@ -51,10 +51,17 @@ def event_tick_stream(spark: SparkSession, path: str, max_files: int | None = No
                       F.lit(1.0).alias("qty")))
 
 
-def stream_candles(ticks: DataFrame, interval: str, delay: str = "0 seconds") -> DataFrame:
-    """STR1: closed candles only; same columns and rules as the batch resampler."""
-    t = (ticks.withWatermark("ts", delay)
-              .select("symbol", "price", "qty", F.window("ts", interval).alias("w"),
+def stream_candles(ticks: DataFrame, interval: str, delay: str = "0 seconds",
+                   dedupe: bool = True) -> DataFrame:
+    """STR1: closed candles only; same columns and rules as the batch resampler.
+
+    With ``dedupe`` a tick re-delivered by an at-least-once source (same
+    symbol and seq) is counted once (``dropDuplicatesWithinWatermark``).
+    """
+    t = ticks.withWatermark("ts", delay)
+    if dedupe:
+        t = t.dropDuplicatesWithinWatermark(["symbol", "seq"])
+    t = (t.select("symbol", "price", "qty", F.window("ts", interval).alias("w"),
                       ordering_key("ts", "seq").alias("_ord")))
     c = (t.groupBy("symbol", "w")
           .agg(F.min_by("price", "_ord").alias("open"), F.max("price").alias("high"),

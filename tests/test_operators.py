@@ -166,3 +166,12 @@ def test_json_roundtrip(spark, candles_1h):
     cols = ["symbol", "datetime", "open", "high", "low", "close", "volume", "NumTrades"]
     assert back.select(cols).exceptAll(candles_1h.select(cols)).count() == 0
     assert back.count() == candles_1h.count()
+
+
+def test_running_list_form_equals_blocked(spark, candles_1h):
+    from candlewick.operators.ewma import ewma_running_list
+    a = ewma_running_list(candles_1h, "close", 13, "e").select("symbol", "datetime", "e").toPandas()
+    b = ewma(candles_1h, "close", 13, "e", 3_600_000_000, block_rows=16).select(
+        "symbol", "datetime", "e").toPandas()
+    m = a.merge(b, on=["symbol", "datetime"])
+    assert len(m) == len(a) and (m.e_x - m.e_y).abs().max() < 1e-9
