@@ -53,6 +53,8 @@ class Query:
     ids: str = ""
 
     def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        # wall-clock arithmetic (KST shift, epoch ms, elapsed days) assumes UTC
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         df = self.build(spark, sf_dir)
         return df.select(*[F.round(F.col(c), 6).alias(c) if c in self.doubles else F.col(c)
                            for c in self.cols])
