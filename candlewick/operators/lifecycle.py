@@ -7,36 +7,39 @@ one opened on this tick) the conversion check runs:
 bullish and ``pct <= -4.3`` for a bearish signal; then the signal expires
 once ``floor(elapsed days) >= 2``.  Conversion does not close the signal.
 
-The replay is an ordered fold, but its dependence is short: a signal opened
-at ``f`` can only be live on ticks up to the first tick at or after
-``f + 2 days``.  A tick whose predecessor has no flagged tick in the
-preceding two days therefore starts idle whatever came before.  These
-restart ticks cut every symbol into independent segments; the fold runs per
-``(symbol, segment)`` with ``applyInPandas`` and only over ticks that can be
-non-idle (flagged or within reach of a flag).  All other ticks are idle and
-bypass Python.  The "last flag at or before" and segment counters are
-blocked prefix scans (bounded in-block windows + per-block carries).
+The replay is an ordered fold per symbol.  It runs over blocks of ``R``
+consecutive ticks (``_lb = _t div R``) with ``R`` ticks spanning at least two
+days, so a signal live at a block's start opened in the previous block's
+last two days (at most ``M`` rows, the halo).  Three passes:
+
+1. per block (bounded): the block's transfer map -- for the idle entry and
+   for every halo flag that could still be live, the state at the block's
+   end.  A backward pass gives, for every tick, the end state when idle
+   there; a signal opened at ``g`` jumps to the tick after its expiry.
+2. per symbol over the map table (one small row per block and entry, ``R``
+   times fewer than ticks): compose the maps in block order -> the true
+   entry state of every block.
+3. per block (bounded): replay the ticks from that entry state.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-from pyspark import StorageLevel
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
 from candlewick import schema as S
-from candlewick.functions.indicators import pct_change
+from candlewick.functions.indicators import interval_micros, pct_change
 from candlewick.functions.timefn import MICROS_PER_DAY, elapsed_days, micros
-from candlewick.operators.divergence import signal_code
-from candlewick.operators.sequence import BLK, T, in_block
+from candlewick.operators.sequence import T
 
-_OUT_FIELDS = [
-    ("kind", T_.IntegerType()), ("signal_datetime", T_.TimestampNTZType()),
-    ("signal_close", T_.DoubleType()), ("live_after", T_.BooleanType()),
-]
+LB = "_lb"
+IDLE = -1
+_EXPIRY_US = S.EXPIRY_DAYS * MICROS_PER_DAY
 
 
 def converted(pct: Column, kind: Column, threshold: float = S.CONVERT_PCT,
@@ -49,88 +52,151 @@ def converted(pct: Column, kind: Column, threshold: float = S.CONVERT_PCT,
             | ((p <= F.lit(-threshold)) & (kind == F.lit(S.BEARISH))))
 
 
-def _fold(pdf: pd.DataFrame) -> pd.DataFrame:
+def _block_arrays(pdf: pd.DataFrame):
     pdf = pdf.sort_values(T, kind="stable")
-    n = len(pdf)
-    kind = np.full(n, -1, dtype=np.int64)
-    s_dt = np.empty(n, dtype="datetime64[us]")
-    s_close = np.full(n, np.nan)
+    ts = pdf[T].to_numpy(dtype=np.int64)
+    us = pdf["_us"].to_numpy(dtype=np.int64)
+    kind = np.where(pdf["bear"].to_numpy(dtype=bool), S.BEARISH,
+                    np.where(pdf["bull"].to_numpy(dtype=bool), S.BULLISH, 0))
+    return pdf, ts, us, kind
+
+
+def _end_state_from_idle(ts, us, kind):
+    """exit[x]: state at block end when idle before tick x (exit[n] = idle)."""
+    n = len(ts)
+    expiry = np.searchsorted(us, us + _EXPIRY_US, side="left")  # first tick >= open + 2 days
+    out = np.full(n + 1, IDLE, dtype=np.int64)
+    for x in range(n - 1, -1, -1):
+        if kind[x]:
+            e = expiry[x]
+            out[x] = ts[x] if e >= n else out[e + 1]
+        else:
+            out[x] = out[x + 1]
+    return out
+
+
+def _transfer_map(own: pd.DataFrame, halo: pd.DataFrame) -> pd.DataFrame:
+    if own.empty:  # halo sent past a symbol's last block
+        return pd.DataFrame({"symbol": pd.Series([], dtype=object), LB: pd.Series([], dtype="int64"),
+                             "entry": pd.Series([], dtype="int64"), "exit": pd.Series([], dtype="int64")})
+    own, ts, us, kind = _block_arrays(own)
+    key = own.iloc[0]
+    end = _end_state_from_idle(ts, us, kind)
+    entries, exits = [IDLE], [end[0]]
+    if len(halo):
+        halo, hts, hus, hkind = _block_arrays(halo)
+        last_us = hus[-1]                                  # last tick of the previous block
+        for s_t, s_us, k in zip(hts, hus, hkind):
+            if k and s_us + _EXPIRY_US > last_us:          # still live entering this block
+                e = int(np.searchsorted(us, s_us + _EXPIRY_US, side="left"))
+                entries.append(int(s_t))
+                exits.append(int(s_t) if e >= len(ts) else int(end[e + 1]))
+    return pd.DataFrame({"symbol": key["symbol"], LB: key[LB], "entry": entries, "exit": exits})
+
+
+def _compose(maps: pd.DataFrame) -> pd.DataFrame:
+    maps = maps.sort_values(LB, kind="stable")
+    state, blocks, states = IDLE, [], []
+    for lb, grp in maps.groupby(LB, sort=True):
+        blocks.append(lb)
+        states.append(state)
+        nxt = dict(zip(grp["entry"].to_numpy(), grp["exit"].to_numpy()))
+        state = int(nxt.get(state, nxt[IDLE]))
+    return pd.DataFrame({"symbol": maps["symbol"].iloc[0], LB: blocks, "entry": states})
+
+
+def _replay(own: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+    if own.empty:
+        return _empty_out()
+    own, ts, us, kind = _block_arrays(own)
+    closes = own["close"].to_numpy(dtype=float)
+    n = len(ts)
+    out_kind = np.zeros(n, dtype=np.int32)
+    s_us_out = np.full(n, np.iinfo(np.int64).min, dtype=np.int64)
+    s_close_out = np.full(n, np.nan)
     live_after = np.zeros(n, dtype=bool)
-    live, k, sd, sc = False, -1, None, np.nan
-    dts = pdf["datetime"].to_numpy(dtype="datetime64[us]")
-    closes = pdf["close"].to_numpy(dtype=float)
-    bulls = pdf["bull"].to_numpy(dtype=bool)
-    bears = pdf["bear"].to_numpy(dtype=bool)
-    day = np.timedelta64(MICROS_PER_DAY, "us")
+    live, k, s_us, s_close = False, 0, 0, np.nan
+    if len(entry):
+        e = entry.iloc[0]
+        live, k, s_us, s_close = True, int(e["s_kind"]), int(e["s_us"]), float(e["s_close"])
     for i in range(n):
-        if not live and (bulls[i] or bears[i]):
-            live, k, sd, sc = True, (S.BEARISH if bears[i] else S.BULLISH), dts[i], closes[i]
+        if not live and kind[i]:
+            live, k, s_us, s_close = True, int(kind[i]), int(us[i]), closes[i]
         if live:
-            kind[i], s_dt[i], s_close[i] = k, sd, sc
-            if (dts[i] - sd) // day >= S.EXPIRY_DAYS:
+            out_kind[i], s_us_out[i], s_close_out[i] = k, s_us, s_close
+            if us[i] - s_us >= _EXPIRY_US:
                 live = False
-        else:
-            s_dt[i] = np.datetime64("NaT")
         live_after[i] = live
-    out = pd.DataFrame({
-        "symbol": pdf["symbol"].to_numpy(), T: pdf[T].to_numpy(),
-        "kind": pd.array(np.where(kind < 0, None, kind), dtype="Int32"),
-        "signal_datetime": s_dt, "signal_close": s_close, "live_after": live_after})
-    return out
+    sig = pd.to_datetime(np.where(out_kind > 0, s_us_out, 0), unit="us")
+    return pd.DataFrame({
+        "datetime": own["datetime"].to_numpy(), "symbol": own["symbol"].to_numpy(),
+        "close": closes, "bull": own["bull"].to_numpy(dtype=bool), "bear": own["bear"].to_numpy(dtype=bool),
+        T: ts, "kind": out_kind,
+        "signal_datetime": sig.where(out_kind > 0), "signal_close": np.where(out_kind > 0, s_close_out, np.nan),
+        "live_after": live_after})
+
+
+def _empty_out() -> pd.DataFrame:
+    dtypes = {"datetime": "datetime64[us]", "symbol": object, "close": "float64", "bull": bool,
+              "bear": bool, T: "int64", "kind": "int32", "signal_datetime": "datetime64[us]",
+              "signal_close": "float64", "live_after": bool}
+    return pd.DataFrame({c: pd.Series([], dtype=d) for c, d in dtypes.items()})
+
+
+_MAP_SCHEMA = "symbol string, _lb long, entry long, exit long"
+_ENTRY_SCHEMA = "symbol string, _lb long, entry long"
+_OUT_SCHEMA = T_.StructType([
+    T_.StructField("datetime", T_.TimestampNTZType()), T_.StructField("symbol", T_.StringType()),
+    T_.StructField("close", T_.DoubleType()), T_.StructField("bull", T_.BooleanType()),
+    T_.StructField("bear", T_.BooleanType()), T_.StructField(T, T_.LongType()),
+    T_.StructField("kind", T_.IntegerType()), T_.StructField("signal_datetime", T_.TimestampNTZType()),
+    T_.StructField("signal_close", T_.DoubleType()), T_.StructField("live_after", T_.BooleanType())])
+
+
+def lifecycle_block_rows(interval: str, block_rows: int = 2048) -> tuple[int, int]:
+    """(R, M): block rows spanning at least two days, and the halo size."""
+    halo = int(math.ceil(_EXPIRY_US / interval_micros(interval))) + 1
+    return max(block_rows, halo + 1), halo
 
 
-def lifecycle(flags: DataFrame, key: str = "symbol") -> DataFrame:
-    """LIFE1 over a flag frame (datetime, symbol, close, bull, bear, _t, _blk).
+def lifecycle(flags: DataFrame, interval: str, key: str = "symbol",
+              block_rows: int = 2048) -> DataFrame:
+    """LIFE1 over a flag frame (datetime, symbol, close, bull, bear, _t).
 
-    Output per tick: datetime, symbol, close, bull, bear, kind (0 = no live
-    signal), signal_datetime, signal_close, pct, converted, age_days,
-    live_after.  ``flags`` should be materialised (it is read twice).
+    ``interval`` is the candle spacing; ticks are unique per (symbol,
+    datetime) and at least one interval apart.  Output per tick: datetime,
+    symbol, close, bull, bear, kind (0 = no live signal), signal_datetime,
+    signal_close, pct, converted, age_days, live_after.
     """
-    w = in_block(key)
-    reach = F.lit(S.EXPIRY_DAYS * MICROS_PER_DAY)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    f = (flags.select("datetime", key, "close", "bull", "bear", T, BLK)
-              .withColumn("_us", micros("datetime"))
-              .withColumn("_flag_us", F.when(F.col("bull") | F.col("bear"), F.col("_us"))))
-    # block table: newest flag and last tick per block; carries from earlier blocks
-    blocks = f.groupBy(key, BLK).agg(F.max("_flag_us").alias("_bflag"), F.max("_us").alias("_blast"))
-    before = Window.partitionBy(key).orderBy(BLK)
-    carry = blocks.select(
-        key, BLK,
-        F.max("_bflag").over(before.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_lf"),
-        F.lag("_blast").over(before).alias("_edge_us"))
-    f = f.join(carry, [key, BLK], "left")
-    # last flagged time at or before each tick, and the same for its predecessor
-    f = f.withColumn("_lf", F.greatest(F.max("_flag_us").over(upto), F.col("_carry_lf")))
-    first = F.lag("_us").over(w).isNull()
-    prev_us = F.when(first, F.col("_edge_us")).otherwise(F.lag("_us").over(w))
-    prev_lf = F.when(first, F.col("_carry_lf")).otherwise(F.lag("_lf").over(w))
-    covered = F.coalesce(prev_lf > prev_us - reach, F.lit(False))
-    f = f.withColumn("_covered", covered).persist(StorageLevel.MEMORY_AND_DISK)
-    # a tick not covered by a flag of the previous two days starts idle; it
-    # opens a segment named by its row index.  Each row's segment is the
-    # newest opening at or before it: in-block running max + block carry.
-    f = f.withColumn("_open", F.when(~F.col("_covered"), F.col(T)))
-    opens = f.groupBy(key, BLK).agg(F.max("_open").alias("_bopen"))
-    ocarry = opens.select(key, BLK, F.max("_bopen").over(
-        before.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_open"))
-    f = f.join(ocarry, [key, BLK], "left")
-    f = f.withColumn("_seg", F.greatest(F.max("_open").over(upto), F.col("_carry_open")))
-    active = (f.where(F.col("_covered") | F.col("bull") | F.col("bear"))
-               .select(key, T, "_seg", "datetime", "close", "bull", "bear"))
-    schema = T_.StructType([T_.StructField(key, T_.StringType()), T_.StructField(T, T_.LongType())]
-                           + [T_.StructField(n, t) for n, t in _OUT_FIELDS])
-    folded = active.groupBy(key, "_seg").applyInPandas(_fold, schema)
-    res = f.select("datetime", key, "close", "bull", "bear", T, BLK).join(folded, [key, T], "left")
-    kind = F.coalesce(F.col("kind"), F.lit(0)).cast("int")
+    if key != "symbol":
+        flags = flags.withColumnRenamed(key, "symbol")
+    rows_r, halo_n = lifecycle_block_rows(interval, block_rows)
+    rows = (flags.select("symbol", T, "datetime", "close", "bull", "bear")
+                 .withColumn(LB, F.floor(F.col(T) / rows_r))
+                 .withColumn("_us", micros("datetime")))
+    halo = (rows.where(F.col(T) >= (F.col(LB) + 1) * rows_r - halo_n)
+                .select(*[F.col(c).alias(c) for c in ("symbol", T, "datetime", "close", "bull", "bear", "_us")],
+                        (F.col(LB) + 1).alias(LB)))
+    maps = (rows.groupBy("symbol", LB).cogroup(halo.groupBy("symbol", LB))
+                .applyInPandas(_transfer_map, _MAP_SCHEMA))
+    entries = maps.groupBy("symbol").applyInPandas(_compose, _ENTRY_SCHEMA)
+    live_in = (entries.where(F.col("entry") != IDLE)
+                      .join(halo.select("symbol", LB, F.col(T).alias("entry"), F.col("_us").alias("s_us"),
+                                        F.col("close").alias("s_close"),
+                                        F.when(F.col("bear"), S.BEARISH).otherwise(S.BULLISH).alias("s_kind")),
+                            ["symbol", LB, "entry"]))
+    folded = (rows.groupBy("symbol", LB).cogroup(live_in.groupBy("symbol", LB))
+                  .applyInPandas(_replay, _OUT_SCHEMA))
+    res = folded
+    kind = F.col("kind")
     live = kind > 0
     pct = F.when(live, pct_change("close", "signal_close"))
     age = F.when(live, elapsed_days("datetime", "signal_datetime"))
-    return res.select(
-        "datetime", key, "close", "bull", "bear", kind.alias("kind"), "signal_datetime",
+    out = res.select(
+        "datetime", "symbol", "close", "bull", "bear", kind.alias("kind"), "signal_datetime",
         "signal_close", pct.alias("pct"), F.when(live, converted(pct, kind)).alias("converted"),
-        age.alias("age_days"), F.coalesce(F.col("live_after"), F.lit(False)).alias("live_after"),
-        T, BLK)
+        age.alias("age_days"), "live_after", T)
+    return out.withColumnRenamed("symbol", key) if key != "symbol" else out
 
 
 def conversion_check(candles_latest: DataFrame, live_signal: DataFrame,

@@ -91,7 +91,7 @@ def _flags(spark, sf, interval="4 hours", block=BLOCK, src=None, keep=False):
 
 
 def _life(spark, sf, interval="4 hours", block=BLOCK, src=None):
-    return lc.lifecycle(_flags(spark, sf, interval, block, src, keep=True))
+    return lc.lifecycle(_flags(spark, sf, interval, block, src, keep=True), interval, block_rows=block)
 
 
 C1H = Q.candles(Q.EVENT_TICKS, "1 hour")

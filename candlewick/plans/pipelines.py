@@ -40,7 +40,7 @@ def signal_states(candles: DataFrame, interval: str, block_rows: int = DEFAULT_B
     """Every tick's RSI, divergence flags and lifecycle state."""
     r = materialize(rsi_frame(candles, interval, block_rows=block_rows))
     f = materialize(divergence_flags(r, block_plan(S.COM, block_rows)[0]))
-    return lifecycle(f).join(r.select("symbol", "datetime", "rsi"), ["symbol", "datetime"])
+    return lifecycle(f, interval, block_rows=block_rows).join(r.select("symbol", "datetime", "rsi"), ["symbol", "datetime"])
 
 
 def daily(candles: DataFrame, interval: str = "1 day", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:

@@ -94,10 +94,11 @@ LIFE = [  # datetime, close, bull, bear -> kind, pct, converted, age, live_after
 
 @pytest.mark.parametrize("block_rows", [2048, 2, 3])
 def test_lifecycle_golden(spark, block_rows):
+    # daily ticks: blocks must span two days, so 2 and 3 become 4-row blocks (two blocks here)
     data = [("X", d, i, i // block_rows, c, bool(b), bool(br)) for i, (d, c, b, br, *_) in enumerate(LIFE)]
     flags = spark.createDataFrame(data, f"symbol string, datetime timestamp_ntz, {T} long, {BLK} long, "
                                         "close double, bull boolean, bear boolean")
-    got = lc.lifecycle(flags).orderBy(T).collect()
+    got = lc.lifecycle(flags, "1 day", block_rows=block_rows).orderBy(T).collect()
     for r, (_, _, _, _, kind, pct, conv, age, live) in zip(got, LIFE):
         assert r.kind == kind
         assert (r.pct is None) == (pct is None)

@@ -118,7 +118,7 @@ def test_flags_and_lifecycle_match_brute(spark, block_rows):
     rows = rsi_frame(c, "4 hours", block_rows=block_rows)
     from candlewick.operators.ewma import block_plan
     f = dv.divergence_flags(rows, block_plan(13, block_rows)[0]).cache()
-    life = lc.lifecycle(f).toPandas()
+    life = lc.lifecycle(f, "4 hours", block_rows=block_rows).toPandas()
     pdf = f.select("symbol", "datetime", "close", "low", "high", "rsi", "bull", "bear").toPandas()
     for sym, g in pdf.sort_values(["symbol", "datetime"]).groupby("symbol"):
         rs = [None if (r is None or (isinstance(r, float) and math.isnan(r))) else r for r in g["rsi"]]
@@ -175,3 +175,23 @@ def test_running_list_form_equals_blocked(spark, candles_1h):
         "symbol", "datetime", "e").toPandas()
     m = a.merge(b, on=["symbol", "datetime"])
     assert len(m) == len(a) and (m.e_x - m.e_y).abs().max() < 1e-9
+
+
+@pytest.mark.parametrize("density", [2, 3, 7])
+def test_lifecycle_dense_flags_many_blocks(spark, density):
+    """Flags on most ticks keep signals chained across every block edge: the
+    block transfer maps must compose exactly like the sequential replay."""
+    c = candles_from_ticks(event_ticks(spark, SF001), "1 hour")
+    seq = with_row_index(c, 3_600_000_000 * 64)
+    f = (seq.withColumn("bull", (F.pmod(F.xxhash64("datetime", "symbol"), F.lit(density)) != 0))
+            .withColumn("bear", (F.pmod(F.xxhash64("symbol", "datetime"), F.lit(5)) == 0)))
+    life = lc.lifecycle(f, "1 hour", block_rows=50).toPandas()  # 50-row blocks, halo 49
+    pdf = f.select("symbol", "datetime", "close", "bull", "bear").toPandas()
+    assert len(life) == len(pdf)
+    for sym, g in pdf.sort_values(["symbol", "datetime"]).groupby("symbol"):
+        exp = brute.lifecycle([(d.to_pydatetime(), c_, b, br) for d, c_, b, br in
+                               zip(g["datetime"], g["close"], g["bull"], g["bear"])])
+        mine = life[life.symbol == sym].sort_values("datetime")
+        assert list(mine["kind"]) == [e["kind"] for e in exp]
+        assert list(mine["live_after"]) == [e["live_after"] for e in exp]
+        assert [None if a != a else a for a in mine["age_days"]] == [e["age_days"] for e in exp]

@@ -46,7 +46,7 @@ def test_stream_matches_batch_over_many_batches(spark):
     max_ts = event_ticks(spark, SF001).agg(F.max("ts")).first()[0]
     closed = c.where(F.col("datetime") + F.expr("INTERVAL 4 HOURS") <= F.lit(max_ts))
     r = rsi_frame(closed, "4 hours", block_rows=64)
-    life = lifecycle(divergence_flags(r, block_plan(13, 64)[0]))
+    life = lifecycle(divergence_flags(r, block_plan(13, 64)[0]), "4 hours", block_rows=64)
     b = life.join(r.select("symbol", "datetime", "rsi", "up_ewma"), ["symbol", "datetime"])
     cols = ["symbol", "datetime", "up_ewma", "rsi", "bull", "bear", "kind", "live_after"]
     got = s.select(cols).toPandas().sort_values(["symbol", "datetime"]).reset_index(drop=True)
