@@ -16,9 +16,9 @@ last two days (at most ``M`` rows, the halo).  Three passes:
    for every halo flag that could still be live, the state at the block's
    end.  A backward pass gives, for every tick, the end state when idle
    there; a signal opened at ``g`` jumps to the tick after its expiry.
-2. per symbol over the map table (one small row per block and entry, ``R``
-   times fewer than ticks): compose the maps in block order -> the true
-   entry state of every block.
+2. compose the maps in block order -> the true entry state of every block,
+   by log2(blocks) rounds of distributed doubling over the small map table
+   (one row per block and entry); no task holds a whole symbol.
 3. per block (bounded): replay the ticks from that entry state.
 """
 
@@ -94,15 +94,32 @@ def _transfer_map(own: pd.DataFrame, halo: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"symbol": key["symbol"], LB: key[LB], "entry": entries, "exit": exits})
 
 
-def _compose(maps: pd.DataFrame) -> pd.DataFrame:
-    maps = maps.sort_values(LB, kind="stable")
-    state, blocks, states = IDLE, [], []
-    for lb, grp in maps.groupby(LB, sort=True):
-        blocks.append(lb)
-        states.append(state)
-        nxt = dict(zip(grp["entry"].to_numpy(), grp["exit"].to_numpy()))
-        state = int(nxt.get(state, nxt[IDLE]))
-    return pd.DataFrame({"symbol": maps["symbol"].iloc[0], LB: blocks, "entry": states})
+def compose_entries(maps: DataFrame) -> DataFrame:
+    """Entry state of every block from the per-block transfer maps.
+
+    Hillis-Steele doubling over the map table, all rounds distributed: after
+    round k, the row (b, e -> x) maps the state entering block
+    ``b - 2^k + 1`` (clamped at 0) to the state leaving block ``b``.  One
+    round joins the table with itself shifted by ``2^k`` blocks on the
+    intermediate state; rows per round stay at one per (block, entry).  The
+    number of rounds is log2 of the longest symbol's block count; each round
+    is checkpointed so the lineage stays flat.
+    """
+    from candlewick.session import materialize
+    longest = maps.agg(F.max(LB)).first()[0]
+    a = materialize(maps.select("symbol", F.col(LB).alias("_b"), "entry", "exit"))
+    step = 1
+    while longest is not None and step <= longest:
+        earlier = a.select("symbol", (F.col("_b") + step).alias("_b"), "entry", F.col("exit").alias("_mid"))
+        later = a.select("symbol", "_b", F.col("entry").alias("_mid"), "exit")
+        composed = earlier.join(later, ["symbol", "_b", "_mid"]).select("symbol", "_b", "entry", "exit")
+        a = materialize(a.where(F.col("_b") < step).unionByName(composed))
+        step *= 2
+    first = (maps.where(F.col(LB) == 0).select("symbol").distinct()
+                 .select("symbol", F.lit(0).cast("long").alias(LB), F.lit(IDLE).cast("long").alias("entry")))
+    after = a.where(F.col("entry") == IDLE).select("symbol", (F.col("_b") + 1).alias(LB),
+                                                   F.col("exit").alias("entry"))
+    return first.unionByName(after)
 
 
 def _replay(own: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
@@ -144,7 +161,6 @@ def _empty_out() -> pd.DataFrame:
 
 
 _MAP_SCHEMA = "symbol string, _lb long, entry long, exit long"
-_ENTRY_SCHEMA = "symbol string, _lb long, entry long"
 _OUT_SCHEMA = T_.StructType([
     T_.StructField("datetime", T_.TimestampNTZType()), T_.StructField("symbol", T_.StringType()),
     T_.StructField("close", T_.DoubleType()), T_.StructField("bull", T_.BooleanType()),
@@ -179,7 +195,7 @@ def lifecycle(flags: DataFrame, interval: str, key: str = "symbol",
                         (F.col(LB) + 1).alias(LB)))
     maps = (rows.groupBy("symbol", LB).cogroup(halo.groupBy("symbol", LB))
                 .applyInPandas(_transfer_map, _MAP_SCHEMA))
-    entries = maps.groupBy("symbol").applyInPandas(_compose, _ENTRY_SCHEMA)
+    entries = compose_entries(maps)
     live_in = (entries.where(F.col("entry") != IDLE)
                       .join(halo.select("symbol", LB, F.col(T).alias("entry"), F.col("_us").alias("s_us"),
                                         F.col("close").alias("s_close"),
