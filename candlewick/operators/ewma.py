@@ -97,12 +97,18 @@ def blocked_ewma(rows: DataFrame, cols: list[str], out: list[str], com: float,
     ends = blocks.select(key, BLK, *[
         (F.lit(a) * F.pow(F.lit(beta), F.col("_m") - 1) * F.col(f"_S_{c}")).alias(f"_L_{c}")
         for c in cols])
-    prev = Window.partitionBy(key).orderBy(BLK).rowsBetween(-frame, -1)
+    # each block's end value travels to the next ``frame`` blocks (explode),
+    # grouped per target block: no task orders a whole symbol's blocks
     decay = F.lit(beta ** block_rows)
-    carry = ends.select(key, BLK, *[
-        F.aggregate(F.collect_list(F.col(f"_L_{c}")).over(prev), F.lit(0.0),
-                    lambda acc, v: acc * decay + v).alias(f"_c_{c}")
-        for c in cols])
+    sent = ends.select(key, F.col(BLK).alias("_src"), *[F.col(f"_L_{c}") for c in cols],
+                       F.explode(F.sequence(F.col(BLK) + 1, F.col(BLK) + frame)).alias(BLK))
+    got = sent.groupBy(key, BLK).agg(
+        F.array_sort(F.collect_list(F.struct("_src", *[f"_L_{c}" for c in cols]))).alias("_prev"))
+    def fold_of(field):
+        return lambda acc, v: acc * decay + v[field]
+
+    carry = got.select(key, BLK, *[
+        F.aggregate(F.col("_prev"), F.lit(0.0), fold_of(f"_L_{c}")).alias(f"_c_{c}") for c in cols])
     joined = rows.join(carry, [key, BLK], "left")
     outs = []
     for c, o in zip(cols, out):

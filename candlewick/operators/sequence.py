@@ -8,8 +8,9 @@ hold a third of all rows.  Instead:
    symbol.  Rows are grouped into coarse time spans ``(symbol, _tb)``; the
    per-span counts (one row per span, pre-aggregated map-side) are
    prefix-summed per symbol and joined back, then ``row_number`` runs inside
-   each span.  Only the span table, ``block_rows`` times smaller than the
-   data, is ordered per symbol.
+   each span.  The span offsets are a two-level prefix sum, so only a table
+   of span groups (about a million times smaller than the data) is ordered
+   per symbol.
 2. ``blocks_with_halo`` cuts each symbol into blocks of exactly ``R`` rows
    (``_blk = _t div R``, the last block may be shorter).  Row windows run over
    ``partitionBy(symbol, _blk)``: bounded groups, spread over all tasks.  The
@@ -45,14 +46,34 @@ def with_row_index(df: DataFrame, span_micros: int, key: str = "symbol",
     d = df.where(F.col(order).isNotNull()).withColumn(
         "_tb", F.floor(micros(order) / F.lit(int(span_micros))))
     counts = d.groupBy(key, "_tb").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, "_tb", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offsets = prefix_sum(counts, key, "_tb", "_n", "_off")
     inside = Window.partitionBy(key, "_tb").orderBy(order)
     return (d.join(offsets, [key, "_tb"])
              .withColumn(T, (F.col("_off") + F.row_number().over(inside) - 1).cast("bigint"))
              .drop("_tb", "_off"))
 
 
+SPAN_GROUP = 1024
+
+
+def prefix_sum(df: DataFrame, key: str, order: str, value: str, out: str,
+               group: int = SPAN_GROUP) -> DataFrame:
+    """Exclusive running sum of ``value`` per ``key`` in ``order`` (an integer).
+
+    Two levels so no task orders a whole key: a running sum inside groups
+    of ``group`` consecutive order values, plus the running sum of group
+    totals (a table ``group`` times smaller), joined back.
+    """
+    g = df.withColumn("_g", F.floor(F.col(order) / group))
+    inner = Window.partitionBy(key, "_g").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    g = g.withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    totals = g.groupBy(key, "_g").agg(F.sum(value).alias("_gt"))
+    before = Window.partitionBy(key).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
+    outer = totals.select(key, "_g", F.coalesce(F.sum("_gt").over(before), F.lit(0)).alias("_gout"))
+    return (g.join(outer, [key, "_g"])
+             .select(*[F.col(c) for c in df.columns], (F.col("_gout") + F.col("_in")).alias(out)))
+
+
 def blocks_with_halo(seq: DataFrame, block_rows: int, halo: int) -> DataFrame:
     """Assign ``_blk`` and add halo copies of each block's last rows.
 

@@ -195,3 +195,13 @@ def test_lifecycle_dense_flags_many_blocks(spark, density):
         assert list(mine["kind"]) == [e["kind"] for e in exp]
         assert list(mine["live_after"]) == [e["live_after"] for e in exp]
         assert [None if a != a else a for a in mine["age_days"]] == [e["age_days"] for e in exp]
+
+
+def test_two_level_prefix_sum(spark):
+    from candlewick.operators.sequence import prefix_sum
+    rows = [(k, o, (o * 7 + len(k)) % 5) for k in ("a", "bb") for o in range(0, 40, 3)]
+    df = spark.createDataFrame(rows, "k string, o long, v long")
+    got = prefix_sum(df, "k", "o", "v", "p", group=4).toPandas().sort_values(["k", "o"])
+    for k, g in got.groupby("k"):
+        vals = list(g["v"])
+        assert list(g["p"]) == [sum(vals[:i]) for i in range(len(vals))]
