@@ -7,7 +7,6 @@ join.  Rows of one symbol are spread over ``rows / R`` independent groups.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ from candlewick.functions.indicators import (
     gain, interval_micros, loss, relative_strength, rsi_from_averages_warm, rsi_from_rs)
 from candlewick.operators.ewma import (
     alpha_of, block_plan, blocked_ewma, exact_fold, local_sums, tail_fold)
+from candlewick.session import materialize
 from candlewick.operators.sequence import (
     BLK, DEFAULT_BLOCK_ROWS, OWN, T, blocks_with_halo, in_block, with_row_index)
 
@@ -42,9 +42,10 @@ def rsi_frame(candles: DataFrame, interval: str = "1 hour", com: float = S.COM,
     seq = with_row_index(candles, interval_micros(interval) * rows_r, key, order)
     u = _gains(blocks_with_halo(seq, rows_r, 1), key)
     u = u.select("*", *local_sums(["up", "down"], com, rows_r, key)).where(F.col(OWN)).drop(OWN)
-    # read three times (block sums, carry join, exact-fold halo): keep the
-    # windowed rows instead of re-sorting them per reader
-    u = u.persist(StorageLevel.MEMORY_AND_DISK)
+    # read three times (block sums, carry join, exact-fold halo): checkpoint
+    # the windowed rows once (reliable, lineage cut) instead of re-sorting
+    # them per reader
+    u = materialize(u)
     r = blocked_ewma(u, ["up", "down"], ["up_ewma", "down_ewma"], com, rows_r, key)
     if exact:
         r = exact_fold(r, ["up", "down"], ["up_ewma", "down_ewma"], com, rows_r, key)
