@@ -17,10 +17,10 @@ from candlewick.operators.ewma import (
     alpha_of, block_plan, blocked_ewma, exact_fold, local_sums, tail_fold)
 from candlewick.session import materialize
 from candlewick.operators.sequence import (
-    BLK, DEFAULT_BLOCK_ROWS, OWN, T, blocks_with_halo, in_block, with_row_index)
+    DEFAULT_BLOCK_ROWS, OWN, T, blocks_with_halo, in_block, with_row_index)
 
 
-def _gains(df: DataFrame, key: str) -> DataFrame:
+def with_gains(df: DataFrame, key: str) -> DataFrame:
     prev = F.lag("close", 1).over(in_block(key))
     return (df.withColumn("prev_close", prev)
               .withColumn("delta", F.col("close") - F.col("prev_close"))
@@ -40,7 +40,7 @@ def rsi_frame(candles: DataFrame, interval: str = "1 hour", com: float = S.COM,
     """
     rows_r, _ = block_plan(com, block_rows)
     seq = with_row_index(candles, interval_micros(interval) * rows_r, key, order)
-    u = _gains(blocks_with_halo(seq, rows_r, 1), key)
+    u = with_gains(blocks_with_halo(seq, rows_r, 1), key)
     u = u.select("*", *local_sums(["up", "down"], com, rows_r, key)).where(F.col(OWN)).drop(OWN)
     # read three times (block sums, carry join, exact-fold halo): checkpoint
     # the windowed rows once (reliable, lineage cut) instead of re-sorting
@@ -69,7 +69,7 @@ def rsi_tail(candles: DataFrame, interval: str = "1 hour", com: float = S.COM,
     """
     rows_r = max(block_rows, 2 * tail)
     seq = with_row_index(candles, interval_micros(interval) * rows_r, key, order)
-    u = _gains(blocks_with_halo(seq, rows_r, tail), key)
+    u = with_gains(blocks_with_halo(seq, rows_r, tail), key)
     u = (u.withColumn("up_ewma", tail_fold("up", com, tail, key))
           .withColumn("down_ewma", tail_fold("down", com, tail, key))
           .where(F.col(OWN)))

@@ -24,7 +24,7 @@ from candlewick.operators import lifecycle as lc
 from candlewick.operators import topn
 from candlewick.operators.ewma import block_plan, ewma
 from candlewick.operators.resample import candles_from_ticks, resample_candles
-from candlewick.operators.rsi import _gains, rsi_frame, rsi_tail, rsi_warmup
+from candlewick.operators.rsi import with_gains, rsi_frame, rsi_tail, rsi_warmup
 from candlewick.operators.sequence import OWN, blocks_with_halo, with_row_index
 from candlewick.plans import sqlparts as Q
 from candlewick.session import materialize
@@ -112,7 +112,7 @@ FLAG_DBL = {"close", "low", "high", "rsi"}
 def _delta_gain_loss(spark, sf):
     c = _candles(spark, sf, "1 hour")
     seq = with_row_index(c, interval_micros("1 hour") * BLOCK)
-    g = _gains(blocks_with_halo(seq, BLOCK, 1), "symbol").where(F.col(OWN))
+    g = with_gains(blocks_with_halo(seq, BLOCK, 1), "symbol").where(F.col(OWN))
     return g.withColumn("ups_nb", gain_keep_null("delta")).withColumn("downs_nb", loss_keep_null("delta"))
 
 
