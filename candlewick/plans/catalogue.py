@@ -330,7 +330,12 @@ WARM_SQL = ("SELECT datetime, symbol, close, AU, AD, CASE WHEN AU IS NULL OR AD
             f"CASE WHEN t >= {S.WARMUP_PERIODS} THEN down_ewma / (1.0 - pow({Q.KEEP}, t)) END AS AD "
             "FROM ({src}))")
 
+C1M = Q.candles(Q.EVENT_TICKS, "1 minute")
+
 QUERIES.update({
+    "rsi_history_1m": Query(
+        lambda s, d: _rsi_rows(s, d, "1 minute")[0], S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(C1M),
+        "RES3 CMP1 WIN3 (minute candles: several blocks per symbol)"),
     "csv_rsi_warmup": Query(_csv_warmup, ["datetime", "symbol", "close", "AU", "AD", "RSI"],
                             {"close", "AU", "AD", "RSI"}, WARM_SQL.replace("{src}", Q.rsi_full(O1D)),
                             "SRC7 CMP3"),
