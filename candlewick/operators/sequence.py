@@ -47,7 +47,9 @@ def with_row_index(df: DataFrame, span_micros: int, key: str = "symbol",
         "_tb", F.floor(micros(order) / F.lit(int(span_micros))))
     counts = d.groupBy(key, "_tb").agg(F.count(F.lit(1)).alias("_n"))
     offsets = prefix_sum(counts, key, "_tb", "_n", "_off")
-    inside = Window.partitionBy(key, "_tb").orderBy(order)
+    # content hash as tie-break: positions stay the same when a lost task is
+    # recomputed, even if a (key, order) pair slipped through twice
+    inside = Window.partitionBy(key, "_tb").orderBy(order, F.xxhash64(*[F.col(c) for c in df.columns]))
     return (d.join(offsets, [key, "_tb"])
              .withColumn(T, (F.col("_off") + F.row_number().over(inside) - 1).cast("bigint"))
              .drop("_tb", "_off"))

@@ -215,11 +215,7 @@ QUERIES: dict[str, Query] = {
     "rsi_warmup": Query(
         lambda s, d: rsi_warmup(_candles(s, d, "1 hour"), "1 hour", block_rows=BLOCK),
         ["datetime", "symbol", "close", "AU", "AD", "RSI"], {"close", "AU", "AD", "RSI"},
-        "SELECT datetime, symbol, close, AU, AD, CASE WHEN AU IS NULL OR AD IS NULL THEN NULL "
-        "WHEN AD = 0 THEN CASE WHEN AU > 0 THEN 100.0 END ELSE 100.0 - 100.0 / (1.0 + AU / AD) END AS RSI "
-        f"FROM (SELECT *, CASE WHEN t >= {S.WARMUP_PERIODS} THEN up_ewma / (1.0 - pow({Q.KEEP}, t)) END AS AU, "
-        f"CASE WHEN t >= {S.WARMUP_PERIODS} THEN down_ewma / (1.0 - pow({Q.KEEP}, t)) END AS AD "
-        f"FROM ({Q.rsi_full(C1H)}))", "WIN5 CMP3 PD3"),
+        None, "WIN5 CMP3 PD3"),
     "latest_rsi": Query(
         lambda s, d: topn.newest(_rsi_rows(s, d, "1 hour")[0]), S.RSI_COLUMNS, RSI_DBL,
         f"SELECT * FROM ({Q.rsi_full(C1H)}) QUALIFY row_number() OVER "
@@ -332,6 +328,8 @@ WARM_SQL = ("SELECT datetime, symbol, close, AU, AD, CASE WHEN AU IS NULL OR AD
 
 C1M = Q.candles(Q.EVENT_TICKS, "1 minute")
 
+QUERIES["rsi_warmup"].sql = WARM_SQL.replace("{src}", Q.rsi_full(C1H))
+
 QUERIES.update({
     "rsi_history_1m": Query(
         lambda s, d: _rsi_rows(s, d, "1 minute")[0], S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(C1M),

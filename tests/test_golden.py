@@ -107,3 +107,14 @@ def test_lifecycle_golden(spark, block_rows):
         assert r.converted == conv
         assert r.age_days == age
         assert r.live_after == live
+
+
+def test_conversion_direction(spark):
+    rows = [("X", dt.datetime(2024, 1, 3, 9), 95.0)]
+    now = spark.createDataFrame(rows, "symbol string, datetime timestamp_ntz, close double")
+    sig = spark.createDataFrame([("X", dt.datetime(2024, 1, 2, 9), 100.0, 1)],
+                                "symbol string, datetime timestamp_ntz, close double, diversions int")
+    literal = lc.conversion_check(now, sig).first()
+    intended = lc.conversion_check(now, sig, direction="intended").first()
+    assert round(literal.pct, 6) == 5.263158 and literal.convert == 1 and literal.age_days == 1
+    assert intended.convert == 0 and not literal.expired

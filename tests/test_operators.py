@@ -154,7 +154,7 @@ def test_dedupe_keeps_latest_and_is_idempotent(spark, candles_1h):
 def test_json_payload_decode_exchange_format(spark):
     raw = ('[[1704067200000,"42000.5","42100.0","41900.25","42050.75","12.5",1704153599999,'
            '"525000.1",1234,"6.1","256000.2","0"]]')
-    df = spark.createDataFrame([("BTCUSDT", raw)], "symbol string, payload string")
+    df = spark.createDataFrame([("XYZUSD", raw)], "symbol string, payload string")
     r = decode_kline_payload(df).first()
     assert str(r.datetime) == "2024-01-01 09:00:00"  # 00:00 UTC as Seoul wall clock
     assert (r.open, r.close, r.NumTrades, r.Ignore) == (42000.5, 42050.75, 1234, "0")
