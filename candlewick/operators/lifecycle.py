@@ -176,7 +176,7 @@ def lifecycle_block_rows(interval: str, block_rows: int = 2048) -> tuple[int, in
 
 
 def lifecycle(flags: DataFrame, interval: str, key: str = "symbol",
-              block_rows: int = 2048) -> DataFrame:
+              block_rows: int = 2048, direction: str = "literal") -> DataFrame:
     """LIFE1 over a flag frame (datetime, symbol, close, bull, bear, _t).
 
     ``interval`` is the candle spacing; ticks are unique per (symbol,
@@ -210,7 +210,8 @@ def lifecycle(flags: DataFrame, interval: str, key: str = "symbol",
     age = F.when(live, elapsed_days("datetime", "signal_datetime"))
     out = res.select(
         "datetime", "symbol", "close", "bull", "bear", kind.alias("kind"), "signal_datetime",
-        "signal_close", pct.alias("pct"), F.when(live, converted(pct, kind)).alias("converted"),
+        "signal_close", pct.alias("pct"),
+        F.when(live, converted(pct, kind, direction=direction)).alias("converted"),
         age.alias("age_days"), "live_after", T)
     return out.withColumnRenamed("symbol", key) if key != "symbol" else out
 
