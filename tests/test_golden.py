@@ -118,3 +118,23 @@ def test_conversion_direction(spark):
     intended = lc.conversion_check(now, sig, direction="intended").first()
     assert round(literal.pct, 6) == 5.263158 and literal.convert == 1 and literal.age_days == 1
     assert intended.convert == 0 and not literal.expired
+
+
+def test_elapsed_days_floor(spark):
+    from candlewick.functions.timefn import elapsed_days
+    rows = [(dt.datetime(2024, 1, 3, 8, 59), 1), (dt.datetime(2024, 1, 3, 9, 0), 2),
+            (dt.datetime(2024, 1, 2, 9, 0), 1), (dt.datetime(2024, 1, 1, 10, 0), 0)]
+    df = spark.createDataFrame([(d, dt.datetime(2024, 1, 1, 9, 0), e) for d, e in rows],
+                               "now timestamp_ntz, sig timestamp_ntz, expect int")
+    got = df.select(elapsed_days("now", "sig").alias("d"), "expect").collect()
+    assert all(r.d == r.expect for r in got)
+
+
+def test_duplicate_datetimes_dedupe_then_rsi(spark):
+    from candlewick.operators.topn import dedupe_latest
+    base = _candles(spark, CLOSES).withColumn("ingested_at", F.col("datetime"))
+    stale = base.withColumn("close", F.col("close") * 2).withColumn(
+        "ingested_at", F.col("datetime") - F.expr("INTERVAL 1 MINUTE"))
+    clean = dedupe_latest(base.unionByName(stale), ["symbol", "datetime"], "ingested_at").drop("ingested_at")
+    got = rsi(clean, "1 hour", block_rows=4).orderBy("datetime").collect()
+    assert [None if r.rsi is None else round(r.rsi, 6) for r in got] == RSI
