@@ -107,7 +107,9 @@ def compose_entries(maps: DataFrame) -> DataFrame:
     """
     from candlewick.session import materialize
     longest = maps.agg(F.max(LB)).first()[0]
-    a = materialize(maps.select("symbol", F.col(LB).alias("_b"), "entry", "exit"))
+    a = maps.select("symbol", F.col(LB).alias("_b"), "entry", "exit")
+    if longest:
+        a = materialize(a)
     step = 1
     while longest is not None and step <= longest:
         earlier = a.select("symbol", (F.col("_b") + step).alias("_b"), "entry", F.col("exit").alias("_mid"))

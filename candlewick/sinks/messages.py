@@ -37,3 +37,19 @@ def publish_kafka(df: DataFrame, bootstrap_servers: str, topic: str = TOPIC, key
 def console(df: DataFrame, n: int = 20) -> None:
     """SNK6: debugging display only; never part of a pipeline."""
     df.show(n, truncate=False)
+
+
+def stream_to_kafka(df: DataFrame, bootstrap_servers: str, checkpoint: str, topic: str = TOPIC,
+                    key: str = "symbol"):
+    """SNK5 for a streaming frame: key = symbol, value = the row as JSON.
+
+    Needs the spark-sql-kafka connector; returns the started query."""
+    return (kafka_frame(df, key).writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
+            .option("checkpointLocation", checkpoint).start())
+
+
+def stream_to_console(df: DataFrame, checkpoint: str):
+    """SNK6 for a streaming frame (debugging only)."""
+    return (df.writeStream.format("console").option("truncate", False)
+              .option("checkpointLocation", checkpoint).start())
