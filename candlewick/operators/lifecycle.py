@@ -178,19 +178,24 @@ def lifecycle_block_rows(interval: str, block_rows: int = 2048) -> tuple[int, in
 
 
 def lifecycle(flags: DataFrame, interval: str, key: str = "symbol",
-              block_rows: int = 2048, direction: str = "literal") -> DataFrame:
+              block_rows: int = 2048, direction: str = "literal",
+              block_col: str | None = None) -> DataFrame:
     """LIFE1 over a flag frame (datetime, symbol, close, bull, bear, _t).
 
     ``interval`` is the candle spacing; ticks are unique per (symbol,
     datetime) and at least one interval apart.  Output per tick: datetime,
     symbol, close, bull, bear, kind (0 = no live signal), signal_datetime,
     signal_close, pct, converted, age_days, live_after.
+
+    ``block_col`` names an existing ``_t div R`` column of ``flags`` with
+    ``R`` equal to this operator's block size; it is reused so data already
+    partitioned by it is not shuffled again.
     """
     if key != "symbol":
         flags = flags.withColumnRenamed(key, "symbol")
     rows_r, halo_n = lifecycle_block_rows(interval, block_rows)
-    rows = (flags.select("symbol", T, "datetime", "close", "bull", "bear")
-                 .withColumn(LB, F.floor(F.col(T) / rows_r))
+    blk = F.col(block_col) if block_col else F.floor(F.col(T) / rows_r)
+    rows = (flags.select("symbol", T, "datetime", "close", "bull", "bear", blk.alias(LB))
                  .withColumn("_us", micros("datetime")))
     halo = (rows.where(F.col(T) >= (F.col(LB) + 1) * rows_r - halo_n)
                 .select(*[F.col(c).alias(c) for c in ("symbol", T, "datetime", "close", "bull", "bear", "_us")],

@@ -15,9 +15,9 @@ from candlewick.functions.indicators import (
     gain, interval_micros, loss, relative_strength, rsi_from_averages_warm, rsi_from_rs)
 from candlewick.operators.ewma import (
     alpha_of, block_plan, blocked_ewma, exact_fold, local_sums, tail_fold)
-from candlewick.session import materialize
+from candlewick.session import bucket_count, materialize_by
 from candlewick.operators.sequence import (
-    DEFAULT_BLOCK_ROWS, OWN, T, blocks_with_halo, in_block, with_row_index)
+    BLK, DEFAULT_BLOCK_ROWS, OWN, T, blocks_with_halo, in_block, with_row_index)
 
 
 def with_gains(df: DataFrame, key: str) -> DataFrame:
@@ -40,12 +40,14 @@ def rsi_frame(candles: DataFrame, interval: str = "1 hour", com: float = S.COM,
     """
     rows_r, _ = block_plan(com, block_rows)
     seq = with_row_index(candles, interval_micros(interval) * rows_r, key, order)
-    u = with_gains(blocks_with_halo(seq, rows_r, 1), key)
+    spark = candles.sparkSession
+    blocks = blocks_with_halo(seq, rows_r, 1).repartition(bucket_count(spark), key, BLK)
+    u = with_gains(blocks, key)
     u = u.select("*", *local_sums(["up", "down"], com, rows_r, key)).where(F.col(OWN)).drop(OWN)
-    # read three times (block sums, carry join, exact-fold halo): checkpoint
-    # the windowed rows once (reliable, lineage cut) instead of re-sorting
-    # them per reader
-    u = materialize(u)
+    # read three times (block sums, carry join, exact-fold halo): write the
+    # windowed rows once as a table bucketed by (symbol, block) in the shared
+    # checkpoint folder; readers keep that partitioning, nothing reshuffles
+    u = materialize_by(u, [key, BLK], [key, BLK, T])
     r = blocked_ewma(u, ["up", "down"], ["up_ewma", "down_ewma"], com, rows_r, key)
     if exact:
         r = exact_fold(r, ["up", "down"], ["up_ewma", "down_ewma"], com, rows_r, key)

@@ -27,7 +27,7 @@ from candlewick.operators.resample import candles_from_ticks, resample_candles
 from candlewick.operators.rsi import with_gains, rsi_frame, rsi_tail, rsi_warmup
 from candlewick.operators.sequence import OWN, blocks_with_halo, with_row_index
 from candlewick.plans import sqlparts as Q
-from candlewick.session import materialize
+from candlewick.session import materialize_by
 from candlewick.sources.klines import decode_kline_payload, pack_kline_payload
 from candlewick.sources.tables import table
 from candlewick.sources.ticks import event_ticks, order_ticks
@@ -81,17 +81,25 @@ def _rsi_rows(spark, sf, interval, block=BLOCK, src=None, keep=False):
     that read it more than once, as the original persists kline_1d_rsi."""
     c = src if src is not None else _candles(spark, sf, interval)
     r = rsi_frame(c, interval, block_rows=block)
-    return (materialize(r) if keep else r), block_plan(S.COM, block)[0]
+    return (_keep(r) if keep else r), block_plan(S.COM, block)[0]
+
+
+def _keep(df):
+    """Bucketed table in the checkpoint folder, partitioned like the blocks."""
+    return materialize_by(df, ["symbol", "_blk"], ["symbol", "_blk", "_t"])
 
 
 def _flags(spark, sf, interval="4 hours", block=BLOCK, src=None, keep=False):
     r, rows = _rsi_rows(spark, sf, interval, block, src, keep=True)
     f = dv.divergence_flags(r, rows)
-    return materialize(f) if keep else f
+    return _keep(f) if keep else f
 
 
 def _life(spark, sf, interval="4 hours", block=BLOCK, src=None):
-    return lc.lifecycle(_flags(spark, sf, interval, block, src, keep=True), interval, block_rows=block)
+    rows = block_plan(S.COM, block)[0]
+    same = lc.lifecycle_block_rows(interval, block)[0] == rows
+    return lc.lifecycle(_flags(spark, sf, interval, block, src, keep=True), interval, block_rows=block,
+                        block_col="_blk" if same else None)
 
 
 C1H = Q.candles(Q.EVENT_TICKS, "1 hour")

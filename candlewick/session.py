@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -71,3 +72,27 @@ def materialize(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def bucket_count(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialize_by(df, keys: list[str], order: list[str] | None = None, buckets: int | None = None):
+    """Cut lineage by writing a bucketed, sorted parquet table in the shared
+    checkpoint folder and reading it back.
+
+    Unlike ``checkpoint()`` the read keeps ``HashPartitioning(keys)`` (bucket
+    ids use the shuffle hash), so later joins, groups, windows and cogroups on
+    ``keys`` read the table in place instead of shuffling it again.  ``df``
+    should already be hash-partitioned on ``keys`` into ``buckets``
+    partitions (one file per bucket).
+    """
+    spark = df.sparkSession
+    n = buckets or bucket_count(spark)
+    name = f"candlewick_{uuid.uuid4().hex[:16]}"
+    w = df.write.format("parquet").bucketBy(n, *keys)
+    if order:
+        w = w.sortBy(*order)
+    w.option("path", scratch_table_path(spark, name)).saveAsTable(name)
+    return spark.table(name)

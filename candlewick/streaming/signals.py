@@ -88,8 +88,8 @@ def make_step(com: float = S.COM, lookback: int = S.DIVERGENCE_ROWS):
             pct = conv = age = None
             if kind:
                 pct = 0.0 if close == s_close else ((s_close - close) / close * 100.0 if close else None)
-                conv = pct is not None and ((pct >= S.CONVERT_PCT and kind == S.BULLISH)
-                                            or (pct <= -S.CONVERT_PCT and kind == S.BEARISH))
+                conv = None if pct is None else ((pct >= S.CONVERT_PCT and kind == S.BULLISH)
+                                                 or (pct <= -S.CONVERT_PCT and kind == S.BEARISH))
                 age = (us - s_us) // _DAY_US
                 if age >= S.EXPIRY_DAYS:
                     kind, s_us, s_close = 0, None, None
