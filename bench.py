@@ -22,7 +22,7 @@ from candlewick.plans.catalogue import QUERIES  # noqa: E402
 HEADLINE = ["candles_1h", "candles_4h", "resample_1h_to_4h", "kline_dedupe_latest",
             "kline_json_decode", "rsi_history", "rsi_history_1m", "rsi_update_200", "rsi_warmup",
             "divergence_flags", "signal_lifecycle", "conversion_check",
-            "backfill_pipeline", "daily_pipeline"]
+            "backfill_rsi", "daily_state"]
 
 
 def _warm_up(spark, sf_dir):

@@ -33,7 +33,7 @@ from candlewick.sources.tables import table
 from candlewick.sources.ticks import event_ticks, order_ticks
 from candlewick.sinks.messages import kafka_frame, to_json_messages
 from candlewick.streaming.candles import landed_glob
-from candlewick.streaming.jobs import run_candle_stream, stream_pipeline
+from candlewick.streaming.jobs import run_candle_stream, run_streams
 
 # Rows per block for the catalogue.  The long daily series (orders, ~2,400
 # rows per symbol) spans three blocks, so the sf0.01 check runs every
@@ -282,10 +282,10 @@ QUERIES: dict[str, Query] = {
         _state, ["symbol", "state"], set(),
         f"SELECT symbol, CAST(live_after AS BIGINT) AS state FROM ({Q.lifecycle_final(Q.flags(Q.rsi_full(C4H)))}) "
         "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) = 1", "SRC6 SRC8 SNK3"),
-    "backfill_pipeline": Query(
+    "backfill_rsi": Query(
         lambda s, d: rsi_frame(_daily_orders(s, d), "1 day"), S.RSI_COLUMNS, RSI_DBL,
         Q.rsi_full(O1D), "PIPE2 SRC4 SNK1"),
-    "daily_pipeline": Query(
+    "daily_state": Query(
         _daily, LIFE_COLS, LIFE_DBL,
         f"SELECT * FROM ({Q.lifecycle_final(Q.flags(Q.rsi_full(O1D)))}) "
         "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) = 1", "PIPE1"),
@@ -317,7 +317,7 @@ def _stream_candles(spark, sf):
 
 
 def _stream_signals(spark, sf):
-    return stream_pipeline(spark, _events_path(sf), "4 hours")
+    return run_streams(spark, _events_path(sf), "4 hours")
 
 
 def _closed(candles_sql, interval):

@@ -3,7 +3,7 @@
 PIPE2: ticks -> candles -> klines table -> RSI history -> klines_rsi table.
 PIPE1: the daily chain collect -> RSI -> detect -> check as one plan; the
 state after the newest tick of every symbol is its ``task_state`` and live
-signal.  The streaming form of PIPE1 is ``streaming.jobs.stream_pipeline``.
+signal.  The streaming form of PIPE1 is ``streaming.jobs.run_streams``.
 """
 
 from __future__ import annotations

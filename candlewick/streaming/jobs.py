@@ -45,9 +45,9 @@ def run_signal_stream(spark: SparkSession, candles_dir: str, base: str) -> str:
     return out
 
 
-def stream_pipeline(spark: SparkSession, events_path: str, interval: str = "4 hours",
+def run_streams(spark: SparkSession, events_path: str, interval: str = "4 hours",
                     delay: str = "0 seconds") -> DataFrame:
-    base = run_folder(spark, "pipeline")
+    base = run_folder(spark, "streams")
     candles = run_candle_stream(spark, events_path, interval, delay, base)
     signals = run_signal_stream(spark, candles, base)
     return spark.read.parquet(landed_glob(signals))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from candlewick import schema as S
 from candlewick.operators.resample import candles_from_ticks
-from candlewick.plans.pipelines import backfill, daily
+from candlewick.plans.jobs import backfill, daily
 from candlewick.sinks.messages import kafka_frame, to_json_messages
 from candlewick.sinks.tables import append_table, overwrite_table, read_upserted
 from candlewick.sources.literal import state_frame
