@@ -50,3 +50,44 @@ def daily(candles: DataFrame, interval: str = "1 day", block_rows: int = DEFAULT
     """PIPE1: per symbol, the newest tick with its RSI, flags and signal state."""
     s = newest(signal_states(candles, interval, block_rows))
     return s.withColumn("state", F.col("live_after").cast("bigint"))
+
+
+def _main(argv=None) -> None:
+    """Command line for spark-submit (or ``python -m candlewick.plans.jobs``).
+
+    backfill: ticks parquet -> <out>/klines, <out>/klines_rsi   (PIPE2)
+    daily:    klines parquet -> <out>/state (newest tick per symbol)   (PIPE1)
+    stream:   events parquet folder -> landed candles and signal tables (STR1-STR4)
+    """
+    import argparse
+
+    from candlewick.session import get_spark
+    from candlewick.sources.ticks import ticks_from
+
+    p = argparse.ArgumentParser(prog="candlewick.plans.jobs")
+    p.add_argument("command", choices=["backfill", "daily", "stream"])
+    p.add_argument("--input", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--interval", default="1 day")
+    p.add_argument("--block-rows", type=int, default=DEFAULT_BLOCK_ROWS)
+    p.add_argument("--symbol-col", default="event_type")
+    p.add_argument("--ts-col", default="ts")
+    p.add_argument("--seq-col", default="event_id")
+    p.add_argument("--price-col", default="value")
+    p.add_argument("--qty-col", default=None)
+    a = p.parse_args(argv)
+    spark = get_spark()
+    if a.command == "backfill":
+        ticks = ticks_from(spark.read.parquet(a.input), a.symbol_col, a.ts_col, a.seq_col, a.price_col, a.qty_col)
+        print(backfill(spark, ticks, a.out, a.interval, a.block_rows))
+    elif a.command == "daily":
+        state = daily(spark.read.parquet(a.input), a.interval, a.block_rows)
+        state.write.mode("overwrite").parquet(os.path.join(a.out, "state"))
+    else:
+        from candlewick.streaming.jobs import run_candle_stream, run_signal_stream
+        candles = run_candle_stream(spark, a.input, a.interval, base=a.out)
+        print(run_signal_stream(spark, candles, a.out))
+
+
+if __name__ == "__main__":
+    _main()
