@@ -59,3 +59,12 @@ def test_daily_state_and_messages(spark):
     kf = kafka_frame(d.select("symbol", "close"))
     assert kf.columns == ["key", "value"]
     assert state_frame(spark, 1).collect()[0].state == 1
+
+
+def test_job_command_line(spark):
+    from candlewick.plans.jobs import _main
+    out = run_folder(spark, "cli")
+    _main(["backfill", "--input", os.path.join(SF001, "events.parquet"), "--out", out, "--interval", "4 hours"])
+    _main(["daily", "--input", os.path.join(out, "klines"), "--out", out, "--interval", "4 hours"])
+    state = spark.read.parquet(os.path.join(out, "state"))
+    assert state.count() == 5 and "state" in state.columns
