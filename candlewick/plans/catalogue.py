@@ -125,6 +125,11 @@ def _delta_gain_loss(spark, sf):
 
 
 def _dedupe(spark, sf):
+    """SNK2 upsert over a kline log in which every hourly candle arrives twice:
+    first as the still-open snapshot taken at half past the hour (built from
+    that hour's ticks so far), then as the closed candle from all of its
+    ticks.  The log covers every tick; keeping the newest version per
+    (symbol, datetime) must return exactly the closed candles."""
     t = event_ticks(spark, sf)
     first_half = t.where(F.minute("ts") < 30)
     partial = candles_from_ticks(first_half, "1 hour").withColumn(
