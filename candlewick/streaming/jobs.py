@@ -51,3 +51,17 @@ def run_streams(spark: SparkSession, events_path: str, interval: str = "4 hours"
     candles = run_candle_stream(spark, events_path, interval, delay, base)
     signals = run_signal_stream(spark, candles, base)
     return spark.read.parquet(landed_glob(signals))
+
+
+def current_state(spark: SparkSession, signals_dir: str) -> DataFrame:
+    """SNK3 view: one row per symbol -- the newest processed candle with its
+    live signal (``now_diversions``) and ``state`` (``task_state``: 1 while a
+    signal is live).  Merge-on-read over the landed batches; newest-per-symbol
+    keeps a map-side top-1."""
+    from pyspark.sql import functions as F
+
+    from candlewick.operators.topn import newest
+    rows = spark.read.parquet(landed_glob(signals_dir))
+    return (newest(rows)
+            .select("symbol", "datetime", "close", "kind", "signal_datetime", "signal_close",
+                    F.col("live_after").cast("bigint").alias("state")))

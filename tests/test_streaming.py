@@ -55,6 +55,10 @@ def test_stream_matches_batch_over_many_batches(spark):
     assert (got.up_ewma == exp.up_ewma).all()  # same recursion, same bits
     for c_ in ["bull", "bear", "kind", "live_after"]:
         assert list(got[c_]) == list(exp[c_]), c_
+    from candlewick.streaming.jobs import current_state
+    st = current_state(spark, out).toPandas().sort_values("symbol")
+    last = exp.groupby("symbol").tail(1).sort_values("symbol")
+    assert list(st["state"]) == [int(x) for x in last["live_after"]]
 
 
 def test_candle_stream_holds_open_windows(spark):
