@@ -15,7 +15,7 @@ from candlewick.functions.indicators import (
     gain, interval_micros, loss, relative_strength, rsi_from_averages_warm, rsi_from_rs)
 from candlewick.operators.ewma import (
     alpha_of, block_plan, blocked_ewma, exact_fold, local_sums, tail_fold)
-from candlewick.session import bucket_count, materialize_by
+from candlewick.session import materialize_by
 from candlewick.operators.sequence import (
     BLK, DEFAULT_BLOCK_ROWS, OWN, T, blocks_with_halo, in_block, with_row_index)
 
@@ -40,8 +40,7 @@ def rsi_frame(candles: DataFrame, interval: str = "1 hour", com: float = S.COM,
     """
     rows_r, _ = block_plan(com, block_rows)
     seq = with_row_index(candles, interval_micros(interval) * rows_r, key, order)
-    spark = candles.sparkSession
-    blocks = blocks_with_halo(seq, rows_r, 1).repartition(bucket_count(spark), key, BLK)
+    blocks = blocks_with_halo(seq, rows_r, 1).repartition(key, BLK)  # AQE may coalesce
     u = with_gains(blocks, key)
     u = u.select("*", *local_sums(["up", "down"], com, rows_r, key)).where(F.col(OWN)).drop(OWN)
     # read three times (block sums, carry join, exact-fold halo): write the
