@@ -11,11 +11,16 @@ The recursive form of the original jobs is ``e_0 = x_0``,
   e^300.  The value entering block k is the fold of the previous blocks'
   end values: ``carry_k = sum_c L_c * b^(R*(k-1-c))`` over full blocks.
   Terms more than ~1500/(R*ln(1/b)) blocks back underflow to exactly 0 in
-  double arithmetic, so a bounded frame of K blocks gives the complete sum.
+  double arithmetic, so the K previous blocks give the complete sum; each
+  block's end value is sent to its next K blocks (explode + group by
+  block), so no task orders a symbol's blocks.
   Then ``e_t = b^(j+1) * carry + local_j``.
-* ``ewma_fold_expr``: fold over an array, for tests and the array form.
+* ``exact_fold``: per-block replay of the literal recursion, seeded from the
+  blocked scan 600 rows before the block; same bits as one sequential fold.
+* ``ewma_fold_expr`` / ``ewma_running_list``: fold over an array, for tests
+  and the literal running-list form.
 
-Results equal the sequential fold up to floating-point rounding.
+The blocked scan equals the sequential fold up to floating-point rounding.
 """
 
 from __future__ import annotations
