@@ -133,13 +133,16 @@ def ewma(df: DataFrame, col: str, com: float, out: str | None = None,
     spacing (one hour by default); it only sizes the row-index spans.
     """
     from candlewick.operators.sequence import blocks_with_halo, with_row_index
+    from candlewick.session import materialize_by
     out = out or f"{col}_ewma"
     rows_r, _ = block_plan(com, block_rows)
     a = alpha_of(com)
     seq = with_row_index(df, span_micros * rows_r, key, order)
     seq = seq.withColumn("_x", F.when(F.col(T) == 0, F.col(col) / F.lit(a)).otherwise(F.col(col)))
-    u = blocks_with_halo(seq, rows_r, 0)
+    u = blocks_with_halo(seq, rows_r, 0).repartition(key, BLK)
     u = u.select("*", *local_sums(["_x"], com, rows_r, key))
+    # read twice (block sums, carry join): one bucketed table, read in place
+    u = materialize_by(u, [key, BLK], [key, BLK, T])
     return blocked_ewma(u, ["_x"], [out], com, rows_r, key).drop("_x", OWN)
 
 
