@@ -227,3 +227,19 @@ def test_hot_symbol_spreads_over_tasks(spark):
     mine = got.sort_values("datetime")
     assert len(mine) == len(exp) > 2000
     assert max(abs(a - b[2]) for a, b in zip(mine["up_ewma"], exp)) < 1e-6 * max(b[2] for b in exp)
+
+
+def test_exact_fold_bits_across_blocks(spark):
+    """~2,400 daily candles of one symbol in 700-row blocks (longer than the
+    600-row warm-up): every EWMA value has the bits of one sequential fold."""
+    from candlewick.sources.tables import table
+    from candlewick.sources.ticks import ticks_from
+    from tests.conftest import SF01
+    orders = table(spark, SF01, "orders").withColumn("one", F.lit("ALL"))
+    c = candles_from_ticks(ticks_from(orders, "one", "o_orderdate", "o_orderkey", "o_totalprice"), "1 day")
+    got = rsi_frame(c, "1 day", block_rows=700).select("datetime", "_blk", "up_ewma", "down_ewma").toPandas()
+    got = got.sort_values("datetime")
+    assert got["_blk"].nunique() >= 3
+    exp = brute.rsi_rows(list(c.select("datetime", "close").toPandas().sort_values("datetime")["close"]))
+    assert list(got["up_ewma"]) == [e[2] for e in exp]
+    assert list(got["down_ewma"]) == [e[3] for e in exp]
