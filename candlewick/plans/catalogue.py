@@ -31,7 +31,7 @@ from candlewick.session import materialize_by
 from candlewick.sources.klines import decode_kline_payload, pack_kline_payload
 from candlewick.sources.tables import table
 from candlewick.sources.ticks import event_ticks, order_ticks
-from candlewick.sinks.messages import kafka_frame, to_json_messages
+from candlewick.sinks.messages import kafka_frame, parse_messages, to_json_messages
 from candlewick.streaming.candles import landed_glob
 from candlewick.streaming.jobs import run_candle_stream, run_streams
 
@@ -343,7 +343,28 @@ C1M = Q.candles(Q.EVENT_TICKS, "1 minute")
 
 QUERIES["rsi_warmup"].sql = WARM_SQL.replace("{src}", Q.rsi_full(C1H))
 
+SIGNALS_SQL = (f"SELECT datetime, symbol, close, CAST(CASE WHEN bear THEN {S.BEARISH} ELSE {S.BULLISH} END "
+               f"AS INTEGER) AS diversions, CAST(0 AS INTEGER) AS convert "
+               f"FROM ({Q.flags(Q.rsi_full(C4H))}) WHERE bull OR bear")
+SIGNAL_MSG_SCHEMA = ("datetime timestamp_ntz, symbol string, close double, "
+                     "diversions int, convert int")
+
+
+def _signal_roundtrip(spark, sf):
+    return parse_messages(to_json_messages(dv.signals(_flags(spark, sf))), SIGNAL_MSG_SCHEMA)
+
+
+def _kafka_roundtrip(spark, sf):
+    return parse_messages(kafka_frame(dv.signals(_flags(spark, sf))), SIGNAL_MSG_SCHEMA)
+
+
 QUERIES.update({
+    "signal_json_roundtrip": Query(
+        _signal_roundtrip, ["datetime", "symbol", "close", "diversions", "convert"], {"close"},
+        SIGNALS_SQL, "SNK4 (encode with to_json, decode, compare)"),
+    "kafka_frame_roundtrip": Query(
+        _kafka_roundtrip, ["key", "datetime", "symbol", "close", "diversions", "convert"], {"close"},
+        f"SELECT symbol AS key, * FROM ({SIGNALS_SQL})", "SNK5 (key = symbol, value decoded)"),
     "rsi_history_1m": Query(
         lambda s, d: _rsi_rows(s, d, "1 minute")[0], S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(C1M),
         "RES3 CMP1 WIN3 (minute candles: several blocks per symbol)"),

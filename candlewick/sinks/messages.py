@@ -53,3 +53,10 @@ def stream_to_console(df: DataFrame, checkpoint: str):
     """SNK6 for a streaming frame (debugging only)."""
     return (df.writeStream.format("console").option("truncate", False)
               .option("checkpointLocation", checkpoint).start())
+
+
+def parse_messages(df: DataFrame, schema, value: str = "value") -> DataFrame:
+    """Decode JSON messages back into columns (consumer side / round trip)."""
+    return df.select(*[c for c in df.columns if c != value],
+                     F.from_json(F.col(value), schema).alias("_m")).select(
+        *[c for c in df.columns if c != value], "_m.*")
