@@ -342,6 +342,12 @@ WARM_SQL = ("SELECT datetime, symbol, close, AU, AD, CASE WHEN AU IS NULL OR AD
 C1M = Q.candles(Q.EVENT_TICKS, "1 minute")
 
 QUERIES["rsi_warmup"].sql = WARM_SQL.replace("{src}", Q.rsi_full(C1H))
+QUERIES["rsi_warmup_last_20"] = Query(
+    lambda s, d: topn.newest_n(rsi_warmup(_candles(s, d, "1 hour"), "1 hour", block_rows=BLOCK), 20),
+    ["datetime", "symbol", "close", "AU", "AD", "RSI", "rn"], {"close", "AU", "AD", "RSI"},
+    "SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) AS rn FROM ("
+    + WARM_SQL.replace("{src}", Q.rsi_full(C1H)) + ") QUALIFY rn <= 20",
+    "SRT5 PD3 (the notebook's last-20 view)")
 
 SIGNALS_SQL = (f"SELECT datetime, symbol, close, CAST(CASE WHEN bear THEN {S.BEARISH} ELSE {S.BULLISH} END "
                f"AS INTEGER) AS diversions, CAST(0 AS INTEGER) AS convert "
