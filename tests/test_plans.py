@@ -46,3 +46,22 @@ def test_lifecycle_python_groups_are_blocks(spark):
     groups = re.findall(r"FlatMapCoGroupsInPandas \[([^\]]*)\]", plan)
     assert groups and all("_lb" in g or "_blk" in g for g in groups)
     assert "FlatMapGroupsInPandas" not in plan
+
+
+def test_bucketed_materialization_is_read_in_place(spark):
+    from pyspark.sql import functions as F
+    from candlewick.session import materialize_by
+    c = candles_from_ticks(event_ticks(spark, SF001), "1 hour").withColumn("_blk", F.lit(0).cast("long"))
+    m = materialize_by(c.repartition("symbol", "_blk"), ["symbol", "_blk"], ["symbol", "_blk", "datetime"])
+    assert "Exchange" not in _plan(m.groupBy("symbol", "_blk").count())
+    assert m.count() == c.count()
+
+
+def test_divergence_on_bucketed_rsi_moves_no_rows(spark):
+    from candlewick.session import materialize_by
+    c = candles_from_ticks(event_ticks(spark, SF001), "4 hours")
+    r = materialize_by(rsi_frame(c, "4 hours", block_rows=64), ["symbol", "_blk"], ["symbol", "_blk", "_t"])
+    lines = _plan(divergence_flags(r, 64)).splitlines()
+    for i, ln in enumerate(lines):
+        if "Exchange hashpartitioning" in ln:
+            assert "datetime" not in lines[i + 1], lines[i + 1]
