@@ -1,0 +1,61 @@
+"""Column expressions: edge cases of the scalar functions."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from candlewick.functions import indicators as I
+from candlewick.functions.timefn import epoch_ms_to_ts, ordering_key, utc_to_wall_clock
+
+
+def _one(spark, expr, schema, row):
+    return spark.createDataFrame([row], schema).select(expr.alias("v")).first().v
+
+
+def test_gain_loss_and_null_rules(spark):
+    sch = "d double"
+    assert _one(spark, I.gain("d"), sch, (2.5,)) == 2.5
+    assert _one(spark, I.loss("d"), sch, (-1.5,)) == 1.5
+    assert _one(spark, I.gain("d"), sch, (None,)) == 0.0      # job form: NULL delta counts 0
+    assert _one(spark, I.gain_keep_null("d"), sch, (None,)) is None   # notebook form keeps NaN
+    assert _one(spark, I.loss_keep_null("d"), sch, (-3.0,)) == 3.0
+    assert _one(spark, I.loss_keep_null("d"), sch, (3.0,)) == 0.0
+
+
+def test_rs_zero_divisor_and_warm_rule(spark):
+    sch = "u double, d double"
+    assert _one(spark, I.relative_strength("u", "d"), sch, (1.0, 0.0)) is None
+    assert _one(spark, I.rsi_from_rs(I.relative_strength("u", "d")), sch, (1.0, 1.0)) == 50.0
+    assert _one(spark, I.rsi_from_averages_warm("u", "d"), sch, (1.0, 0.0)) == 100.0
+    assert _one(spark, I.rsi_from_averages_warm("u", "d"), sch, (0.0, 0.0)) is None
+
+
+def test_pct_change(spark):
+    sch = "a double, b double"
+    assert _one(spark, I.pct_change("a", "b"), sch, (100.0, 100.0)) == 0.0
+    assert _one(spark, I.pct_change("a", "b"), sch, (95.0, 100.0)) == pytest.approx(5.263157894736842)
+    assert _one(spark, I.pct_change("a", "b"), sch, (0.0, 1.0)) is None
+
+
+def test_interval_parse():
+    assert I.interval_micros("4 hours") == 4 * 3_600_000_000
+    assert I.interval_micros("1 day") == 86_400_000_000
+    assert I.interval_micros("15 minutes") == 15 * 60_000_000
+    with pytest.raises(ValueError):
+        I.interval_micros("a fortnight")
+
+
+def test_epoch_and_exchange_wall_clock(spark):
+    ms = 1_704_067_200_000  # 2024-01-01 00:00 UTC
+    assert _one(spark, epoch_ms_to_ts("m"), "m long", (ms,)) == dt.datetime(2024, 1, 1)
+    got = _one(spark, utc_to_wall_clock(epoch_ms_to_ts("m"), "Asia/Seoul"), "m long", (ms,))
+    assert got == dt.datetime(2024, 1, 1, 9)
+
+
+def test_ordering_key_is_lexicographic(spark):
+    rows = [(dt.datetime(2024, 1, 1, 0, 0, 1), 5), (dt.datetime(2024, 1, 1, 0, 0, 1), -3),
+            (dt.datetime(2024, 1, 1, 0, 0, 0), 2 ** 62), (dt.datetime(1969, 12, 31), 0)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, seq long").withColumn("k", ordering_key("ts", "seq"))
+    by_key = [(r.ts, r.seq) for r in df.orderBy("k").collect()]
+    assert by_key == sorted(rows)
