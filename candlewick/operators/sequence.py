@@ -8,9 +8,8 @@ hold a third of all rows.  Instead:
    symbol.  Rows are grouped into coarse time spans ``(symbol, _tb)``; the
    per-span counts (one row per span, pre-aggregated map-side) are
    prefix-summed per symbol and joined back, then ``row_number`` runs inside
-   each span.  The span offsets are a two-level prefix sum, so only a table
-   of span groups (about a million times smaller than the data) is ordered
-   per symbol.
+   each span.  The span offsets are a three-level prefix sum, so only a
+   table about 10^9 times smaller than the spans is ordered per symbol.
 2. ``blocks_with_halo`` cuts each symbol into blocks of exactly ``R`` rows
    (``_blk = _t div R``, the last block may be shorter).  Row windows run over
    ``partitionBy(symbol, _blk)``: bounded groups, spread over all tasks.  The
@@ -59,21 +58,27 @@ SPAN_GROUP = 1024
 
 
 def prefix_sum(df: DataFrame, key: str, order: str, value: str, out: str,
-               group: int = SPAN_GROUP) -> DataFrame:
+               group: int = SPAN_GROUP, levels: int = 3) -> DataFrame:
     """Exclusive running sum of ``value`` per ``key`` in ``order`` (an integer).
 
-    Two levels so no task orders a whole key: a running sum inside groups
-    of ``group`` consecutive order values, plus the running sum of group
-    totals (a table ``group`` times smaller), joined back.
+    Multi-level so no task orders a whole key: a running sum inside groups of
+    ``group`` consecutive order values, plus the exclusive running sum of the
+    group totals (computed the same way, one level up), joined back.  With
+    three levels of 1,024 the only per-key ordering is over a table about
+    10^9 times smaller than the input.
     """
-    g = df.withColumn("_g", F.floor(F.col(order) / group))
-    inner = Window.partitionBy(key, "_g").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
-    totals = g.groupBy(key, "_g").agg(F.sum(value).alias("_gt"))
-    before = Window.partitionBy(key).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
-    outer = totals.select(key, "_g", F.coalesce(F.sum("_gt").over(before), F.lit(0)).alias("_gout"))
-    return (g.join(outer, [key, "_g"])
-             .select(*[F.col(c) for c in df.columns], (F.col("_gout") + F.col("_in")).alias(out)))
+    gcol, icol, tcol, ocol = f"_g{levels}", f"_in{levels}", f"_gt{levels}", f"_go{levels}"
+    g = df.withColumn(gcol, F.floor(F.col(order) / group))
+    inner = Window.partitionBy(key, gcol).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    g = g.withColumn(icol, F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    totals = g.groupBy(key, gcol).agg(F.sum(value).alias(tcol))
+    if levels > 1:
+        outer = prefix_sum(totals, key, gcol, tcol, ocol, group, levels - 1).select(key, gcol, ocol)
+    else:
+        before = Window.partitionBy(key).orderBy(gcol).rowsBetween(Window.unboundedPreceding, -1)
+        outer = totals.select(key, gcol, F.coalesce(F.sum(tcol).over(before), F.lit(0)).alias(ocol))
+    return (g.join(outer, [key, gcol])
+             .select(*[F.col(c) for c in df.columns], (F.col(ocol) + F.col(icol)).alias(out)))
 
 
 def blocks_with_halo(seq: DataFrame, block_rows: int, halo: int) -> DataFrame:

@@ -243,3 +243,14 @@ def test_exact_fold_bits_across_blocks(spark):
     exp = brute.rsi_rows(list(c.select("datetime", "close").toPandas().sort_values("datetime")["close"]))
     assert list(got["up_ewma"]) == [e[2] for e in exp]
     assert list(got["down_ewma"]) == [e[3] for e in exp]
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_multi_level_prefix_sum(spark, levels):
+    from candlewick.operators.sequence import prefix_sum
+    rows = [(k, o, (o * 7 + len(k)) % 5) for k in ("a", "bb") for o in range(0, 90, 2)]
+    df = spark.createDataFrame(rows, "k string, o long, v long")
+    got = prefix_sum(df, "k", "o", "v", "p", group=3, levels=levels).toPandas().sort_values(["k", "o"])
+    for k, g in got.groupby("k"):
+        vals = list(g["v"])
+        assert list(g["p"]) == [sum(vals[:i]) for i in range(len(vals))]
