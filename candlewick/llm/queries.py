@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from candlewick.llm.common import table
 from candlewick.llm.decontaminate import decontaminate
 from candlewick.llm.sharding import shard_documents
+from candlewick.llm.simhash import hex16, near_duplicates
 from candlewick.llm.token_count import count_tokens
 
 SHARDS = 40
@@ -37,6 +38,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", hex16(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -45,6 +51,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op7_token_counts": op7_token_counts,
+    "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
 }
 
