@@ -10,8 +10,10 @@ from candlewick.llm.decontaminate import decontaminate
 from candlewick.llm.sharding import shard_documents
 from candlewick.llm.simhash import hex16, near_duplicates
 from candlewick.llm.token_count import count_tokens
+from candlewick.llm.topk import build_index, top_k
 
 SHARDS = 40
+QUERY_EVERY, TOP = 50, 5
 TOKEN_LIMIT = 512
 
 
@@ -31,6 +33,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         c["contaminated"].alias("contaminated"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    queries = vectors.where(F.col("vec_id") % QUERY_EVERY == 0)
+    return top_k(build_index(vectors, "vec_id", "embedding"), queries, "vec_id", "embedding", TOP)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, tokenizer_path("byte_bpe_50k.json")).select(
@@ -50,6 +58,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op3_topk": op3_topk,
     "op7_token_counts": op7_token_counts,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
