@@ -11,6 +11,7 @@ from candlewick.llm.sharding import shard_documents
 from candlewick.llm.simhash import hex16, near_duplicates
 from candlewick.llm.token_count import count_tokens
 from candlewick.llm.topk import build_index, top_k
+from candlewick.llm.warc import page_id_of, read_warc, write_warc
 
 SHARDS = 40
 QUERY_EVERY, TOP = 50, 5
@@ -39,6 +40,13 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(build_index(vectors, "vec_id", "embedding"), queries, "vec_id", "embedding", TOP)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_warc(write_warc(table(spark, sf_dir, "pages")))
+    return records.select(
+        page_id_of("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page_id_of("refers_to").cast("long").alias("refers_to"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, tokenizer_path("byte_bpe_50k.json")).select(
@@ -59,6 +67,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_topk": op3_topk,
+    "op4_warc": op4_warc,
     "op7_token_counts": op7_token_counts,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
