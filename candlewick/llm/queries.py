@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.common import table
 from candlewick.llm.decontaminate import decontaminate
+from candlewick.llm.sentencepiece_codec import encode_checked, n_tokens
 from candlewick.llm.sharding import shard_documents
 from candlewick.llm.simhash import hex16, near_duplicates
 from candlewick.llm.token_count import count_tokens
@@ -54,6 +55,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    e = F.col("encoded")
+    return encode_checked(docs, tokenizer_path("piece_bpe_32k.model")).select(
+        "doc_id", n_tokens(e["ids"]).alias("n_tokens"), e["ids"].alias("ids"),
+        e["round_trip"].alias("round_trip"), e["parity"].alias("parity"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", hex16(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -69,6 +78,7 @@ QUERIES = {
     "op3_topk": op3_topk,
     "op4_warc": op4_warc,
     "op7_token_counts": op7_token_counts,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
 }
