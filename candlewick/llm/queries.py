@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import table
+from candlewick.llm import quality
+from candlewick.llm.common import fold, table
 from candlewick.llm.decontaminate import decontaminate
 from candlewick.llm.sentencepiece_codec import encode_checked, n_tokens
 from candlewick.llm.sharding import shard_documents
@@ -48,6 +49,18 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         page_id_of("refers_to").cast("long").alias("refers_to"))
 
 
+def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _labelled(spark, sf_dir)
+    held = fold("doc_id", 3) == 1
+    model = quality.fit(docs, labels, ~held)
+    return quality.score(docs, model, out="score").select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, tokenizer_path("byte_bpe_50k.json")).select(
@@ -77,6 +90,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_topk": op3_topk,
     "op4_warc": op4_warc,
+    "op5_quality": op5_quality,
     "op7_token_counts": op7_token_counts,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash": op9_simhash,
