@@ -76,9 +76,10 @@ def frequent_pieces(df: DataFrame, text: str, k: int = FREQUENT, tracked: int =
     level = pieces.groupBy("part").agg(F.expr(f"approx_top_k_accumulate(piece, {tracked})").alias("s"))
     level = level.groupBy(F.pmod("part", F.lit(64)).alias("part")).agg(
         F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
-    level = level.agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
-    row = level.where("s is not null").select(F.expr(f"approx_top_k_estimate(s, {k})").alias("top")).head()
-    return [] if row is None or row.top is None else [x["item"] for x in row.top]
+    # grouped by a constant: an ungrouped one would also make a sketch of each empty partition, which can't be sent
+    level = level.groupBy(F.pmod("part", F.lit(1))).agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
+    row = level.select(F.expr(f"approx_top_k_estimate(s, {k})").alias("top")).head()
+    return [] if row is None else [x["item"] for x in row.top]
 
 
 class _Lengths(dict):
