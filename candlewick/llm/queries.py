@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import quality
+from candlewick.llm import quality, toxicity
 from candlewick.llm.common import fold, table
 from candlewick.llm.decontaminate import decontaminate
 from candlewick.llm.sentencepiece_codec import encode_checked, n_tokens
@@ -18,6 +18,7 @@ from candlewick.llm.warc import page_id_of, read_warc, write_warc
 SHARDS = 40
 QUERY_EVERY, TOP = 50, 5
 TOKEN_LIMIT = 512
+TOXIC = 0.7
 
 
 def tokenizer_path(name: str) -> str:
@@ -61,6 +62,14 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _labelled(spark, sf_dir)
+    held = fold("doc_id", 3) == 1
+    model = toxicity.fit(docs, labels, ~held)
+    return toxicity.score(docs, model, out="score").select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, tokenizer_path("byte_bpe_50k.json")).select(
@@ -91,6 +100,7 @@ QUERIES = {
     "op3_topk": op3_topk,
     "op4_warc": op4_warc,
     "op5_quality": op5_quality,
+    "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash": op9_simhash,
