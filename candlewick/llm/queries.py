@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from candlewick.llm import quality, toxicity
 from candlewick.llm.common import fold, table
 from candlewick.llm.decontaminate import decontaminate
+from candlewick.llm.lm_score import score_documents
 from candlewick.llm.sentencepiece_codec import encode_checked, n_tokens
 from candlewick.llm.sharding import shard_documents
 from candlewick.llm.simhash import hex16, near_duplicates
@@ -37,6 +38,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         c["contaminated"].alias("contaminated"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, fold("doc_id", 5) != 1).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     queries = vectors.where(F.col("vec_id") % QUERY_EVERY == 0)
@@ -97,6 +104,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_lm_score": op2_lm_score,
     "op3_topk": op3_topk,
     "op4_warc": op4_warc,
     "op5_quality": op5_quality,
