@@ -17,7 +17,7 @@ the materialised rows, with the same result.
 Edge cases: null and empty texts have no words and no hits; a null or empty
 item has no window; items with a null id mark hits but are not listed; a
 repeated item id counts once.  An empty benchmark or table is fine.  Other
-columns pass through; ``contamination`` is replaced if the input has it.
+columns pass through; a column named like the output is replaced.
 """
 
 from __future__ import annotations
@@ -139,8 +139,9 @@ def _scanner(shared):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", words: int = WORDS, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """Add struct column ``contamination``: n_words, n_hit, n_items, items
+                  item_text: str = "text", words: int = WORDS, block_windows: int = BLOCK_WINDOWS,
+                  out: str = "contamination") -> DataFrame:
+    """Add struct column ``out``: n_words, n_hit, n_items, items
     (ids sorted as strings), spans (character offsets in the original text;
     of each block on its own when the benchmark has several) and contaminated."""
     spark = docs.sparkSession
@@ -158,7 +159,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
     items = F.array_sort(all_of("items"))
     n_hit = F.size(all_of("hits")).cast("long")
-    return df.withColumn("contamination", F.struct(
+    return df.withColumn(out, F.struct(
         F.col(parts[0])["n_words"].alias("n_words"), n_hit.alias("n_hit"),
         F.size(items).cast("long").alias("n_items"), items.alias("items"),
         all_of("spans").alias("spans"), (n_hit > 0).alias("contaminated"))).drop(*parts)
