@@ -1,0 +1,92 @@
+import collections
+import math
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from candlewick.llm.lm_score import MU, score_documents
+from candlewick.llm.queries import op2_lm_score
+from tests.conftest import SF001
+from tests.llm.helpers import TEXTS, edge_docs, empty_docs
+
+END, BEGIN = 0, 1
+
+
+def brute(docs, order=2, mu=MU):
+    """Scores by counting n-gram tuples; docs: (id, text, train)."""
+    toks = [(i, (t or "").encode().lower().split() + [END], tr) for i, t, tr in docs]
+    counts = [collections.Counter() for _ in range(order)]
+    ends = 0
+    for _, w, tr in toks:
+        if tr:
+            ends += 1
+            for j in range(len(w)):
+                for k in range(order):
+                    counts[k][tuple(w[j - d] if j >= d else BEGIN for d in range(k, -1, -1))] += 1
+    n, v = sum(counts[0].values()), len(counts[0])
+    out = []
+    for i, w, tr in toks:
+        base = score = 0.0
+        known = 0
+        for j in range(len(w)):
+            c = counts[0][(w[j],)]
+            known += c > 0
+            p = (c + 0.5) / (n + 0.5 * (v + 1))
+            base += math.log10(p)
+            for k in range(1, order):
+                gram = tuple(w[j - d] if j >= d else BEGIN for d in range(k, -1, -1))
+                context = ends if j == 0 else counts[k - 1][gram[:-1]]
+                p = (counts[k][gram] + mu * p) / (context + mu)
+            score += math.log10(p)
+        out.append((i, tr, len(w), known, n, base, score))
+    return out
+
+
+def close(got, exp):
+    key = lambda r: tuple((x is None, str(x)) for x in r[:5]) + (round(r[5], 6),)
+    got, exp = sorted(got, key=key), sorted(exp, key=key)
+    assert [g[:5] for g in got] == [e[:5] for e in exp]
+    for g, e in zip(got, exp):
+        assert g[5] == pytest.approx(e[5], abs=1e-7) and g[6] == pytest.approx(e[6], abs=1e-7)
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()
+    exp = brute([(r.doc_id, r.text, zlib.crc32(str(r.doc_id).encode()) % 5 != 1) for r in docs])
+    got = [tuple(r) for r in op2_lm_score(spark, SF001).collect()]
+    close([(g[0], not g[1], *g[2:]) for g in got], exp)
+    held = [g for g in got if g[1]]
+    assert held and sum(g[6] for g in held) > sum(g[5] for g in held)  # better than words alone
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_orders_blocks_and_edges(spark, order):
+    docs = edge_docs(spark)
+    got = score_documents(docs, F.coalesce(F.col("doc_id") != 7, F.lit(True)), order=order, block_bytes=40_000,
+                          partition_keys=16)
+    exp = brute([(i, t, i != 7) for i, t in TEXTS], order)
+    close([tuple(r) for r in got.collect()], exp)
+
+
+def test_probabilities_sum_to_one():
+    docs = [(1, "a b a c", True), (2, "b b a", True)]
+    words = ["a", "b", "c", "unseen"]
+    # after "a": every next token, the end and one unknown word share all probability
+    for order in (2, 3):
+        first = brute(docs + [(0, "a", False)], order)[-1][6]
+        # p(a) p(end | a) against p(a) p(w | a): take the first two tokens' share
+        total = 10 ** first
+        for w in words:
+            two = brute(docs + [(0, f"a {w}", False)], order)[-1][6]
+            last = brute(docs + [(0, f"a {w}", False)], order)[-1]
+            assert last[2] == 3
+            total += 10 ** two
+        head = sum(10 ** brute(docs + [(0, f"{w}", False)], order)[-1][6] for w in words)
+        assert 0 < total < 1 and 0 < head < 1
+
+
+def test_no_rows_and_no_training(spark):
+    assert score_documents(empty_docs(spark), F.lit(True)).count() == 0
+    got = score_documents(edge_docs(spark), F.lit(False)).collect()
+    assert {(r.base_score, r.score, r.n_known, r.train_tokens) for r in got} == {(0.0, 0.0, 0, 0)}
