@@ -58,7 +58,8 @@ SECOND_PERSON = frozenset(
 LOOK_ALIKE = str.maketrans("013457@$!", "oieastasi")
 
 _WORD = re.compile(r"[^\W\d_]+")
-_MASKED = re.compile(r"[^\W\d_][0-9@$!*.\-_]+[^\W\d_][\w@$!*.\-]*")
+_MASKED = re.compile(r"[^\W\d_][0-9@$!*.\-_]+[^\W\d_][\w@$!*.\-]{0,40}")
+_BEFORE = re.compile(r"[\w@$!*.\-]*\Z")
 
 
 # ---------------------------------------------------------------- features
@@ -106,7 +107,8 @@ def features(text: str | None, words: dict, stems: dict) -> list[float]:
                 stem_weight += begun[w]
             near += bool(second) and not second.isdisjoint(tokens[max(0, i - NEAR):i + NEAR + 1])
         seconds = sum(w in second for w in tokens) if second else 0
-    masked = [m[0] for m in _MASKED.finditer(text)]
+    # from the word's first character on, at most 40 before the match
+    masked = [_BEFORE.search(text, max(0, m.start() - 40), m.start())[0] + m[0] for m in _MASKED.finditer(text)]
     hidden = sum(_unmasked(t, words) for t in masked) if words else 0
     letters = sum(map(len, tokens))
     upper = sum(map(str.isupper, text)) if not text.islower() else 0
