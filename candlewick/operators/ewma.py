@@ -11,12 +11,15 @@ The recursive form of the original jobs is ``e_0 = x_0``,
   e^300.  The value entering block k is the fold of the previous blocks'
   end values: ``carry_k = sum_c L_c * b^(R*(k-1-c))`` over full blocks.
   Terms more than ~1500/(R*ln(1/b)) blocks back underflow to exactly 0 in
-  double arithmetic, so the K previous blocks give the complete sum; each
-  block's end value is sent to its next K blocks (explode + group by
-  block), so no task orders a symbol's blocks.
+  double arithmetic, so the K previous blocks give the complete sum.  While K
+  is small each block's end value is sent to its next K blocks (explode +
+  group by block); for a long memory (large com) the end values are scanned
+  the same way themselves, one level up, so no task orders a symbol's blocks
+  and no block is sent to many.
   Then ``e_t = b^(j+1) * carry + local_j``.
 * ``exact_fold``: per-block replay of the literal recursion, seeded from the
-  blocked scan 600 rows before the block; same bits as one sequential fold.
+  blocked scan ``warmup_rows`` before the block; same bits as one sequential
+  fold.  Blocks are at least that long (``exact_rows``), whatever ``com`` is.
 * ``ewma_fold_expr`` / ``ewma_running_list``: fold over an array, for tests
   and the literal running-list form.
 
@@ -31,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.operators.sequence import BLK, OWN, T, block_position, in_block
+from candlewick.session import materialize
 
 
 def alpha_of(com: float) -> float:
@@ -50,6 +54,13 @@ def block_plan(com: float, block_rows: int) -> tuple[int, int]:
     return rows, frame
 
 
+def exact_rows(com: float, block_rows: int) -> int:
+    """Block rows for ``exact_fold``: longer than its warm-up, and still
+    numerically safe for the scan (the warm-up decays by 2^-64, far from the
+    scan's e^-300)."""
+    return block_plan(com, max(block_rows, warmup_rows(com) + 1))[0]
+
+
 def fold_step(com: float):
     a = alpha_of(com)
     keep = 1.0 - a
@@ -102,18 +113,10 @@ def blocked_ewma(rows: DataFrame, cols: list[str], out: list[str], com: float,
     ends = blocks.select(key, BLK, *[
         (F.lit(a) * F.pow(F.lit(beta), F.col("_m") - 1) * F.col(f"_S_{c}")).alias(f"_L_{c}")
         for c in cols])
-    # each block's end value travels to the next ``frame`` blocks (explode),
-    # grouped per target block: no task orders a whole symbol's blocks
-    decay = F.lit(beta ** block_rows)
-    sent = ends.select(key, F.col(BLK).alias("_src"), *[F.col(f"_L_{c}") for c in cols],
-                       F.explode(F.sequence(F.col(BLK) + 1, F.col(BLK) + frame)).alias(BLK))
-    got = sent.groupBy(key, BLK).agg(
-        F.array_sort(F.collect_list(F.struct("_src", *[f"_L_{c}" for c in cols]))).alias("_prev"))
-    def fold_of(field):
-        return lambda acc, v: acc * decay + v[field]
-
-    carry = got.select(key, BLK, *[
-        F.aggregate(F.col("_prev"), F.lit(0.0), fold_of(f"_L_{c}")).alias(f"_c_{c}") for c in cols])
+    names = [f"_L_{c}" for c in cols]
+    ends = materialize(ends) if frame > MAX_SENT else ends
+    carry = block_carry(ends, names, -math.log(beta) * block_rows, key, BLK).select(
+        key, BLK, *[F.col(n).alias(f"_c_{c}") for n, c in zip(names, cols)])
     joined = rows.join(carry, [key, BLK], "left")
     outs = []
     for c, o in zip(cols, out):
@@ -123,6 +126,41 @@ def blocked_ewma(rows: DataFrame, cols: list[str], out: list[str], com: float,
     return joined.select("*", *outs).drop(*drop)
 
 
+MAX_SENT = 16  # blocks that a block's end value is sent to
+
+
+def block_carry(ends: DataFrame, cols: list[str], lam: float, key: str, idx: str) -> DataFrame:
+    """State entering each step of a decaying sum: for steps ``idx`` (0, 1, ...
+    per ``key``) with end values ``cols`` and decay ``e^-lam`` a step,
+    ``carry_k = sum over c < k of x_c * e^(-lam (k - 1 - c))``."""
+    frame = int(math.ceil(1500.0 / lam)) + 1
+    if frame <= MAX_SENT:
+        decay = F.lit(math.exp(-lam))
+        sent = ends.select(key, F.col(idx).alias("_src"), *cols,
+                           F.explode(F.sequence(F.col(idx) + 1, F.col(idx) + frame)).alias(idx))
+        # steps without an end value in between can't occur: idx has no gaps
+        got = sent.groupBy(key, idx).agg(
+            F.array_sort(F.collect_list(F.struct("_src", *cols))).alias("_prev"))
+
+        def fold_of(field):
+            return lambda acc, v: acc * decay + v[field]
+
+        return got.select(key, idx, *[
+            F.aggregate(F.col("_prev"), F.lit(0.0), fold_of(c)).alias(c) for c in cols])
+    # groups of steps, scanned natively; group ends go the same way one level up
+    size = max(2, int(300.0 / lam))
+    group, pos = f"{idx}g", F.col(idx) - F.col(f"{idx}g") * size
+    g = ends.withColumn(group, F.floor(F.col(idx) / size))
+    inside = Window.partitionBy(key, group).orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
+    g = g.select(key, idx, group, *[
+        (F.exp(-lam * pos) * F.sum(F.col(c) * F.exp(lam * pos)).over(inside)).alias(c) for c in cols])
+    g = materialize(g)
+    outer = block_carry(g.where(pos == size - 1).select(key, F.col(group), *cols), cols, lam * size, key, group)
+    outer = outer.select(key, group, *[F.col(c).alias(f"_up_{c}") for c in cols])
+    return g.join(outer, [key, group], "left").select(key, (F.col(idx) + 1).alias(idx), *[
+        (F.col(c) + F.exp(-lam * (pos + 1)) * F.coalesce(F.col(f"_up_{c}"), F.lit(0.0))).alias(c) for c in cols])
+
+
 def ewma(df: DataFrame, col: str, com: float, out: str | None = None,
          span_micros: int = 3_600_000_000, block_rows: int = 2048,
          key: str = "symbol", order: str = "datetime") -> DataFrame:
@@ -171,7 +209,9 @@ def exact_fold(rows: DataFrame, xcols: list[str], ecols: list[str], com: float,
     """
     a = alpha_of(com)
     keep = 1.0 - a
-    halo_n = min(block_rows - 1, warmup_rows(com))
+    halo_n = warmup_rows(com)
+    if halo_n >= block_rows:
+        raise ValueError(f"an exact fold with com {com} needs blocks of more than {halo_n} rows (exact_rows)")
     j = block_position(block_rows)
     # fresh column ids: the halo is a view of ``rows`` and must not alias it
     halo = (rows.where(j >= block_rows - halo_n)

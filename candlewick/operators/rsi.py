@@ -14,7 +14,7 @@ from candlewick import schema as S
 from candlewick.functions.indicators import (
     gain, interval_micros, loss, relative_strength, rsi_from_averages_warm, rsi_from_rs)
 from candlewick.operators.ewma import (
-    alpha_of, block_plan, blocked_ewma, exact_fold, local_sums, tail_fold)
+    alpha_of, block_plan, blocked_ewma, exact_fold, exact_rows, local_sums, tail_fold)
 from candlewick.session import materialize_by
 from candlewick.operators.sequence import (
     BLK, DEFAULT_BLOCK_ROWS, OWN, T, blocks_with_halo, in_block, with_row_index)
@@ -28,17 +28,23 @@ def with_gains(df: DataFrame, key: str) -> DataFrame:
               .withColumn("down", loss("delta")))
 
 
+def frame_rows(com: float, block_rows: int, exact: bool) -> int:
+    return exact_rows(com, block_rows) if exact else block_plan(com, block_rows)[0]
+
+
 def rsi_frame(candles: DataFrame, interval: str = "1 hour", com: float = S.COM,
               block_rows: int = DEFAULT_BLOCK_ROWS, key: str = "symbol",
-              order: str = "datetime", exact: bool = True) -> DataFrame:
+              order: str = "datetime", exact: bool = False) -> DataFrame:
     """Full-history RSI per row, keeping ``_t``/``_blk`` for chained operators.
 
-    Adds prev_close, delta, up, down, up_ewma, down_ewma, rs, rsi.  With
-    ``exact`` the EWMA values are replayed per block (``exact_fold``) and
-    equal the original sequential fold bit for bit; without it they come
-    from the native blocked scan (within ~1e-15 relative), with no Python.
+    Adds prev_close, delta, up, down, up_ewma, down_ewma, rs, rsi.  The EWMA
+    values come from the native blocked scan (within ~1e-15 relative), with no
+    Python.  With ``exact`` they are replayed per block (``exact_fold``) and
+    equal the original sequential fold bit for bit, which matters where RSI
+    values are compared with each other (divergence on flat prices).  Blocks
+    have ``frame_rows(com, block_rows, exact)`` rows.
     """
-    rows_r, _ = block_plan(com, block_rows)
+    rows_r = frame_rows(com, block_rows, exact)
     seq = with_row_index(candles, interval_micros(interval) * rows_r, key, order)
     blocks = blocks_with_halo(seq, rows_r, 1).repartition(key, BLK)  # AQE may coalesce
     u = with_gains(blocks, key)
@@ -80,7 +86,7 @@ def rsi_tail(candles: DataFrame, interval: str = "1 hour", com: float = S.COM,
 
 
 def rsi_warmup(candles: DataFrame, interval: str = "1 hour", period: int = S.WARMUP_PERIODS,
-               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+               block_rows: int = DEFAULT_BLOCK_ROWS, exact: bool = False) -> DataFrame:
     """CMP3: normalised averages with ``min_periods = period`` (com = period - 1).
 
     AU_t = up_ewma_t / (1 - b^t); NULL while fewer than ``period`` deltas
@@ -88,7 +94,7 @@ def rsi_warmup(candles: DataFrame, interval: str = "1 hour", period: int = S.WAR
     """
     com = period - 1
     beta = 1.0 - alpha_of(com)
-    r = rsi_frame(candles, interval, com, block_rows)
+    r = rsi_frame(candles, interval, com, block_rows, exact=exact)
     norm = F.lit(1.0) - F.pow(F.lit(beta), F.col(T).cast("double"))
     warm = F.col(T) >= period
     au = F.when(warm, F.col("up_ewma") / norm)

@@ -8,8 +8,9 @@ hold a third of all rows.  Instead:
    symbol.  Rows are grouped into coarse time spans ``(symbol, _tb)``; the
    per-span counts (one row per span, pre-aggregated map-side) are
    prefix-summed per symbol and joined back, then ``row_number`` runs inside
-   each span.  The span offsets are a three-level prefix sum, so only a
-   table about 10^9 times smaller than the spans is ordered per symbol.
+   each span.  The rows are computed and written once (bucketed by span); the
+   span offsets come from the small table of counts, by levels where it is
+   large, so no task orders a symbol's spans beyond a bound.
 2. ``blocks_with_halo`` cuts each symbol into blocks of exactly ``R`` rows
    (``_blk = _t div R``, the last block may be shorter).  Row windows run over
    ``partitionBy(symbol, _blk)``: bounded groups, spread over all tasks.  The
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.timefn import micros
+from candlewick.session import materialize, materialize_by
 
 T, BLK, OWN, J = "_t", "_blk", "_own", "_j"
 
@@ -40,11 +42,17 @@ def with_row_index(df: DataFrame, span_micros: int, key: str = "symbol",
     """Add ``_t`` = 0-based position of the row within its ``key``.
 
     ``span_micros`` sizes the coarse spans: pick interval x block rows so a
-    span holds a bounded number of candles.
+    span holds a bounded number of candles.  A row without ``order`` has no
+    position: it fails the job (see ``sources.ticks.tick_rejects`` and
+    ``sources.klines.kline_rejects`` for setting such rows aside).
+
+    The input is computed once: its rows are written as a table bucketed by
+    (key, span), which the counts, the join and the numbering read in place.
     """
-    d = df.where(F.col(order).isNotNull()).withColumn(
-        "_tb", F.floor(micros(order) / F.lit(int(span_micros))))
-    counts = d.groupBy(key, "_tb").agg(F.count(F.lit(1)).alias("_n"))
+    at = F.coalesce(F.floor(micros(order) / F.lit(int(span_micros))),
+                    F.raise_error(F.lit(f"a row has no {order}")).cast("bigint"))
+    d = materialize_by(df.withColumn("_tb", at).repartition(key, "_tb"), [key, "_tb"], [key, "_tb", order])
+    counts = materialize(d.groupBy(key, "_tb").agg(F.count(F.lit(1)).alias("_n")))
     offsets = prefix_sum(counts, key, "_tb", "_n", "_off")
     # content hash as tie-break: positions stay the same when a lost task is
     # recomputed, even if a (key, order) pair slipped through twice
@@ -55,37 +63,39 @@ def with_row_index(df: DataFrame, span_micros: int, key: str = "symbol",
 
 
 SPAN_GROUP = 1024
+ONE_WINDOW = 1 << 20  # rows that a per-key running sum may order in one task
 
 
 def prefix_sum(df: DataFrame, key: str, order: str, value: str, out: str,
-               group: int = SPAN_GROUP, levels: int = 3) -> DataFrame:
+               group: int = SPAN_GROUP, one_window: int = ONE_WINDOW) -> DataFrame:
     """Exclusive running sum of ``value`` per ``key`` in ``order`` (an integer).
 
-    Multi-level so no task orders a whole key: a running sum inside groups of
-    ``group`` consecutive order values, plus the exclusive running sum of the
-    group totals (computed the same way, one level up), joined back.  With
-    three levels of 1,024 the only per-key ordering is over a table about
-    10^9 times smaller than the input.
+    ``df`` is a materialised table of counts.  Up to ``one_window`` rows a key
+    (measured) a window per key does it.  A larger one goes by levels, so that
+    no task orders a whole key: running sums inside groups of ``group``
+    consecutive order values, plus the running sum of the group totals, a table
+    ``group`` times smaller that goes the same way, joined back.
     """
-    gcol, icol, tcol, ocol = f"_g{levels}", f"_in{levels}", f"_gt{levels}", f"_go{levels}"
-    g = df.withColumn(gcol, F.floor(F.col(order) / group))
-    inner = Window.partitionBy(key, gcol).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn(icol, F.coalesce(F.sum(value).over(inner), F.lit(0)))
-    totals = g.groupBy(key, gcol).agg(F.sum(value).alias(tcol))
-    if levels > 1:
-        outer = prefix_sum(totals, key, gcol, tcol, ocol, group, levels - 1).select(key, gcol, ocol)
-    else:
-        before = Window.partitionBy(key).orderBy(gcol).rowsBetween(Window.unboundedPreceding, -1)
-        outer = totals.select(key, gcol, F.coalesce(F.sum(tcol).over(before), F.lit(0)).alias(ocol))
-    return (g.join(outer, [key, gcol])
-             .select(*[F.col(c) for c in df.columns], (F.col(ocol) + F.col(icol)).alias(out)))
+    before = Window.unboundedPreceding, -1
+    most = df.groupBy(key).count().agg(F.max("count")).first()[0]
+    if (most or 0) <= max(2, one_window):
+        w = Window.partitionBy(key).orderBy(order).rowsBetween(*before)
+        return df.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)))
+    up = f"{order}g"  # the next level's order column
+    g = df.withColumn(up, F.floor(F.col(order) / group))
+    inner = Window.partitionBy(key, up).orderBy(order).rowsBetween(*before)
+    g = g.withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    totals = materialize(g.groupBy(key, up).agg(F.sum(value).alias(value)))
+    outer = prefix_sum(totals, key, up, value, "_out", group, one_window).select(key, up, "_out")
+    return (g.join(outer, [key, up])
+             .select(*[F.col(c) for c in df.columns], (F.col("_out") + F.col("_in")).alias(out)))
 
 
 def blocks_with_halo(seq: DataFrame, block_rows: int, halo: int) -> DataFrame:
     """Assign ``_blk`` and add halo copies of each block's last rows.
 
     The copies are generated in the same pipeline (``explode`` of one or two
-    targets per row), so the input plan is computed once and shuffled once.
+    targets per row): rows and copies move in one shuffle.
     """
     if halo >= block_rows:
         raise ValueError("halo must be shorter than a block")
@@ -112,13 +122,16 @@ def block_position(block_rows: int):
 
 def halo_arrays(df: DataFrame, block_rows: int, halo: int, cols: list[str],
                 key: str = "symbol", name: str = "_halo") -> DataFrame:
-    """Join to each row the last ``halo`` rows of the previous block.
+    """Join the last ``halo`` rows of the previous block to the first ``halo``
+    rows of each block, which alone look back past its edge.
 
     ``df`` holds own rows with ``_t``/``_blk``.  The array is sorted by
-    ``_t``; it is NULL for the first block.
+    ``_t``; it is NULL for other rows and in the first block.
     """
     tail = (df.where(F.pmod(F.col(T), F.lit(block_rows)) >= block_rows - halo)
-              .groupBy(key, (F.col(BLK) + 1).alias(BLK))
+              .groupBy(F.col(key).alias("_hk"), (F.col(BLK) + 1).alias("_hb"))
               .agg(F.array_sort(F.collect_list(F.struct(F.col(T), *[F.col(c) for c in cols])))
                    .alias(name)))
-    return df.join(tail, [key, BLK], "left")
+    first = block_position(block_rows) < halo
+    return df.join(tail, (F.col(key) == F.col("_hk")) & (F.col(BLK) == F.col("_hb")) & first,
+                   "left").drop("_hk", "_hb")

@@ -22,12 +22,12 @@ from candlewick.functions.timefn import epoch_ms_to_ts, utc_to_wall_clock
 from candlewick.operators import divergence as dv
 from candlewick.operators import lifecycle as lc
 from candlewick.operators import topn
-from candlewick.operators.ewma import block_plan, ewma
+from candlewick.operators.ewma import ewma
 from candlewick.operators.resample import candles_from_ticks, resample_candles
-from candlewick.operators.rsi import with_gains, rsi_frame, rsi_tail, rsi_warmup
+from candlewick.operators.rsi import frame_rows, rsi_frame, rsi_tail, rsi_warmup, with_gains
 from candlewick.operators.sequence import OWN, blocks_with_halo, with_row_index
 from candlewick.plans import sqlparts as Q
-from candlewick.session import materialize_by
+from candlewick.session import materialize, materialize_by
 from candlewick.sources.klines import decode_kline_payload, pack_kline_payload
 from candlewick.sources.tables import table
 from candlewick.sources.ticks import event_ticks, order_ticks
@@ -76,30 +76,27 @@ def _daily_orders(spark, sf):
     return candles_from_ticks(order_ticks(spark, sf), "1 day")
 
 
-def _rsi_rows(spark, sf, interval, block=BLOCK, src=None, keep=False):
-    """RSI frame; ``keep`` materialises it (reliable checkpoint) for plans
-    that read it more than once, as the original persists kline_1d_rsi."""
+def _rsi_rows(spark, sf, interval, block=BLOCK, src=None, exact=False):
     c = src if src is not None else _candles(spark, sf, interval)
-    r = rsi_frame(c, interval, block_rows=block)
-    return (_keep(r) if keep else r), block_plan(S.COM, block)[0]
+    return rsi_frame(c, interval, block_rows=block, exact=exact)
 
 
 def _keep(df):
-    """Bucketed table in the checkpoint folder, partitioned like the blocks."""
+    """Bucketed table in the checkpoint folder, partitioned like the blocks,
+    for plans that read a frame more than once."""
     return materialize_by(df, ["symbol", "_blk"], ["symbol", "_blk", "_t"])
 
 
 def _flags(spark, sf, interval="4 hours", block=BLOCK, src=None, keep=False):
-    r, rows = _rsi_rows(spark, sf, interval, block, src, keep=True)
-    f = dv.divergence_flags(r, rows)
+    # flags compare RSI values with each other: the exact fold
+    r = _keep(_rsi_rows(spark, sf, interval, block, src, exact=True))
+    f = dv.divergence_flags(r, frame_rows(S.COM, block, True))
     return _keep(f) if keep else f
 
 
 def _life(spark, sf, interval="4 hours", block=BLOCK, src=None):
-    rows = block_plan(S.COM, block)[0]
-    same = lc.lifecycle_block_rows(interval, block)[0] == rows
-    return lc.lifecycle(_flags(spark, sf, interval, block, src, keep=True), interval, block_rows=block,
-                        block_col="_blk" if same else None)
+    return lc.lifecycle(_flags(spark, sf, interval, block, src, keep=True),
+                        block_rows=frame_rows(S.COM, block, True), block_col="_blk")
 
 
 C1H = Q.candles(Q.EVENT_TICKS, "1 hour")
@@ -145,10 +142,12 @@ def _kline_json(spark, sf):
 
 
 def _conversion(spark, sf):
-    f = _flags(spark, sf)
-    live = topn.newest(dv.signals(f))
-    now = topn.newest(_candles(spark, sf, "4 hours"))
-    return lc.conversion_check(now, live)
+    """The check as of the newest tick on which any symbol has a live signal
+    (at the end of a table all symbols may be idle)."""
+    life = materialize(_life(spark, sf))
+    as_of = life.where("kind > 0").agg(F.max("datetime").alias("as_of"))
+    seen = life.join(F.broadcast(as_of), F.col("datetime") <= F.col("as_of"))  # one row
+    return lc.conversion_check(topn.newest(seen), lc.live_signals(seen))
 
 
 def _state(spark, sf):
@@ -210,7 +209,7 @@ QUERIES: dict[str, Query] = {
         "abs(CASE WHEN delta > 0 THEN 0.0 ELSE delta END) AS downs_nb "
         f"FROM ({Q.gains(C1H)})", "WIN1 PRJ3 PRJ4 PD1 PD2"),
     "ewma_history": Query(
-        lambda s, d: _rsi_rows(s, d, "1 hour")[0], ["symbol", "datetime", "up_ewma", "down_ewma"],
+        lambda s, d: _rsi_rows(s, d, "1 hour"), ["symbol", "datetime", "up_ewma", "down_ewma"],
         {"up_ewma", "down_ewma"}, Q.rsi_full(C1H), "WIN2 WIN3 UDF1"),
     "ewma_close": Query(
         lambda s, d: ewma(_candles(s, d, "1 hour"), "close", S.COM, "close_ewma",
@@ -220,7 +219,7 @@ QUERIES: dict[str, Query] = {
         f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), {Q.FOLD}) AS close_ewma FROM ({C1H})",
         "WIN3 UDF1"),
     "rsi_history": Query(
-        lambda s, d: _rsi_rows(s, d, "1 hour")[0], S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(C1H),
+        lambda s, d: _rsi_rows(s, d, "1 hour"), S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(C1H),
         "CMP1 PRJ5 PRJ6 PRJ1"),
     "rsi_update_200": Query(
         lambda s, d: rsi_tail(_candles(s, d, "1 hour"), "1 hour", block_rows=BLOCK),
@@ -230,7 +229,7 @@ QUERIES: dict[str, Query] = {
         ["datetime", "symbol", "close", "AU", "AD", "RSI"], {"close", "AU", "AD", "RSI"},
         None, "WIN5 CMP3 PD3"),
     "latest_rsi": Query(
-        lambda s, d: topn.newest(_rsi_rows(s, d, "1 hour")[0]), S.RSI_COLUMNS, RSI_DBL,
+        lambda s, d: topn.newest(_rsi_rows(s, d, "1 hour")), S.RSI_COLUMNS, RSI_DBL,
         f"SELECT * FROM ({Q.rsi_full(C1H)}) QUALIFY row_number() OVER "
         "(PARTITION BY symbol ORDER BY datetime DESC) = 1", "SRT1 SRT2 SRT4 PRJ1"),
     "newest_n_per_symbol": Query(
@@ -243,7 +242,7 @@ QUERIES: dict[str, Query] = {
         f"SELECT * FROM ({C4H}) QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) > 15",
         "SRT5"),
     "oversold_overbought": Query(
-        lambda s, d: _rsi_rows(s, d, "1 hour")[0].where(dv.oversold() | dv.overbought())
+        lambda s, d: _rsi_rows(s, d, "1 hour").where(dv.oversold() | dv.overbought())
         .withColumn("zone", F.when(dv.oversold(), "oversold").otherwise("overbought")),
         ["symbol", "datetime", "rsi", "zone"], {"rsi"},
         f"SELECT *, CASE WHEN rsi <= {S.OVERSOLD} THEN 'oversold' ELSE 'overbought' END AS zone "
@@ -267,16 +266,14 @@ QUERIES: dict[str, Query] = {
         _conversion,
         ["symbol", "datetime", "close", "signal_datetime", "signal_close", "diversions", "pct",
          "convert", "age_days", "expired"], {"close", "signal_close", "pct"},
-        "WITH f AS (" + Q.flags(Q.rsi_full(C4H)) + "), "
-        "sig AS (SELECT symbol, datetime AS signal_datetime, close AS signal_close, "
-        f"CAST(CASE WHEN bear THEN {S.BEARISH} ELSE {S.BULLISH} END AS INTEGER) AS diversions FROM f "
-        "WHERE bull OR bear QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) = 1), "
-        f"now AS (SELECT symbol, datetime, close FROM ({C4H}) "
+        "WITH life AS (" + Q.lifecycle_final(Q.flags(Q.rsi_full(C4H))) + "), "
+        "now AS (SELECT symbol, datetime, close, kind, signal_datetime, signal_close FROM life "
+        "WHERE datetime <= (SELECT max(datetime) FROM life WHERE kind > 0) "
         "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) = 1), "
-        "j AS (SELECT now.*, signal_datetime, signal_close, diversions, "
+        "j AS (SELECT symbol, datetime, close, signal_datetime, signal_close, kind AS diversions, "
         "CASE WHEN close = signal_close THEN 0.0 ELSE (signal_close - close) / nullif(close, 0) * 100 END AS pct, "
         "CAST(floor((epoch_us(datetime) - epoch_us(signal_datetime)) / 86400000000) AS INTEGER) AS age_days "
-        "FROM now JOIN sig USING (symbol)) "
+        "FROM now WHERE kind > 0) "
         f"SELECT *, CAST(CASE WHEN (pct >= {S.CONVERT_PCT} AND diversions = {S.BULLISH}) OR "
         f"(pct <= -{S.CONVERT_PCT} AND diversions = {S.BEARISH}) THEN 1 ELSE 0 END AS INTEGER) AS convert, "
         f"age_days >= {S.EXPIRY_DAYS} AS expired FROM j", "CMP7 PRJ7 DT3 FLT5"),
@@ -288,7 +285,7 @@ QUERIES: dict[str, Query] = {
         f"SELECT symbol, CAST(live_after AS BIGINT) AS state FROM ({Q.lifecycle_final(Q.flags(Q.rsi_full(C4H)))}) "
         "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) = 1", "SRC6 SRC8 SNK3"),
     "backfill_rsi": Query(
-        lambda s, d: rsi_frame(_daily_orders(s, d), "1 day"), S.RSI_COLUMNS, RSI_DBL,
+        lambda s, d: rsi_frame(_daily_orders(s, d), "1 day", exact=True), S.RSI_COLUMNS, RSI_DBL,
         Q.rsi_full(O1D), "PIPE2 SRC4 SNK1"),
     "daily_state": Query(
         _daily, LIFE_COLS, LIFE_DBL,
@@ -310,7 +307,7 @@ def _csv_warmup(spark, sf):
     (_daily_orders(spark, sf).select("symbol", *[f.name for f in S.CSV_CANDLE_SCHEMA.fields])
      .write.partitionBy("symbol").option("header", True).csv(path))
     c = read_csv_candles(spark, path).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
-    return rsi_warmup(c, "1 day", block_rows=BLOCK)
+    return rsi_warmup(c, "1 day", block_rows=BLOCK, exact=True)
 
 
 def _events_path(sf):
@@ -372,7 +369,7 @@ QUERIES.update({
         _kafka_roundtrip, ["key", "datetime", "symbol", "close", "diversions", "convert"], {"close"},
         f"SELECT symbol AS key, * FROM ({SIGNALS_SQL})", "SNK5 (key = symbol, value decoded)"),
     "rsi_history_1m": Query(
-        lambda s, d: _rsi_rows(s, d, "1 minute")[0], S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(C1M),
+        lambda s, d: _rsi_rows(s, d, "1 minute"), S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(C1M),
         "RES3 CMP1 WIN3 (minute candles: several blocks per symbol)"),
     "csv_rsi_warmup": Query(_csv_warmup, ["datetime", "symbol", "close", "AU", "AD", "RSI"],
                             {"close", "AU", "AD", "RSI"}, WARM_SQL.replace("{src}", Q.rsi_full(O1D)),

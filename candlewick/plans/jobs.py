@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 
 from candlewick import schema as S
 from candlewick.operators.divergence import divergence_flags
-from candlewick.operators.ewma import block_plan
-from candlewick.operators.lifecycle import lifecycle, lifecycle_block_rows
+from candlewick.operators.lifecycle import lifecycle
 from candlewick.operators.resample import candles_from_ticks
-from candlewick.operators.rsi import rsi_frame
+from candlewick.operators.rsi import frame_rows, rsi_frame
 from candlewick.operators.sequence import DEFAULT_BLOCK_ROWS
 from candlewick.operators.topn import newest
 from candlewick.session import materialize_by
@@ -39,11 +38,10 @@ def backfill(spark: SparkSession, ticks: DataFrame, out_dir: str, interval: str
 def signal_states(candles: DataFrame, interval: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Every tick's RSI, divergence flags and lifecycle state."""
     keys, order = ["symbol", "_blk"], ["symbol", "_blk", "_t"]
-    rows = block_plan(S.COM, block_rows)[0]
-    r = materialize_by(rsi_frame(candles, interval, block_rows=block_rows), keys, order)
+    rows = frame_rows(S.COM, block_rows, True)
+    r = materialize_by(rsi_frame(candles, interval, block_rows=block_rows, exact=True), keys, order)
     f = materialize_by(divergence_flags(r, rows), keys, order)
-    same = lifecycle_block_rows(interval, block_rows)[0] == rows
-    return lifecycle(f, interval, block_rows=block_rows, block_col="_blk" if same else None).join(r.select("symbol", "datetime", "rsi"), ["symbol", "datetime"])
+    return lifecycle(f, block_rows=rows, block_col="_blk")
 
 
 def daily(candles: DataFrame, interval: str = "1 day", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:

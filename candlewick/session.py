@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,12 +47,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a scratch folder is created.
+    Only on a ``local[...]`` master, where the setting is absent in tests, a
+    scratch folder is created; on a cluster a folder of one machine would be a
+    different one on every node, so its absence is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master {master})")
         path = tempfile.mkdtemp(prefix="candlewick-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -74,6 +80,22 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+SCRATCH = "candlewick_"
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Drop the tables that ``materialize_by`` has written in this session,
+    with their files; frames over them can't be read any more.  Returns how
+    many there were.  The jobs call it when their results are written."""
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(SCRATCH)]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_table_path(spark, name))
+        path.getFileSystem(conf).delete(path, True)
+    return len(names)
+
+
 def bucket_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -90,7 +112,7 @@ def materialize_by(df, keys: list[str], order: list[str] | None = None, buckets:
     """
     spark = df.sparkSession
     n = buckets or bucket_count(spark)
-    name = f"candlewick_{uuid.uuid4().hex[:16]}"
+    name = f"{SCRATCH}{uuid.uuid4().hex[:16]}"
     w = df.write.format("parquet").bucketBy(n, *keys)
     if order:
         w = w.sortBy(*order)

@@ -11,7 +11,7 @@ from candlewick.operators import lifecycle as lc
 from candlewick.operators import topn
 from candlewick.operators.ewma import ewma
 from candlewick.operators.resample import candles_from_ticks, resample_candles
-from candlewick.operators.rsi import rsi_frame, rsi_tail
+from candlewick.operators.rsi import frame_rows, rsi_frame, rsi_tail
 from candlewick.operators.sequence import T, with_row_index
 from candlewick.sources.klines import decode_kline_payload, pack_kline_payload
 from candlewick.sources.ticks import event_ticks
@@ -78,7 +78,7 @@ def test_rsi_blocks_match_brute(spark, candles_1h, block_rows):
 
 def test_exact_fold_is_bit_identical(spark, candles_1h):
     """With blocks longer than the warm-up, exact mode reproduces the fold bits."""
-    got = rsi_frame(candles_1h, "1 hour", block_rows=700).select("symbol", "datetime", "up_ewma").toPandas()
+    got = rsi_frame(candles_1h, "1 hour", block_rows=700, exact=True).select("symbol", "datetime", "up_ewma").toPandas()
     src = candles_1h.select("symbol", "datetime", "close").toPandas().sort_values(["symbol", "datetime"])
     mism = 0
     for sym, g in src.groupby("symbol"):
@@ -116,9 +116,8 @@ def test_public_ewma_seeded(spark, candles_1h):
 def test_flags_and_lifecycle_match_brute(spark, block_rows):
     c = candles_from_ticks(event_ticks(spark, SF001), "4 hours")
     rows = rsi_frame(c, "4 hours", block_rows=block_rows)
-    from candlewick.operators.ewma import block_plan
-    f = dv.divergence_flags(rows, block_plan(13, block_rows)[0]).cache()
-    life = lc.lifecycle(f, "4 hours", block_rows=block_rows).toPandas()
+    f = dv.divergence_flags(rows, frame_rows(13, block_rows, False)).cache()
+    life = lc.lifecycle(f, block_rows=block_rows).toPandas()
     pdf = f.select("symbol", "datetime", "close", "low", "high", "rsi", "bull", "bear").toPandas()
     for sym, g in pdf.sort_values(["symbol", "datetime"]).groupby("symbol"):
         rs = [None if (r is None or (isinstance(r, float) and math.isnan(r))) else r for r in g["rsi"]]
@@ -185,7 +184,7 @@ def test_lifecycle_dense_flags_many_blocks(spark, density):
     seq = with_row_index(c, 3_600_000_000 * 64)
     f = (seq.withColumn("bull", (F.pmod(F.xxhash64("datetime", "symbol"), F.lit(density)) != 0))
             .withColumn("bear", (F.pmod(F.xxhash64("symbol", "datetime"), F.lit(5)) == 0)))
-    life = lc.lifecycle(f, "1 hour", block_rows=50).toPandas()  # 50-row blocks, halo 49
+    life = lc.lifecycle(f, block_rows=50).toPandas()
     pdf = f.select("symbol", "datetime", "close", "bull", "bear").toPandas()
     assert len(life) == len(pdf)
     for sym, g in pdf.sort_values(["symbol", "datetime"]).groupby("symbol"):
@@ -201,7 +200,7 @@ def test_two_level_prefix_sum(spark):
     from candlewick.operators.sequence import prefix_sum
     rows = [(k, o, (o * 7 + len(k)) % 5) for k in ("a", "bb") for o in range(0, 40, 3)]
     df = spark.createDataFrame(rows, "k string, o long, v long")
-    got = prefix_sum(df, "k", "o", "v", "p", group=4).toPandas().sort_values(["k", "o"])
+    got = prefix_sum(df, "k", "o", "v", "p", group=4, one_window=1).toPandas().sort_values(["k", "o"])
     for k, g in got.groupby("k"):
         vals = list(g["v"])
         assert list(g["p"]) == [sum(vals[:i]) for i in range(len(vals))]
@@ -237,7 +236,7 @@ def test_exact_fold_bits_across_blocks(spark):
     from tests.conftest import SF01
     orders = table(spark, SF01, "orders").withColumn("one", F.lit("ALL"))
     c = candles_from_ticks(ticks_from(orders, "one", "o_orderdate", "o_orderkey", "o_totalprice"), "1 day")
-    got = rsi_frame(c, "1 day", block_rows=700).select("datetime", "_blk", "up_ewma", "down_ewma").toPandas()
+    got = rsi_frame(c, "1 day", block_rows=700, exact=True).select("datetime", "_blk", "up_ewma", "down_ewma").toPandas()
     got = got.sort_values("datetime")
     assert got["_blk"].nunique() >= 3
     exp = brute.rsi_rows(list(c.select("datetime", "close").toPandas().sort_values("datetime")["close"]))
@@ -245,12 +244,78 @@ def test_exact_fold_bits_across_blocks(spark):
     assert list(got["down_ewma"]) == [e[3] for e in exp]
 
 
-@pytest.mark.parametrize("levels", [1, 2, 3])
-def test_multi_level_prefix_sum(spark, levels):
+@pytest.mark.parametrize("one_window", [1, 8, 40, 1000])
+def test_multi_level_prefix_sum(spark, one_window):
     from candlewick.operators.sequence import prefix_sum
     rows = [(k, o, (o * 7 + len(k)) % 5) for k in ("a", "bb") for o in range(0, 90, 2)]
     df = spark.createDataFrame(rows, "k string, o long, v long")
-    got = prefix_sum(df, "k", "o", "v", "p", group=3, levels=levels).toPandas().sort_values(["k", "o"])
+    got = prefix_sum(df, "k", "o", "v", "p", group=3, one_window=max(2, one_window)).toPandas().sort_values(["k", "o"])
     for k, g in got.groupby("k"):
         vals = list(g["v"])
         assert list(g["p"]) == [sum(vals[:i]) for i in range(len(vals))]
+
+
+@pytest.mark.parametrize("com,block_rows", [(200.0, 64), (2000.0, 32), (13.0, 7)])
+def test_long_memory_ewma_matches_a_plain_loop(spark, candles_1h, com, block_rows):
+    """A long memory reaches over very many blocks: the carry goes by levels."""
+    got = ewma(candles_1h, "close", com, "e", 3_600_000_000, block_rows=block_rows).toPandas()
+    src = candles_1h.select("symbol", "datetime", "close").toPandas().sort_values(["symbol", "datetime"])
+    for sym, g in src.groupby("symbol"):
+        e, exp = None, []
+        for x in g["close"]:
+            e = x if e is None else (1 - 1 / (com + 1)) * e + x / (com + 1)
+            exp.append(e)
+        mine = got[got.symbol == sym].sort_values("datetime")["e"].tolist()
+        assert mine == pytest.approx(exp, rel=1e-10)
+
+
+def test_exact_fold_at_any_com(spark, candles_1h):
+    """com = 200 needs a warm-up of over 8,000 rows: blocks are made that long."""
+    got = rsi_frame(candles_1h, "1 hour", com=200, block_rows=64, exact=True).select("symbol", "datetime", "up_ewma").toPandas()
+    src = candles_1h.select("symbol", "datetime", "close").toPandas().sort_values(["symbol", "datetime"])
+    for sym, g in src.groupby("symbol"):
+        prev, e, exp = None, None, []
+        for x in g["close"]:
+            up = max(x - prev, 0.0) if prev is not None else 0.0
+            e = up if e is None else (1 - 1 / 201) * e + (1 / 201) * up
+            prev = x
+            exp.append(e)
+        assert got[got.symbol == sym].sort_values("datetime")["up_ewma"].tolist() == exp
+
+
+@pytest.mark.parametrize("minutes", [1, 60, 60 * 24 * 5])
+def test_lifecycle_at_any_tick_density(spark, minutes):
+    """Ticks a minute, an hour or five days apart, in small blocks."""
+    df = spark.range(3500).select(
+        F.lit("X").alias("symbol"), F.col("id").alias(T),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("id") * minutes).cast("int"))).alias("datetime"),
+        (100 + F.pmod(F.xxhash64("id"), F.lit(20))).cast("double").alias("close"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(40)) == 0).alias("bull"),
+        (F.pmod(F.xxhash64("id", F.lit(2)), F.lit(60)) == 0).alias("bear"))
+    life = lc.lifecycle(df, block_rows=10).toPandas().sort_values("datetime")
+    pdf = df.toPandas().sort_values("datetime")
+    exp = brute.lifecycle([(d.to_pydatetime(), c, b, r) for d, c, b, r in zip(pdf["datetime"], pdf["close"], pdf["bull"], pdf["bear"])])
+    assert list(life["kind"]) == [e["kind"] for e in exp] and any(e["kind"] for e in exp)
+    assert list(life["live_after"]) == [e["live_after"] for e in exp]
+
+
+def test_a_row_without_time_fails_loudly(spark):
+    df = spark.createDataFrame([("X", None, 1.0)], "symbol string, datetime timestamp_ntz, close double")
+    with pytest.raises(Exception, match="has no datetime"):
+        with_row_index(df, 3_600_000_000).collect()
+
+
+def test_a_later_flag_does_not_replace_a_live_signal(spark):
+    """Golden case for CMP7: a bearish flag inside a live bullish signal."""
+    rows = [(0, "2024-01-01 00:00", 100.0, True, False), (1, "2024-01-01 12:00", 99.0, False, True),
+            (2, "2024-01-02 00:00", 95.0, False, False)]
+    df = (spark.createDataFrame(rows, f"{T} long, datetime string, close double, bull boolean, bear boolean")
+          .withColumn("datetime", F.col("datetime").cast("timestamp_ntz")).withColumn("symbol", F.lit("X")))
+    states = lc.lifecycle(df).cache()
+    live = lc.live_signals(states)
+    assert [(r.close, r.diversions) for r in live.collect()] == [(100.0, 1)]
+    got = lc.conversion_check(topn.newest(states), live).collect()
+    assert [(r.signal_close, r.diversions, round(r.pct, 6), r.convert, r.expired) for r in got] == [(100.0, 1, 5.263158, 1, False)]
+    # an idle symbol is not checked
+    later = states.unionByName(states.limit(0))
+    assert lc.conversion_check(topn.newest(later.where("kind = 0")), lc.live_signals(later.where("kind = 0"))).count() == 0
