@@ -73,6 +73,8 @@ def _main(argv=None) -> None:
     p.add_argument("--seq-col", default="event_id")
     p.add_argument("--price-col", default="value")
     p.add_argument("--qty-col", default=None)
+    p.add_argument("--delay", help="stream: how far ticks may lag behind the newest one, e.g. '1 hour'")
+    p.add_argument("--max-files", type=int, default=64, help="stream: tick files of one batch")
     a = p.parse_args(argv)
     spark = get_spark()
     if a.command == "backfill":
@@ -82,9 +84,10 @@ def _main(argv=None) -> None:
         state = daily(spark.read.parquet(a.input), a.interval, a.block_rows)
         state.write.mode("overwrite").parquet(os.path.join(a.out, "state"))
     else:
-        from candlewick.streaming.jobs import run_candle_stream, run_signal_stream
-        candles = run_candle_stream(spark, a.input, a.interval, base=a.out)
-        print(run_signal_stream(spark, candles, a.out))
+        from candlewick.streaming.jobs import run_candle_stream
+        if not a.delay:
+            p.error("stream needs --delay: how far ticks may lag behind the newest one")
+        print(run_candle_stream(spark, a.input, a.interval, a.delay, a.out, a.max_files, signals=True))
 
 
 if __name__ == "__main__":

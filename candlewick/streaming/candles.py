@@ -7,19 +7,21 @@ from TIMESTAMP_NTZ under the UTC session.
 
 STR4: ``land`` writes every micro-batch with ``foreachBatch`` into its own
 ``batch=<id>`` folder in overwrite mode: a replayed batch rewrites the same
-folder, so landing is idempotent.  Rows are clustered by symbol and sorted
-by time inside each file.
+folder, so landing is idempotent.  Rows are clustered by symbol and time slice
+(a hot symbol's backlog is many tasks' work) and sorted by time inside each
+file.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.functions.timefn import ordering_key
+from candlewick.functions.timefn import MICROS_PER_DAY, micros, ordering_key
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -36,12 +38,22 @@ CANDLE_STREAM_SCHEMA = T.StructType([
 ])
 
 
+SLICE_DAYS = 30  # time slice of a landed file's rows
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is one file, in whatever file system it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
 def event_tick_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """``events`` parquet files as a tick stream (symbol, ts TIMESTAMP, seq, price, qty)."""
     r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    if os.path.isfile(path):  # a single-file table: stream its folder, filtered to the file
+    if is_file(spark, path):  # a single-file table: stream its folder, filtered to the file
         r = r.option("pathGlobFilter", os.path.basename(path))
         path = os.path.dirname(path)
     ev = r.parquet(path)
@@ -51,10 +63,12 @@ def event_tick_stream(spark: SparkSession, path: str, max_files: int | None = No
                       F.lit(1.0).alias("qty")))
 
 
-def stream_candles(ticks: DataFrame, interval: str, delay: str = "0 seconds",
-                   dedupe: bool = True) -> DataFrame:
+def stream_candles(ticks: DataFrame, interval: str, delay: str, dedupe: bool = True) -> DataFrame:
     """STR1: closed candles only; same columns and rules as the batch resampler.
 
+    ``delay`` is how far ticks may lag behind the newest one; later ones are
+    dropped by the watermark and counted (``dropped_ticks``).
+
     With ``dedupe`` a tick re-delivered by an at-least-once source (same
     symbol and seq) is counted once (``dropDuplicatesWithinWatermark``).
     """
@@ -72,18 +86,37 @@ def stream_candles(ticks: DataFrame, interval: str, delay: str = "0 seconds",
                     "open", "high", "low", "close", "volume", "QuoteAssetVolume", "NumTrades")
 
 
+def write_batch(batch: DataFrame, path: str, key: str = "symbol", order: str = "datetime") -> None:
+    """One batch's folder; writing it again replaces it."""
+    part = F.floor(micros(order) / F.lit(SLICE_DAYS * MICROS_PER_DAY))
+    (batch.repartition(key, part).sortWithinPartitions(key, order).write.mode("overwrite").parquet(path))
+
+
+def batch_folder(out_dir: str, batch_id: int) -> str:
+    return os.path.join(out_dir, f"batch={batch_id:012d}")
+
+
 def land(df: DataFrame, out_dir: str, checkpoint: str, key: str = "symbol",
-         order: str = "datetime", trigger: dict | None = None):
-    """STR4: idempotent per-batch landing; returns the started query."""
+         order: str = "datetime", trigger: dict | None = None, then=None):
+    """STR4: idempotent per-batch landing; returns the started query.
+    ``then(spark, batch_id)`` follows each landed batch."""
 
-    def write_batch(batch: DataFrame, batch_id: int):
-        (batch.repartition(key).sortWithinPartitions(key, order)
-              .write.mode("overwrite").parquet(os.path.join(out_dir, f"batch={batch_id:012d}")))
+    def landed(batch: DataFrame, batch_id: int):
+        write_batch(batch, batch_folder(out_dir, batch_id), key, order)
+        if then:
+            then(batch.sparkSession, batch_id)
 
-    w = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    w = df.writeStream.foreachBatch(landed).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
 
 
+def dropped_ticks(query) -> int:
+    """Rows that the watermark dropped as too late, over the query's recent progress."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0))
+               for p in query.recentProgress for op in json.loads(p.json if isinstance(p.json, str) else json.dumps(p))
+               .get("stateOperators", []))
+
+
 def landed_glob(out_dir: str) -> str:
     return os.path.join(out_dir, "batch=*", "*.parquet")

@@ -1,67 +1,113 @@
-"""Two-query streaming pipeline: STR1 lands closed candles, STR2/STR3 follow.
-
-A stateful ``applyInPandasWithState`` cannot follow a streaming aggregation
-in append mode inside one query, so candles are landed first (STR4) and the
-signal query streams the landed files, one landed batch per micro-batch so
-time order holds across batches.  Every run uses fresh folders under the
-shared checkpoint directory.
+"""Streaming pipeline: STR1 lands closed candles, STR2/STR3 follow each batch.
+
+One streaming query makes candles.  Its ``foreachBatch`` lands a batch (STR4)
+and then advances the signals by exactly that batch: it reads the state table
+as the last batch left it, writes the batch's signal rows and the next state
+table.  Batches are taken whole and in the order of their ids, whatever number
+of files they have and whenever these were written; a batch that is replayed
+starts from the same state and overwrites the same folders.
+
+The source bounds a batch (``max_files`` tick files), so a backlog is many
+batches.  Every run without ``base`` uses fresh folders under the shared
+checkpoint directory.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candlewick.session import checkpoint_dir
+from candlewick.session import checkpoint_dir, materialize
 from candlewick.streaming.candles import (
-    CANDLE_STREAM_SCHEMA, event_tick_stream, land, landed_glob, stream_candles)
-from candlewick.streaming.signals import stream_signals
+    CANDLE_STREAM_SCHEMA, batch_folder, dropped_ticks, event_tick_stream, land, landed_glob, stream_candles, write_batch)
+from candlewick.streaming.signals import OUT_SCHEMA, STATE_TABLE, advance
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+MAX_FILES = 64  # tick files of one batch
+
+
+def landed_ids(spark: SparkSession, out_dir: str) -> list[int]:
+    """Ids of the batches in ``out_dir``, ascending."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+
+def advance_batch(spark: SparkSession, base: str, batch_id: int, candles_dir: str | None = None) -> None:
+    """Signals of one landed batch, and the state table after it."""
+    signals, states = os.path.join(base, "signals"), os.path.join(base, "state")
+    candles = spark.read.schema(CANDLE_STREAM_SCHEMA).parquet(
+        batch_folder(candles_dir or os.path.join(base, "candles"), batch_id))
+    before = [i for i in landed_ids(spark, states) if i < batch_id]
+    state = (spark.read.schema(STATE_TABLE).parquet(batch_folder(states, before[-1])) if before
+             else spark.createDataFrame([], STATE_TABLE))
+    done = materialize(advance(candles, state))
+    write_batch(done.select(F.explode("rows").alias("r")).select("r.*"), batch_folder(signals, batch_id))
+    # last: a batch with a state table is complete
+    done.select("symbol", "state.*").write.mode("overwrite").parquet(batch_folder(states, batch_id))
+
+
 def run_candle_stream(spark: SparkSession, events_path: str, interval: str, delay: str = "0 seconds",
-                      base: str | None = None) -> str:
-    """Run STR1 -> STR4 to completion (availableNow); returns the landed folder."""
+                      base: str | None = None, max_files: int = MAX_FILES, signals: bool = False) -> str:
+    """Run STR1 -> STR4 (with ``signals`` also STR2/STR3) to completion
+    (availableNow); returns the landed folder.  Ticks that lag behind the
+    newest one by more than ``delay`` are dropped by the watermark; their
+    number is written to ``<base>/dropped`` and a warning names it."""
     base = base or run_folder(spark, "candles")
     out = os.path.join(base, "candles")
-    q = land(stream_candles(event_tick_stream(spark, events_path), interval, delay),
-             out, os.path.join(base, "_ckpt_candles"))
+    then = (lambda s, i: advance_batch(s, base, i)) if signals else None
+    q = land(stream_candles(event_tick_stream(spark, events_path, max_files), interval, delay),
+             out, os.path.join(base, "_ckpt_candles"), then=then)
     q.awaitTermination()
+    dropped = dropped_ticks(q)
+    if dropped:
+        warnings.warn(f"{dropped} ticks came later than the delay of {delay} and were dropped", stacklevel=2)
+    (spark.range(1).select(F.lit(str(q.runId)).alias("run"), F.lit(delay).alias("delay"),
+                           F.lit(dropped).cast("long").alias("dropped"))
+     .write.mode("append").parquet(os.path.join(base, "dropped")))
     return out
 
 
 def run_signal_stream(spark: SparkSession, candles_dir: str, base: str) -> str:
-    """Run STR2/STR3 over landed candles (one landed batch per trigger)."""
-    out = os.path.join(base, "signals")
-    src = (spark.readStream.schema(CANDLE_STREAM_SCHEMA).option("maxFilesPerTrigger", 1)
-                .parquet(landed_glob(candles_dir)))
-    q = land(stream_signals(src), out, os.path.join(base, "_ckpt_signals"))
-    q.awaitTermination()
-    return out
+    """Advance the signals over all landed batches that have none yet, in id order."""
+    done = set(landed_ids(spark, os.path.join(base, "state")))
+    for i in landed_ids(spark, candles_dir):
+        if i not in done:
+            advance_batch(spark, base, i, candles_dir)
+    return os.path.join(base, "signals")
+
+
+def read_signals(spark: SparkSession, signals_dir: str, late: bool = False) -> DataFrame:
+    """Signal rows; with ``late`` the late and corrected candles instead."""
+    rows = spark.read.schema(OUT_SCHEMA).parquet(landed_glob(signals_dir))
+    return rows.where(F.col("late") if late else ~F.col("late")).drop("late")
 
 
 def run_streams(spark: SparkSession, events_path: str, interval: str = "4 hours",
-                    delay: str = "0 seconds") -> DataFrame:
+                delay: str = "0 seconds", max_files: int = MAX_FILES) -> DataFrame:
     base = run_folder(spark, "streams")
-    candles = run_candle_stream(spark, events_path, interval, delay, base)
-    signals = run_signal_stream(spark, candles, base)
-    return spark.read.parquet(landed_glob(signals))
-
-
-def current_state(spark: SparkSession, signals_dir: str) -> DataFrame:
-    """SNK3 view: one row per symbol -- the newest processed candle with its
-    live signal (``now_diversions``) and ``state`` (``task_state``: 1 while a
-    signal is live).  Merge-on-read over the landed batches; newest-per-symbol
-    keeps a map-side top-1."""
-    from pyspark.sql import functions as F
-
-    from candlewick.operators.topn import newest
-    rows = spark.read.parquet(landed_glob(signals_dir))
-    return (newest(rows)
-            .select("symbol", "datetime", "close", "kind", "signal_datetime", "signal_close",
-                    F.col("live_after").cast("bigint").alias("state")))
+    run_candle_stream(spark, events_path, interval, delay, base, max_files, signals=True)
+    return read_signals(spark, os.path.join(base, "signals"))
+
+
+def current_state(spark: SparkSession, base: str) -> DataFrame:
+    """SNK3: one row per symbol from the newest state table -- the newest
+    candle's time and close, the live signal (``now_diversions``) and
+    ``state`` (``task_state``: 1 while a signal is live)."""
+    states = os.path.join(base, "state")
+    rows = spark.read.schema(STATE_TABLE).parquet(batch_folder(states, landed_ids(spark, states)[-1]))
+    at = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    return rows.select("symbol", at("last_us").alias("datetime"), F.col("prev_close").alias("close"), "kind",
+                       at("s_us").alias("signal_datetime"), F.col("s_close").alias("signal_close"),
+                       (F.col("kind") > 0).cast("bigint").alias("state"))

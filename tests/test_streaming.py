@@ -6,13 +6,13 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from candlewick.operators.divergence import divergence_flags
-from candlewick.operators.ewma import block_plan
 from candlewick.operators.lifecycle import lifecycle
 from candlewick.operators.resample import candles_from_ticks
-from candlewick.operators.rsi import rsi_frame
+from candlewick.operators.rsi import frame_rows, rsi_frame
 from candlewick.sources.ticks import event_ticks
 from candlewick.streaming.candles import landed_glob
-from candlewick.streaming.jobs import run_candle_stream, run_folder, run_signal_stream
+from candlewick.streaming.jobs import (
+    advance_batch, current_state, read_signals, run_candle_stream, run_folder, run_signal_stream, run_streams)
 from tests.conftest import SF001
 
 
@@ -33,20 +33,29 @@ def _split_events(spark, parts=4):
 def test_stream_matches_batch_over_many_batches(spark):
     base, src = _split_events(spark)
     from candlewick.streaming.candles import event_tick_stream, land, stream_candles
-    q = land(stream_candles(event_tick_stream(spark, src, max_files=1), "4 hours"),
-             os.path.join(base, "candles"), os.path.join(base, "_ck1"))
-    q.awaitTermination()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files a batch
+    try:
+        q = land(stream_candles(event_tick_stream(spark, src, max_files=1), "4 hours", "0 seconds"),
+                 os.path.join(base, "candles"), os.path.join(base, "_ck1"))
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     landed = os.path.join(base, "candles")
     batches = [d for d in os.listdir(landed) if d.startswith("batch=")]
     assert len(batches) >= 3
+    files = [os.path.join(landed, b, f) for b in batches for f in os.listdir(os.path.join(landed, b)) if f.endswith(".parquet")]
+    assert len(files) > 2 * len(batches)
+    for f in files:  # modification times say nothing about the order
+        os.utime(f, (2_000_000, 2_000_000))
     out = run_signal_stream(spark, landed, base)
-    s = spark.read.parquet(landed_glob(out))
+    s = read_signals(spark, out)
+    assert read_signals(spark, out, late=True).count() == 0
 
     c = candles_from_ticks(event_ticks(spark, SF001), "4 hours")
     max_ts = event_ticks(spark, SF001).agg(F.max("ts")).first()[0]
     closed = c.where(F.col("datetime") + F.expr("INTERVAL 4 HOURS") <= F.lit(max_ts))
-    r = rsi_frame(closed, "4 hours", block_rows=64)
-    life = lifecycle(divergence_flags(r, block_plan(13, 64)[0]), "4 hours", block_rows=64)
+    r = rsi_frame(closed, "4 hours", block_rows=64, exact=True)
+    life = lifecycle(divergence_flags(r, frame_rows(13, 64, True)), block_rows=64).drop("rsi")
     b = life.join(r.select("symbol", "datetime", "rsi", "up_ewma"), ["symbol", "datetime"])
     cols = ["symbol", "datetime", "up_ewma", "rsi", "bull", "bear", "kind", "live_after"]
     got = s.select(cols).toPandas().sort_values(["symbol", "datetime"]).reset_index(drop=True)
@@ -55,10 +64,61 @@ def test_stream_matches_batch_over_many_batches(spark):
     assert (got.up_ewma == exp.up_ewma).all()  # same recursion, same bits
     for c_ in ["bull", "bear", "kind", "live_after"]:
         assert list(got[c_]) == list(exp[c_]), c_
-    from candlewick.streaming.jobs import current_state
-    st = current_state(spark, out).toPandas().sort_values("symbol")
+    st = current_state(spark, base).toPandas().sort_values("symbol")
     last = exp.groupby("symbol").tail(1).sort_values("symbol")
     assert list(st["state"]) == [int(x) for x in last["live_after"]]
+    # a batch that is replayed gives the same rows and the same state
+    before = sorted(map(str, read_signals(spark, out).collect()))
+    advance_batch(spark, base, len(batches) - 1, landed)
+    assert sorted(map(str, read_signals(spark, out).collect())) == before
+    assert current_state(spark, base).toPandas().sort_values("symbol")["close"].tolist() == st["close"].tolist()
+
+
+def _candle_batch(spark, base, i, rows):
+    df = spark.createDataFrame(rows, "symbol string, datetime string, close double")
+    (df.select("symbol", F.col("datetime").cast("timestamp_ntz").alias("datetime"), *[F.col("close").alias(c) for c in (
+        "open", "high", "low", "close", "volume", "QuoteAssetVolume")], F.lit(1).alias("NumTrades"))
+     .write.parquet(os.path.join(base, "candles", f"batch={i:012d}")))
+
+
+def test_late_and_corrected_candles_come_out_as_such(spark):
+    base = run_folder(spark, "late")
+    _candle_batch(spark, base, 0, [("X", "2024-01-01", 100.0), ("X", "2024-01-02", 101.0), ("X", "2024-01-04", 99.0)])
+    _candle_batch(spark, base, 1, [("X", "2024-01-02", 101.0),    # delivered again
+                                   ("X", "2024-01-04", 98.0),     # corrected
+                                   ("X", "2024-01-03", 100.5),    # late
+                                   ("X", "2024-01-05", 102.0), ("Y", "2024-01-01", 5.0)])
+    out = run_signal_stream(spark, os.path.join(base, "candles"), base)
+    late = read_signals(spark, out, late=True)
+    assert sorted((str(r.datetime.date()), r.close) for r in late.collect()) == [("2024-01-03", 100.5), ("2024-01-04", 98.0)]
+    assert late.where("rsi is not null").count() == 0
+    rows = read_signals(spark, out).where("symbol = 'X'").orderBy("datetime").collect()
+    assert [r.close for r in rows] == [100.0, 101.0, 99.0, 102.0] and read_signals(spark, out).count() == 5
+
+
+def test_dropped_ticks_are_counted(spark):
+    """Files out of time order: without a delay older ticks are dropped and
+    counted, with enough delay none is."""
+    import warnings
+
+    base, src = _split_events(spark)
+    for i in range(4):
+        os.utime(os.path.join(src, f"part-{i:03d}.parquet"), (1_000_000 - i, 1_000_000 - i))
+    with warnings.catch_warnings(record=True) as said:
+        warnings.simplefilter("always")
+        run_candle_stream(spark, src, "4 hours", base=os.path.join(base, "a"), max_files=1)
+    n = spark.read.parquet(os.path.join(base, "a", "dropped")).first().dropped
+    assert n > 0 and any(str(n) in str(w.message) for w in said)
+    run_candle_stream(spark, src, "4 hours", "400 days", os.path.join(base, "b"), max_files=1)
+    assert spark.read.parquet(os.path.join(base, "b", "dropped")).first().dropped == 0
+
+
+def test_streams_follow_each_landed_batch(spark):
+    _, src = _split_events(spark)
+    many = run_streams(spark, src, max_files=1)
+    one = run_streams(spark, src, max_files=100)
+    assert many.count() == one.count() > 0
+    assert many.exceptAll(one).count() == 0
 
 
 def test_candle_stream_holds_open_windows(spark):
