@@ -27,13 +27,16 @@ from candlewick.operators.resample import candles_from_ticks, resample_candles
 from candlewick.operators.rsi import frame_rows, rsi_frame, rsi_tail, rsi_warmup, with_gains
 from candlewick.operators.sequence import OWN, blocks_with_halo, with_row_index
 from candlewick.plans import sqlparts as Q
+from candlewick.plans.jobs import backfill, backfill_candles, daily_tick, replay_state
 from candlewick.session import materialize, materialize_by
-from candlewick.sources.klines import decode_kline_payload, pack_kline_payload
+from candlewick.sources.klines import decode_kline_payload, pack_kline_payload, read_kline_payloads, read_klines
+from candlewick.sources.literal import state_frame
 from candlewick.sources.tables import table
 from candlewick.sources.ticks import event_ticks, order_ticks
 from candlewick.sinks.messages import kafka_frame, parse_messages, to_json_messages
+from candlewick.sinks.tables import overwrite_table, read_state, read_table, upsert_state
 from candlewick.streaming.candles import landed_glob
-from candlewick.streaming.jobs import run_candle_stream, run_streams
+from candlewick.streaming.jobs import run_candle_stream, run_folder, run_streams
 
 # Rows per block for the catalogue.  The long daily series (orders, ~2,400
 # rows per symbol) spans three blocks, so the sf0.01 check runs every
@@ -151,8 +154,59 @@ def _conversion(spark, sf):
 
 
 def _state(spark, sf):
-    life = topn.newest(_life(spark, sf))
-    return life.select("symbol", F.col("live_after").cast("bigint").alias("state"))
+    """The state table as the jobs keep it: every symbol starts from the
+    literal state 0, then symbols whose newest tick has a live signal are
+    upserted, and the table is read back."""
+    path = os.path.join(run_folder(spark, "state"), "state")
+    symbols = event_ticks(spark, sf).select("symbol").distinct()
+    upsert_state(spark, path, symbols.join(F.broadcast(state_frame(spark, 0)), how="cross"))  # one literal row
+    live = topn.newest(_life(spark, sf)).where("live_after")
+    upsert_state(spark, path, live.select("symbol", F.lit(1).cast("bigint").alias("state")))
+    return read_state(spark, path)
+
+
+def _backfilled(spark, sf):
+    """PIPE2 over the daily orders; the stored RSI table, read back."""
+    out = run_folder(spark, "backfill")
+    return read_table(spark, backfill(spark, order_ticks(spark, sf), out, "1 day")["klines_rsi"])
+
+
+def _klines_table(spark, sf):
+    """SNK1 then SRC3: candles as the 12-column kline table, written, one
+    symbol's rows written again, read with the fixed schema."""
+    path = os.path.join(run_folder(spark, "klines"), "klines")
+    c = _candles(spark, sf, "1 hour").select(
+        F.col("datetime").cast("timestamp").alias("datetime"), *CANDLE_COLS[:1], *CANDLE_COLS[2:],
+        F.lit(0.0).alias("TakerBuyBaseAssetVolume"), F.lit(0.0).alias("TakerBuyQuoteAssetVolume"),
+        F.lit("0").alias("Ignore"))
+    overwrite_table(c, path)
+    overwrite_table(c.where("symbol = 'view'"), path)
+    return read_klines(spark, path).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+def _responses(spark, sf):
+    """SRC1 from landed files: hourly candles as exchange responses, one JSON
+    line each, with malformed values (close of candles of 7, 14, ... trades,
+    open time of 11, 22, ...), written, read, decoded with rejects marked."""
+    path = os.path.join(run_folder(spark, "responses"), "landed")
+    p = pack_kline_payload(_candles(spark, sf, "1 hour"), "1 hour")
+    k = F.from_json("payload", "array<array<string>>")
+    dirty = F.transform(k, lambda e: F.transform(e, lambda v, i: F.when(
+        (i == 4) & (F.pmod(e[8].cast("int"), F.lit(7)) == 0), F.lit("n/a")).when(
+        (i == 0) & (F.pmod(e[8].cast("int"), F.lit(11)) == 0), F.lit("")).otherwise(v)))
+    p.select(F.to_json(F.struct("symbol", dirty.alias("payload")))).write.text(path)
+    return decode_kline_payload(read_kline_payloads(spark, path), strict=False, rejected="rejected")
+
+
+def _daily_tick(spark, sf):
+    """PIPE1 against backfilled tables: all but each symbol's newest daily
+    candle are backfilled, then the newest arrive as one tick."""
+    c = materialize(_daily_orders(spark, sf))
+    new = topn.newest(c)
+    out = run_folder(spark, "tick")
+    backfill_candles(spark, c.join(new, ["symbol", "datetime"], "left_anti"), out, "1 day")
+    replay_state(spark, out, "1 day")
+    return daily_tick(spark, out, new)
 
 
 def _daily(spark, sf):
@@ -200,7 +254,7 @@ QUERIES: dict[str, Query] = {
         CANDLE_DBL | {"TakerBuyBaseAssetVolume", "TakerBuyQuoteAssetVolume"},
         "SELECT datetime + INTERVAL 9 HOUR AS datetime, symbol, open, high, low, close, volume, "
         "QuoteAssetVolume, NumTrades, 0.0 AS TakerBuyBaseAssetVolume, 0.0 AS TakerBuyQuoteAssetVolume, "
-        f"'0' AS Ignore FROM ({C1H})", "SRC1 SRC3 CST1 DT1 DT2"),
+        f"'0' AS Ignore FROM ({C1H})", "SRC1 CST1 DT1 DT2"),
     "delta_gain_loss": Query(
         _delta_gain_loss,
         ["symbol", "datetime", "close", "prev_close", "delta", "up", "down", "ups_nb", "downs_nb"],
@@ -210,7 +264,7 @@ QUERIES: dict[str, Query] = {
         f"FROM ({Q.gains(C1H)})", "WIN1 PRJ3 PRJ4 PD1 PD2"),
     "ewma_history": Query(
         lambda s, d: _rsi_rows(s, d, "1 hour"), ["symbol", "datetime", "up_ewma", "down_ewma"],
-        {"up_ewma", "down_ewma"}, Q.rsi_full(C1H), "WIN2 WIN3 UDF1"),
+        {"up_ewma", "down_ewma"}, Q.rsi_full(C1H), "WIN3 UDF1"),
     "ewma_close": Query(
         lambda s, d: ewma(_candles(s, d, "1 hour"), "close", S.COM, "close_ewma",
                           interval_micros("1 hour"), BLOCK),
@@ -231,7 +285,7 @@ QUERIES: dict[str, Query] = {
     "latest_rsi": Query(
         lambda s, d: topn.newest(_rsi_rows(s, d, "1 hour")), S.RSI_COLUMNS, RSI_DBL,
         f"SELECT * FROM ({Q.rsi_full(C1H)}) QUALIFY row_number() OVER "
-        "(PARTITION BY symbol ORDER BY datetime DESC) = 1", "SRT1 SRT2 SRT4 PRJ1"),
+        "(PARTITION BY symbol ORDER BY datetime DESC) = 1", "SRT2 SRT4 PRJ1"),
     "newest_n_per_symbol": Query(
         lambda s, d: topn.newest_n(_candles(s, d, "4 hours"), S.DIVERGENCE_ROWS),
         CANDLE_COLS + ["rn"], CANDLE_DBL,
@@ -284,13 +338,26 @@ QUERIES: dict[str, Query] = {
         _state, ["symbol", "state"], set(),
         f"SELECT symbol, CAST(live_after AS BIGINT) AS state FROM ({Q.lifecycle_final(Q.flags(Q.rsi_full(C4H)))}) "
         "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) = 1", "SRC6 SRC8 SNK3"),
-    "backfill_rsi": Query(
-        lambda s, d: rsi_frame(_daily_orders(s, d), "1 day", exact=True), S.RSI_COLUMNS, RSI_DBL,
-        Q.rsi_full(O1D), "PIPE2 SRC4 SNK1"),
+    "backfill_rsi": Query(_backfilled, S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(O1D), "PIPE2 SNK1 SRT1 SRC5"),
+    "klines_table": Query(
+        _klines_table, [f.name for f in S.KLINE_SCHEMA.fields],
+        CANDLE_DBL | {"TakerBuyBaseAssetVolume", "TakerBuyQuoteAssetVolume"},
+        "SELECT datetime, symbol, open, high, low, close, volume, QuoteAssetVolume, NumTrades, "
+        "0.0 AS TakerBuyBaseAssetVolume, 0.0 AS TakerBuyQuoteAssetVolume, '0' AS Ignore "
+        f"FROM ({C1H})", "SRC3 SNK1 SRT1"),
+    "kline_responses": Query(
+        _responses, ["symbol", "datetime", "open", "close", "NumTrades", "rejected"], {"open", "close"},
+        "SELECT symbol, CASE WHEN NumTrades % 11 <> 0 THEN datetime + INTERVAL 9 HOUR END AS datetime, open, "
+        "CASE WHEN NumTrades % 7 <> 0 THEN close END AS close, NumTrades, "
+        f"NumTrades % 7 = 0 OR NumTrades % 11 = 0 AS rejected FROM ({C1H})", "SRC1 CST1 (landed files, dirty values)"),
+    "daily_tick": Query(
+        _daily_tick, ["datetime", "symbol", "close", "rsi", "bull", "bear", "kind", "signal_datetime", "signal_close",
+                      "pct", "converted", "age_days", "live_after"], {"close", "rsi", "signal_close", "pct"},
+        Q.daily_tick(O1D), "PIPE1 CMP2 CMP4 CMP5 CMP7 FLT4 SNK2 SNK3"),
     "daily_state": Query(
         _daily, LIFE_COLS, LIFE_DBL,
         f"SELECT * FROM ({Q.lifecycle_final(Q.flags(Q.rsi_full(O1D)))}) "
-        "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) = 1", "PIPE1"),
+        "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) = 1", "LIFE1 (newest row, by replay)"),
     "signal_json": Query(
         lambda s, d: to_json_messages(dv.signals(_flags(s, d))), ["value"], set(), None, "SNK4"),
     "kafka_frame": Query(
@@ -301,7 +368,6 @@ QUERIES: dict[str, Query] = {
 def _csv_warmup(spark, sf):
     """SRC7: daily candles landed as CSV (one folder per symbol), read back
     with the notebook's explicit schema, then the warm-up RSI (CMP3)."""
-    from candlewick.streaming.jobs import run_folder
     from candlewick.sources.klines import read_csv_candles
     path = run_folder(spark, "csv")
     (_daily_orders(spark, sf).select("symbol", *[f.name for f in S.CSV_CANDLE_SCHEMA.fields])
@@ -349,6 +415,11 @@ QUERIES["rsi_warmup_last_20"] = Query(
 SIGNALS_SQL = (f"SELECT datetime, symbol, close, CAST(CASE WHEN bear THEN {S.BEARISH} ELSE {S.BULLISH} END "
                f"AS INTEGER) AS diversions, CAST(0 AS INTEGER) AS convert "
                f"FROM ({Q.flags(Q.rsi_full(C4H))}) WHERE bull OR bear")
+SIGNAL_JSON_SQL = ("SELECT symbol AS key, '{\"datetime\":\"' || strftime(datetime, '%Y-%m-%dT%H:%M:%S.000') || "
+                   "'\",\"symbol\":\"' || symbol || '\",\"close\":' || CAST(close AS VARCHAR) || ',\"diversions\":' "
+                   "|| diversions || ',\"convert\":' || \"convert\" || '}' AS value FROM (" + SIGNALS_SQL + ")")
+QUERIES["signal_json"].sql = f"SELECT value FROM ({SIGNAL_JSON_SQL})"
+QUERIES["kafka_frame"].sql = SIGNAL_JSON_SQL
 SIGNAL_MSG_SCHEMA = ("datetime timestamp_ntz, symbol string, close double, "
                      "diversions int, convert int")
 

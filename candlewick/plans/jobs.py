@@ -1,9 +1,15 @@
 """End-to-end pipelines (PIPE1 daily tick, PIPE2 backfill).
 
-PIPE2: ticks -> candles -> klines table -> RSI history -> klines_rsi table.
-PIPE1: the daily chain collect -> RSI -> detect -> check as one plan; the
-state after the newest tick of every symbol is its ``task_state`` and live
-signal.  The streaming form of PIPE1 is ``streaming.jobs.run_streams``.
+PIPE2 ``backfill``: ticks -> candles -> klines table -> RSI history ->
+klines_rsi table; ``replay_state`` adds the signal state of every symbol.
+
+PIPE1 ``daily_tick``: new candles are appended; RSI of the newest 200 candles,
+of which the newest row is appended; divergence over the newest 30 stored RSI
+rows; conversion check and expiry of the live signal; state upsert.  Its work
+is one bounded group per symbol, whatever the length of the history.
+
+``daily`` replays the whole history instead (e.g. to audit the stored state).
+The streaming form of PIPE1 is ``streaming.jobs.run_streams``.
 """
 
 from __future__ import annotations
@@ -14,25 +20,108 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick import schema as S
-from candlewick.operators.divergence import divergence_flags
-from candlewick.operators.lifecycle import lifecycle
+from candlewick.functions.indicators import gain, loss, pct_change, relative_strength, rsi_from_rs
+from candlewick.functions.timefn import elapsed_days
+from candlewick.operators.divergence import divergence_flags, signal_code
+from candlewick.operators.ewma import fold_step
+from candlewick.operators.lifecycle import converted, lifecycle
 from candlewick.operators.resample import candles_from_ticks
 from candlewick.operators.rsi import frame_rows, rsi_frame
 from candlewick.operators.sequence import DEFAULT_BLOCK_ROWS
-from candlewick.operators.topn import newest
-from candlewick.session import materialize_by
-from candlewick.sinks.tables import overwrite_table
+from candlewick.operators.topn import newest, newest_n
+from candlewick.session import drop_scratch, materialize, materialize_by
+from candlewick.sinks.tables import append_table, overwrite_table, read_state, read_table, upsert_state
+
+
+def _paths(out_dir: str) -> dict[str, str]:
+    return {t: os.path.join(out_dir, t) for t in ("klines", "klines_rsi", "state")}
 
 
 def backfill(spark: SparkSession, ticks: DataFrame, out_dir: str, interval: str = "1 day",
              block_rows: int = DEFAULT_BLOCK_ROWS) -> dict[str, str]:
-    """PIPE2: writes ``klines`` and ``klines_rsi`` (partitioned by symbol)."""
-    klines_path = os.path.join(out_dir, "klines")
-    rsi_path = os.path.join(out_dir, "klines_rsi")
-    overwrite_table(candles_from_ticks(ticks, interval), klines_path)
-    klines = spark.read.parquet(klines_path)
-    overwrite_table(rsi_frame(klines, interval, block_rows=block_rows).select(*S.RSI_COLUMNS), rsi_path)
-    return {"klines": klines_path, "klines_rsi": rsi_path}
+    """PIPE2: writes ``klines`` and ``klines_rsi``."""
+    return backfill_candles(spark, candles_from_ticks(ticks, interval), out_dir, interval, block_rows)
+
+
+def backfill_candles(spark: SparkSession, candles: DataFrame, out_dir: str, interval: str = "1 day",
+                     block_rows: int = DEFAULT_BLOCK_ROWS) -> dict[str, str]:
+    paths = _paths(out_dir)
+    overwrite_table(candles, paths["klines"], replace="all")
+    r = rsi_frame(read_table(spark, paths["klines"]), interval, block_rows=block_rows, exact=True)
+    overwrite_table(r.select(*S.RSI_COLUMNS), paths["klines_rsi"], replace="all")
+    return paths
+
+
+def replay_state(spark: SparkSession, out_dir: str, interval: str = "1 day",
+                 block_rows: int = DEFAULT_BLOCK_ROWS) -> None:
+    """The state table after the backfilled history, from which ticks go on."""
+    states = newest(signal_states(read_table(spark, _paths(out_dir)["klines"]), interval, block_rows))
+    upsert_state(spark, _paths(out_dir)["state"], states.select(*_state_of(F.col("live_after"))))
+
+
+def _state_of(live) -> list:
+    """Columns of the state table: ``state`` 1 and the signal while one is live."""
+    return ["symbol", live.cast("bigint").alias("state"), F.when(live, F.col("kind")).alias("kind"),
+            F.when(live, F.col("signal_datetime")).alias("signal_datetime"),
+            F.when(live, F.col("signal_close")).alias("signal_close")]
+
+
+def tail_rsi(candles: DataFrame, tail: int = S.TAIL_ROWS, com: float = S.COM) -> DataFrame:
+    """CMP2 as the tick runs it: the newest ``tail`` candles of each symbol ->
+    the RSI row of the newest one.  A group has ``tail`` rows at most."""
+    cols = ["datetime", "open", "high", "low", "close"]
+    rows = (newest_n(candles, tail, rank_col=None).groupBy("symbol")
+            .agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("w")))
+    steps = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.get("w", i)["close"] - F.get("w", i - 1)["close"])
+    steps = F.when(F.size("w") > 1, steps).otherwise(F.array().cast("array<double>"))
+    fold = lambda part: F.aggregate(F.transform("_d", part), F.lit(0.0), fold_step(com))
+    out = rows.withColumn("_d", steps).select(
+        "symbol", F.element_at("w", -1).alias("c"), fold(gain).alias("up_ewma"), fold(loss).alias("down_ewma"))
+    return (out.select("c.*", "symbol", "up_ewma", "down_ewma")
+            .withColumn("rsi", rsi_from_rs(relative_strength("up_ewma", "down_ewma"))).select(*S.RSI_COLUMNS))
+
+
+def newest_flags(rsi_rows: DataFrame, lookback: int = S.DIVERGENCE_ROWS) -> DataFrame:
+    """CMP4/CMP5 for the newest row of each symbol over its newest ``lookback`` rows."""
+    cols = ["datetime", "close", "rsi", "low", "high"]
+    rows = (newest_n(rsi_rows, lookback, rank_col=None).groupBy("symbol")
+            .agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("w")).withColumn("n", F.element_at("w", -1)))
+    n = F.col("n")
+    some = lambda test: F.coalesce(F.exists("w", test), F.lit(False))
+    return rows.select("symbol", "n.*", some(
+        lambda q: (q["rsi"] <= S.OVERSOLD) & (q["rsi"] <= n["rsi"]) & (q["low"] > n["low"])).alias("bull"), some(
+        lambda q: (q["rsi"] >= S.OVERBOUGHT) & (q["rsi"] >= n["rsi"]) & (q["high"] < n["high"])).alias("bear"))
+
+
+def daily_tick(spark: SparkSession, out_dir: str, new_candles: DataFrame) -> DataFrame:
+    """PIPE1: one new closed candle per symbol, against the tables of
+    ``backfill`` and ``replay_state``.  Appends the candle and its RSI row, upserts the state, and
+    returns the symbols' tick rows.  A tick that is already in ``klines_rsi``
+    is not appended again."""
+    paths = _paths(out_dir)
+    have = read_table(spark, paths["klines"]).select("symbol", "datetime")
+    new = materialize(new_candles.join(have, ["symbol", "datetime"], "left_anti"))
+    symbols = new.select("symbol")
+    append_table(new.select(*read_table(spark, paths["klines"]).columns), paths["klines"])
+    touched = read_table(spark, paths["klines"]).join(symbols, "symbol", "left_semi")
+    append_table(materialize(tail_rsi(touched)), paths["klines_rsi"])
+    flags = newest_flags(read_table(spark, paths["klines_rsi"]).join(symbols, "symbol", "left_semi"))
+    state = read_state(spark, paths["state"]).select(
+        "symbol", F.col("kind").alias("k0"), F.col("signal_datetime").alias("t0"), F.col("signal_close").alias("c0"),
+        (F.col("state") != 0).alias("live"))
+    j = flags.join(state, "symbol", "left").withColumn("live", F.coalesce("live", F.lit(False)))
+    opens = ~F.col("live") & (F.col("bull") | F.col("bear"))
+    j = (j.withColumn("kind", F.when(F.col("live"), F.col("k0")).when(opens, signal_code()).otherwise(0).cast("int"))
+         .withColumn("signal_datetime", F.when(F.col("live"), F.col("t0")).when(opens, F.col("datetime")))
+         .withColumn("signal_close", F.when(F.col("live"), F.col("c0")).when(opens, F.col("close"))))
+    on = F.col("kind") > 0
+    j = (j.withColumn("pct", F.when(on, pct_change("close", "signal_close")))
+         .withColumn("age_days", F.when(on, elapsed_days("datetime", "signal_datetime"))))
+    j = (j.withColumn("converted", F.when(on, converted(F.col("pct"), F.col("kind"))))
+         .withColumn("live_after", on & (F.coalesce("age_days", F.lit(0)) < S.EXPIRY_DAYS)))
+    out = materialize(j.drop("k0", "t0", "c0", "live"))
+    upsert_state(spark, paths["state"], out.select(*_state_of(F.col("live_after"))))
+    return out
 
 
 def signal_states(candles: DataFrame, interval: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
@@ -45,7 +134,8 @@ def signal_states(candles: DataFrame, interval: str, block_rows: int = DEFAULT_B
 
 
 def daily(candles: DataFrame, interval: str = "1 day", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """PIPE1: per symbol, the newest tick with its RSI, flags and signal state."""
+    """Per symbol, the newest tick with its RSI, flags and signal state, by a
+    replay of the whole history."""
     s = newest(signal_states(candles, interval, block_rows))
     return s.withColumn("state", F.col("live_after").cast("bigint"))
 
@@ -53,8 +143,9 @@ def daily(candles: DataFrame, interval: str = "1 day", block_rows: int = DEFAULT
 def _main(argv=None) -> None:
     """Command line for spark-submit (or ``python -m candlewick.plans.jobs``).
 
-    backfill: ticks parquet -> <out>/klines, <out>/klines_rsi   (PIPE2)
-    daily:    klines parquet -> <out>/state (newest tick per symbol)   (PIPE1)
+    backfill: ticks parquet -> <out>/klines, klines_rsi, state   (PIPE2)
+    tick:     candles parquet (one new closed candle per symbol) -> <out>, as PIPE1
+    daily:    klines parquet -> <out>/daily (newest tick per symbol, by replay)
     stream:   events parquet folder -> landed candles and signal tables (STR1-STR4)
     """
     import argparse
@@ -63,7 +154,7 @@ def _main(argv=None) -> None:
     from candlewick.sources.ticks import ticks_from
 
     p = argparse.ArgumentParser(prog="candlewick.plans.jobs")
-    p.add_argument("command", choices=["backfill", "daily", "stream"])
+    p.add_argument("command", choices=["backfill", "tick", "daily", "stream"])
     p.add_argument("--input", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--interval", default="1 day")
@@ -80,9 +171,14 @@ def _main(argv=None) -> None:
     if a.command == "backfill":
         ticks = ticks_from(spark.read.parquet(a.input), a.symbol_col, a.ts_col, a.seq_col, a.price_col, a.qty_col)
         print(backfill(spark, ticks, a.out, a.interval, a.block_rows))
+        replay_state(spark, a.out, a.interval, a.block_rows)
+        drop_scratch(spark)
+    elif a.command == "tick":
+        daily_tick(spark, a.out, spark.read.parquet(a.input)).show(100, truncate=False)
     elif a.command == "daily":
-        state = daily(spark.read.parquet(a.input), a.interval, a.block_rows)
-        state.write.mode("overwrite").parquet(os.path.join(a.out, "state"))
+        state = daily(read_table(spark, a.input), a.interval, a.block_rows)
+        state.write.mode("overwrite").parquet(os.path.join(a.out, "daily"))
+        drop_scratch(spark)
     else:
         from candlewick.streaming.jobs import run_candle_stream
         if not a.delay:

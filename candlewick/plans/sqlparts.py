@@ -108,3 +108,33 @@ SELECT datetime, symbol, close, bull, bear, CAST(coalesce(kind, 0) AS INTEGER) A
        age_days,
        kind IS NOT NULL AND age_days < {S.EXPIRY_DAYS} AS live_after, t
 FROM ({lifecycle(flag_src)})"""
+
+
+def daily_tick(src: str) -> str:
+    """The newest candle of each symbol as a tick: RSI of the newest 200
+    candles, flags against the 29 rows before it of the RSI history without
+    the tick, and one step of the signal state after that history."""
+    newest = "row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC)"
+    hist = f"SELECT * FROM ({src}) QUALIFY {newest} > 1"
+    cols = "symbol, datetime, close, low, high, rsi"
+    return f"""
+WITH stored AS ({rsi_full(hist)}),
+tick AS (SELECT {cols} FROM ({rsi_tail(src)}) QUALIFY {newest} = 1),
+look AS (SELECT {cols} FROM stored QUALIFY {newest} <= {S.DIVERGENCE_ROWS - 1}),
+f AS (SELECT t.*,
+  EXISTS (SELECT 1 FROM look q WHERE q.symbol = t.symbol AND q.rsi <= {S.OVERSOLD} AND q.rsi <= t.rsi AND q.low > t.low) AS bull,
+  EXISTS (SELECT 1 FROM look q WHERE q.symbol = t.symbol AND q.rsi >= {S.OVERBOUGHT} AND q.rsi >= t.rsi AND q.high < t.high) AS bear
+  FROM tick t),
+before AS (SELECT symbol, live_after AS live, kind AS k0, signal_datetime AS t0, signal_close AS c0
+  FROM ({lifecycle_final(flags(rsi_full(hist)))}) QUALIFY {newest} = 1),
+s AS (SELECT f.*,
+  CAST(CASE WHEN live THEN k0 WHEN bear THEN {S.BEARISH} WHEN bull THEN {S.BULLISH} ELSE 0 END AS INTEGER) AS kind,
+  CASE WHEN live THEN t0 WHEN bull OR bear THEN datetime END AS signal_datetime,
+  CASE WHEN live THEN c0 WHEN bull OR bear THEN close END AS signal_close
+  FROM f JOIN before USING (symbol)),
+p AS (SELECT *, CASE WHEN kind > 0 THEN CASE WHEN close = signal_close THEN 0.0
+    ELSE (signal_close - close) / nullif(close, 0) * 100 END END AS pct,
+  CAST(floor((epoch_us(datetime) - epoch_us(signal_datetime)) / 86400000000) AS INTEGER) AS age_days FROM s)
+SELECT *, CASE WHEN kind > 0 THEN (pct >= {S.CONVERT_PCT} AND kind = {S.BULLISH})
+    OR (pct <= -{S.CONVERT_PCT} AND kind = {S.BEARISH}) END AS converted,
+  kind > 0 AND age_days < {S.EXPIRY_DAYS} AS live_after FROM p"""

@@ -1,39 +1,89 @@
-"""Table sinks on files (SNK1-SNK3) and merge-on-read upsert.
+"""Table sinks on files (SNK1-SNK3), merge-on-read upsert, keyed state tables.
 
 The original overwrote or appended PostgreSQL tables.  On a cluster the
-tables are parquet folders partitioned by symbol:
+tables are parquet folders partitioned by symbol and month of ``datetime``:
 
-* ``overwrite_table`` (SNK1/SNK3): rows clustered by symbol and sorted by
-  time, written with dynamic partition overwrite, so rewriting some symbols
-  leaves the others untouched.
-* ``append_table`` (SNK2): plain append, one folder per write.
+* ``overwrite_table`` (SNK1/SNK3): rows clustered by (symbol, month) and sorted
+  by time (SRT1), so a symbol's history is many tasks' work, and a read of its
+  newest rows can skip old months.  Dynamic partition overwrite replaces the
+  (symbol, month) partitions that the new rows touch, or the whole table.
+* ``append_table`` (SNK2): append, laid out alike.
 * ``read_upserted`` (SNK2 made idempotent): the newest version of each
   (symbol, datetime) wins when the table is read, so appending the same
   tick twice, or a re-delivered candle, changes nothing.
+* ``upsert_state`` / ``read_state`` (SNK3): a small table with one row per key.
+  Each upsert writes the next compacted version; readers take the newest
+  complete one, and versions before the last two are removed.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlewick.operators.topn import dedupe_latest
 
+MONTH = "month"
+
+
+def _laid_out(df: DataFrame, order: str) -> DataFrame:
+    return df.withColumn(MONTH, F.date_format(F.date_trunc("month", F.col(order).cast("timestamp")), "yyyy-MM"))
+
 
-def overwrite_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("symbol",),
-                    order: tuple[str, ...] = ("datetime",)) -> None:
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.repartition(*partition_by).sortWithinPartitions(*partition_by, *order)
-           .write.mode("overwrite").partitionBy(*partition_by).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+def overwrite_table(df: DataFrame, path: str, key: str = "symbol", order: str = "datetime",
+                    replace: str = "partitions") -> None:
+    """``replace``: "partitions" (those that ``df`` has rows of) or "all"."""
+    if replace not in ("partitions", "all"):
+        raise ValueError("replace is 'partitions' or 'all'")
+    (_laid_out(df, order).repartition(key, MONTH).sortWithinPartitions(key, MONTH, order)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
+     .partitionBy(key, MONTH).parquet(path))
 
 
-def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("symbol",)) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+def append_table(df: DataFrame, path: str, key: str = "symbol", order: str = "datetime") -> None:
+    _laid_out(df, order).repartition(key, MONTH).write.mode("append").partitionBy(key, MONTH).parquet(path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table without its layout column (a filter on ``month`` needs the plain reader)."""
+    return spark.read.parquet(path).drop(MONTH)
 
 
 def read_upserted(spark: SparkSession, path: str, keys: list[str], version: str) -> DataFrame:
-    return dedupe_latest(spark.read.parquet(path), keys, version)
+    return dedupe_latest(read_table(spark, path), keys, version)
+
+
+# ---------------------------------------------------------------- state tables
+
+KEPT_VERSIONS = 2
+
+
+def _versions(spark: SparkSession, path: str) -> tuple:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = p(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p(path)):
+        return fs, p, []
+    names = [f.getPath().getName() for f in fs.listStatus(p(path))]
+    found = sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+    return fs, p, [v for v in found if fs.exists(p(f"{path}/version={v:012d}/_SUCCESS"))]
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete version, None before the first upsert."""
+    *_, versions = _versions(spark, path)
+    return spark.read.parquet(os.path.join(path, f"version={versions[-1]:012d}")) if versions else None
+
+
+def upsert_state(spark: SparkSession, path: str, rows: DataFrame, key: str = "symbol") -> None:
+    """Replace the rows of the keys in ``rows`` (unique), keep those of others."""
+    fs, p, versions = _versions(spark, path)
+    now = rows
+    if versions:
+        before = read_state(spark, path)
+        now = before.join(rows.select(key), key, "left_anti").select(*rows.columns).unionByName(rows)
+    new = (versions[-1] if versions else 0) + 1
+    now.write.mode("overwrite").parquet(f"{path}/version={new:012d}")
+    for v in [*versions, new][:-KEPT_VERSIONS]:
+        fs.delete(p(f"{path}/version={v:012d}"), True)

@@ -16,7 +16,8 @@ from candlewick import schema as S
 from candlewick.functions.indicators import interval_micros
 from candlewick.functions.timefn import epoch_ms_to_ts, micros, utc_to_wall_clock
 
-PAYLOAD_TYPE = "array<array<string>>"
+PAYLOAD_ELEMENT = "array<string>"
+PAYLOAD_TYPE = f"array<{PAYLOAD_ELEMENT}>"
 
 
 def pack_kline_payload(candles: DataFrame, interval: str, per: str = "1 day") -> DataFrame:
@@ -42,32 +43,60 @@ def pack_kline_payload(candles: DataFrame, interval: str, per: str = "1 day") ->
                 .select("symbol", "payload"))
 
 
+#: Positions of the numbers in a response's element, with their types.
+_NUMBERS = {0: "bigint", 1: "double", 2: "double", 3: "double", 4: "double", 5: "double", 7: "double", 8: "int",
+            9: "double", 10: "double"}
+
+
+def _elements(payloads: DataFrame, symbol: str, payload: str) -> DataFrame:
+    return payloads.select(F.col(symbol).alias("symbol"),
+                           F.explode_outer(F.from_json(F.col(payload), PAYLOAD_TYPE)).alias("k"))
+
+
+def _dirty():
+    """Whether an element (or a whole response) does not decode: a number is missing or malformed."""
+    bad = F.col("k").isNull()
+    for i, kind in _NUMBERS.items():
+        bad = bad | F.get(F.col("k"), F.lit(i)).try_cast(kind).isNull()
+    return bad
+
+
 def decode_kline_payload(payloads: DataFrame, tz: str | None = S.EXCHANGE_TZ,
-                         symbol: str = "symbol", payload: str = "payload") -> DataFrame:
+                         symbol: str = "symbol", payload: str = "payload", strict: bool = True,
+                         rejected: str | None = None) -> DataFrame:
     """SRC1: JSON responses -> 12-column ``kline`` rows (index 6 skipped).
 
-    ``datetime`` is the candle open time as wall clock of ``tz`` (DT1 + DT2);
-    numeric strings use ``try_cast`` so one dirty value yields NULL, not a
-    failed job.
+    ``datetime`` is the candle open time as wall clock of ``tz`` (DT1 + DT2).
+    A value that is no number fails the job (``strict``), as it did the
+    original; ``kline_rejects`` shows such elements.  With ``strict`` off they
+    are decoded with NULL for what is malformed, and ``rejected`` names a
+    boolean column that marks them; nothing vanishes.
     """
-    k = payloads.select(F.col(symbol).alias("symbol"),
-                        F.explode(F.from_json(F.col(payload), PAYLOAD_TYPE)).alias("k"))
-    at = lambda i: F.col("k")[i]
-    dbl = lambda i: at(i).try_cast("double")
-    ts = epoch_ms_to_ts(at(0).try_cast("bigint"))
+    k = _elements(payloads, symbol, payload).withColumn("_bad", _dirty())
+    if strict:
+        told = F.concat(F.lit("a kline does not decode: "), F.coalesce(F.to_json("k"), F.lit("no JSON array")))
+        k = k.withColumn("k", F.when(~F.col("_bad"), F.col("k")).otherwise(F.raise_error(told).cast(PAYLOAD_ELEMENT)))
+    at = lambda i: F.get(F.col("k"), F.lit(i))
+    num = lambda i: at(i).try_cast(_NUMBERS[i])
+    ts = epoch_ms_to_ts(num(0))
     if tz:
         ts = utc_to_wall_clock(ts, tz)
-    return k.select(ts.alias("datetime"), "symbol",
-                    dbl(1).alias("open"), dbl(2).alias("high"), dbl(3).alias("low"),
-                    dbl(4).alias("close"), dbl(5).alias("volume"), dbl(7).alias("QuoteAssetVolume"),
-                    at(8).try_cast("int").alias("NumTrades"),
-                    dbl(9).alias("TakerBuyBaseAssetVolume"), dbl(10).alias("TakerBuyQuoteAssetVolume"),
-                    at(11).alias("Ignore"))
+    out = k.select(ts.alias("datetime"), "symbol",
+                   num(1).alias("open"), num(2).alias("high"), num(3).alias("low"),
+                   num(4).alias("close"), num(5).alias("volume"), num(7).alias("QuoteAssetVolume"),
+                   num(8).alias("NumTrades"),
+                   num(9).alias("TakerBuyBaseAssetVolume"), num(10).alias("TakerBuyQuoteAssetVolume"),
+                   at(11).alias("Ignore"), F.col("_bad"))
+    return out.withColumnRenamed("_bad", rejected) if rejected else out.drop("_bad")
+
+
+def kline_rejects(payloads: DataFrame, symbol: str = "symbol", payload: str = "payload") -> DataFrame:
+    """(symbol, element): what does not decode, as JSON (null: the whole response)."""
+    return _elements(payloads, symbol, payload).where(_dirty()).select("symbol", F.to_json("k").alias("element"))
 
 
 def read_kline_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Landed responses as JSON-lines files ``{"symbol": ..., "payload": [...]}``
-    or text files with one response per line and the symbol in the file name."""
+    """Landed responses: JSON-lines files ``{"symbol": ..., "payload": [[...], ...]}``."""
     df = spark.read.text(path)
     return df.select(F.get_json_object("value", "$.symbol").alias("symbol"),
                      F.get_json_object("value", "$.payload").alias("payload"))

@@ -2,8 +2,8 @@
 
 A tick table has columns ``symbol string, ts timestamp_ntz, seq bigint,
 price double, qty double``.  ``seq`` breaks ties between ticks of one symbol
-that share a timestamp.  Ticks without a timestamp or price carry no trade
-and are dropped at the source.
+that share a timestamp.  Rows without a timestamp or price carry no trade:
+``ticks_from`` leaves them out, ``tick_rejects`` shows them.
 """
 
 from __future__ import annotations
@@ -26,6 +26,11 @@ def ticks_from(df: DataFrame, symbol: str, ts: str, seq: str, price: str,
                       (F.col(qty).cast("double") if qty else F.lit(1.0)).alias("qty")))
 
 
+def tick_rejects(df: DataFrame, ts: str, price: str) -> DataFrame:
+    """The rows that ``ticks_from`` leaves out."""
+    return df.where(F.col(ts).isNull() | F.col(price).isNull())
+
+
 def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as ticks: symbol = event_type, price = value, tie-break event_id."""
     return ticks_from(table(spark, sf_dir, "events"), "event_type", "ts", "event_id", "value")

@@ -2,15 +2,17 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from candlewick import schema as S
 from candlewick.operators.resample import candles_from_ticks
-from candlewick.plans.jobs import backfill, daily
+from candlewick.plans.jobs import backfill, backfill_candles, daily, daily_tick, replay_state
 from candlewick.sinks.messages import kafka_frame, to_json_messages
-from candlewick.sinks.tables import append_table, overwrite_table, read_upserted
+from candlewick.sinks.tables import append_table, overwrite_table, read_state, read_table, read_upserted, upsert_state
+from candlewick.sources.klines import decode_kline_payload, kline_rejects
 from candlewick.sources.literal import state_frame
-from candlewick.sources.ticks import event_ticks
+from candlewick.sources.ticks import event_ticks, tick_rejects
 from candlewick.streaming.jobs import run_folder
 from tests.conftest import SF001
 
@@ -22,7 +24,74 @@ def test_backfill_writes_tables(spark):
     r = spark.read.parquet(paths["klines_rsi"])
     assert k.count() == r.count() > 0
     assert set(S.RSI_COLUMNS) <= set(r.columns)
-    assert sorted(os.listdir(paths["klines"]))[0].startswith("symbol=")
+    assert any(x.startswith("symbol=") for x in os.listdir(paths["klines"]))
+    inner = os.path.join(paths["klines"], "symbol=view")
+    assert any(x.startswith("month=") for x in os.listdir(inner))
+
+
+def test_a_hot_symbol_is_written_by_many_tasks(spark):
+    out = os.path.join(run_folder(spark, "hot"), "t")
+    df = spark.range(400).select(F.lit("X").alias("symbol"), (
+        F.lit("2020-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=F.col("id").cast("int"))).alias("datetime"),
+        F.col("id").cast("double").alias("close"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        overwrite_table(df, out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    names = {f.split("-")[1] for d, _, fs in os.walk(out) for f in fs if f.endswith(".parquet")}
+    assert len(names) >= 4  # part numbers: tasks
+    assert read_table(spark, out).count() == 400
+
+
+def test_state_upsert_keeps_other_keys_and_compacts(spark):
+    path = os.path.join(run_folder(spark, "state"), "s")
+    assert read_state(spark, path) is None
+    for rows in ([("a", 0), ("b", 0)], [("b", 1), ("c", 1)], [("a", 1)], [("c", 0)]):
+        upsert_state(spark, path, spark.createDataFrame(rows, "symbol string, state long"))
+    assert {tuple(r) for r in read_state(spark, path).collect()} == {("a", 1), ("b", 1), ("c", 0)}
+    assert sorted(x for x in os.listdir(path) if x.startswith("v")) == ["version=000000000003", "version=000000000004"]
+    # a version that was not completed is not read
+    os.makedirs(os.path.join(path, "version=000000000005"))
+    assert read_state(spark, path).count() == 3
+
+
+def test_dirty_klines_fail_or_are_shown(spark):
+    good = '[[1704067200000,"1","2","0.5","1.5","10",1,"20",3,"0","0","0"]'
+    p = spark.createDataFrame([("X", good + "]"), ("Y", good + ',[1704067200000,"oops","2","0.5","1.5","10",1,"20",3,"0","0","0"]]'),
+                               ("Z", "no json"), ("W", good + ',[17,"1"]]')], "symbol string, payload string")
+    with pytest.raises(Exception, match="does not decode"):
+        decode_kline_payload(p).collect()
+    assert decode_kline_payload(p.where("symbol = 'X'")).count() == 1
+    assert sorted(r.symbol for r in kline_rejects(p).collect()) == ["W", "Y", "Z"]
+    soft = decode_kline_payload(p, strict=False, rejected="bad").collect()
+    assert len(soft) == 6 and sum(r.bad for r in soft) == 3
+    assert [r.close for r in soft if r.symbol == "Y" and r.bad] == [1.5]
+
+
+def test_tick_rejects(spark):
+    df = spark.createDataFrame([("X", "2024-01-01", 1.0), ("X", None, 2.0), ("X", "2024-01-02", None)], "s string, t string, p double")
+    assert tick_rejects(df, "t", "p").count() == 2
+
+
+def test_daily_ticks_equal_the_replay_of_their_state(spark):
+    """Several ticks in a row: the stored state follows the tick rule, and a
+    tick that arrives twice changes nothing."""
+    c = candles_from_ticks(event_ticks(spark, SF001), "4 hours").where("datetime < '2024-01-12'").cache()
+    times = [r[0] for r in c.select("datetime").distinct().orderBy("datetime").collect()]
+    out = run_folder(spark, "ticks")
+    backfill_candles(spark, c.where(F.col("datetime") < F.lit(times[-3])), out, "4 hours", 64)
+    replay_state(spark, out, "4 hours", 64)
+    for t in times[-3:]:
+        got = daily_tick(spark, out, c.where(F.col("datetime") == F.lit(t)))
+        assert got.count() == c.where(F.col("datetime") == F.lit(t)).count()
+        state = {r.symbol: r for r in read_state(spark, os.path.join(out, "state")).collect()}
+        for r in got.collect():
+            assert state[r.symbol].state == int(r.live_after)
+            assert (r.kind > 0) or not r.live_after
+    again = daily_tick(spark, out, c.where(F.col("datetime") == F.lit(times[-1])))
+    assert again.count() == 0
+    assert read_table(spark, os.path.join(out, "klines_rsi")).count() == c.count()
 
 
 def test_dynamic_overwrite_keeps_other_symbols(spark):
@@ -66,5 +135,9 @@ def test_job_command_line(spark):
     out = run_folder(spark, "cli")
     _main(["backfill", "--input", os.path.join(SF001, "events.parquet"), "--out", out, "--interval", "4 hours"])
     _main(["daily", "--input", os.path.join(out, "klines"), "--out", out, "--interval", "4 hours"])
-    state = spark.read.parquet(os.path.join(out, "state"))
+    state = spark.read.parquet(os.path.join(out, "daily"))
     assert state.count() == 5 and "state" in state.columns
+    stored = {r.symbol: r.state for r in read_state(spark, os.path.join(out, "state")).collect()}
+    assert stored == {r.symbol: r.state for r in state.collect()}
+    with pytest.raises(SystemExit):  # a stream needs to be told its delay
+        _main(["stream", "--input", "x", "--out", out])

@@ -8,9 +8,9 @@ from candlewick.sources.tables import TABLES
 from tests.conftest import SF001
 from tools.oracle_check import digest
 
-NAMES = ["candles_4h", "resample_1h_to_4h", "kline_dedupe_latest", "kline_json_decode", "rsi_history",
-         "rsi_update_200", "rsi_warmup", "drop_last_15", "divergence_flags", "conversion_check",
-         "signal_lifecycle", "backfill_rsi", "daily_state", "signal_json_roundtrip"]
+from candlewick.plans import catalogue
+
+NAMES = sorted(catalogue.QUERIES)
 
 
 @pytest.fixture(scope="module")
