@@ -1,10 +1,9 @@
 """Exponentially weighted moving averages over per-symbol row order.
 
 The recursive form of the original jobs is ``e_0 = x_0``,
-``e_t = (1 - a) * e_{t-1} + a * x_t`` with ``a = 1 / (com + 1)``.  Three forms:
+``e_t = (1 - a) * e_{t-1} + a * x_t`` with ``a = 1 / (com + 1)``.  The forms
+(the newest-N variant is ``rsi.tail_sums``):
 
-* ``tail_fold``: the literal fold over a bounded frame (used for the
-  newest-N variant; frame size is the feature, so O(N) per row is fine).
 * blocked scan (``blocked_ewma``): O(1) per row at any history length.
   Inside a block of R rows, ``local_j = a * b^j * sum_{i<=j} b^-i x_i``
   (b = 1 - a) is a native running sum; R is capped so b^-R stays below
@@ -76,16 +75,6 @@ def ewma_fold_expr(arr: Column, com: float, seed: Column | None = None) -> Colum
     return F.aggregate(arr, seed.cast("double"), step)
 
 
-def tail_fold(x: str, com: float, rows: int, key: str = "symbol") -> Column:
-    """Fold over this row and the previous ``rows - 2`` rows from a 0 seed.
-
-    This is the newest-``rows`` variant: the oldest row of the tail has no
-    predecessor in the tail, so its contribution is the 0 seed.
-    """
-    frame = in_block(key).rowsBetween(-(rows - 2), 0)
-    return F.aggregate(F.collect_list(F.col(x)).over(frame), F.lit(0.0), fold_step(com))
-
-
 def local_sums(cols: list[str], com: float, block_rows: int, key: str = "symbol") -> list[Column]:
     """Running in-block sums ``sum b^-j x_j`` over own rows (halo rows add 0)."""
     beta = 1.0 - alpha_of(com)

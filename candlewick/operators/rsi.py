@@ -7,17 +7,17 @@ join.  Rows of one symbol are spread over ``rows / R`` independent groups.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick import schema as S
 from candlewick.functions.indicators import (
     gain, interval_micros, loss, relative_strength, rsi_from_averages_warm, rsi_from_rs)
 from candlewick.operators.ewma import (
-    alpha_of, block_plan, blocked_ewma, exact_fold, exact_rows, local_sums, tail_fold)
+    alpha_of, block_plan, blocked_ewma, exact_fold, exact_rows, local_sums)
 from candlewick.session import materialize_by
 from candlewick.operators.sequence import (
-    BLK, DEFAULT_BLOCK_ROWS, OWN, T, blocks_with_halo, in_block, with_row_index)
+    BLK, DEFAULT_BLOCK_ROWS, OWN, T, block_position, blocks_with_halo, in_block, with_row_index)
 
 
 def with_gains(df: DataFrame, key: str) -> DataFrame:
@@ -72,19 +72,33 @@ def rsi_tail(candles: DataFrame, interval: str = "1 hour", com: float = S.COM,
     """CMP2/WIN4: RSI of every row computed from its newest ``tail`` rows only.
 
     The tail's oldest row has no predecessor inside the tail, so it adds the
-    0 seed; the fold then runs over the other ``tail - 1`` rows.
+    0 seed; the fold then runs over the other ``tail - 1`` rows.  Two native
+    running sums per column, whatever the tail's length.
     """
-    rows_r = max(block_rows, 2 * tail)
+    beta = 1.0 - alpha_of(com)
+    # halo rows are scaled too: the whole span stays numerically safe
+    rows_r = max(tail + 1, min(max(block_rows, 2 * tail), block_plan(com, 1 << 30)[0] - tail))
     seq = with_row_index(candles, interval_micros(interval) * rows_r, key, order)
     u = with_gains(blocks_with_halo(seq, rows_r, tail), key)
-    u = (u.withColumn("up_ewma", tail_fold("up", com, tail, key))
-          .withColumn("down_ewma", tail_fold("down", com, tail, key))
-          .where(F.col(OWN)))
+    u = u.select("*", *tail_sums(["up", "down"], ["up_ewma", "down_ewma"], beta, tail, rows_r, key)).where(F.col(OWN))
     return (u.withColumn("rs", relative_strength("up_ewma", "down_ewma"))
              .withColumn("rsi", rsi_from_rs("rs"))
              .select(*S.RSI_COLUMNS))
 
 
+def tail_sums(cols: list[str], out: list[str], beta: float, tail: int, block_rows: int, key: str) -> list[Column]:
+    """The fold of the last ``tail - 1`` values from a 0 seed, as a difference
+    of running sums ``sum b^-j x_j``: the older sum is the smaller by far, and
+    a tail of zeros gives an exact zero."""
+    j = block_position(block_rows)
+    scale = F.pow(F.lit(beta), -j)
+    upto = in_block(key).rowsBetween(Window.unboundedPreceding, 0)
+    older = in_block(key).rowsBetween(Window.unboundedPreceding, -(tail - 1))
+    return [(F.lit(1.0 - beta) * F.pow(F.lit(beta), j)
+             * (F.sum(F.col(c) * scale).over(upto) - F.coalesce(F.sum(F.col(c) * scale).over(older), F.lit(0.0)))).alias(o)
+            for c, o in zip(cols, out)]
+
+
 def rsi_warmup(candles: DataFrame, interval: str = "1 hour", period: int = S.WARMUP_PERIODS,
                block_rows: int = DEFAULT_BLOCK_ROWS, exact: bool = False) -> DataFrame:
     """CMP3: normalised averages with ``min_periods = period`` (com = period - 1).
