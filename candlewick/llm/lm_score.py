@@ -19,7 +19,7 @@ Scale.  The model grows with the corpus, so it is neither collected nor
 broadcast.  Documents are dealt into blocks of about ``BLOCK_BYTES`` by a hash
 of id and text.  Each block sends its distinct n-grams with their training
 counts to model partitions (ranges of the n-gram hash); a partition adds them
-up and answers every block with the totals of just the n-grams that it sent,
+up and answers every block with what others add to the counts that it sent,
 in the order sent, so the answer needs no keys.  A block then builds the part of
 the automaton that its texts can reach and traverses it.  Hot words are one row
 for each block.  Blocks, partitions and their number grow with the input; one
@@ -51,7 +51,7 @@ PARTITION_KEYS = 2 << 20
 BYTES_A_TOKEN = 6  # about; only sizes partitions
 
 _SENT = "gram int, part int, block int, keys binary, counts binary"
-_ANSWER = "block int, gram int, part int, totals binary, tokens long, distinct long, ends long"
+_ANSWER = "block int, gram int, part int, others binary, tokens long, distinct long, ends long"
 
 
 def mix(context, token):
@@ -108,22 +108,40 @@ def grams_of(texts: list, order: int):
 
 
 def pack(x) -> bytes:
-    """Counts in the fewest bytes each; the length tells how many."""
+    """Counts in the fewest bytes each (the length tells how many), compressed."""
     import numpy as np
+    import zstandard
 
     top = int(x.max()) if len(x) else 0
-    for kind in (np.uint8, np.uint16, np.uint32):
-        if top <= np.iinfo(kind).max:
-            return x.astype(kind).tobytes()
-    return x.astype(np.uint64).tobytes()
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(k).max)
+    return zstandard.compress(x.astype(kind).tobytes(), 1)
 
 
 def unpack(raw: bytes, n: int):
     import numpy as np
+    import zstandard
 
+    raw = zstandard.decompress(raw)
     return np.frombuffer(raw, f"u{len(raw) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
+def pack_keys(keys) -> bytes:
+    """Sorted keys as differences, the bytes of equal weight together: the high ones are nearly all zero."""
+    import numpy as np
+    import zstandard
+
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return zstandard.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpack_keys(raw: bytes):
+    import numpy as np
+    import zstandard
+
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _cuts(keys, parts: int):
     """Where the ranges of the sorted keys begin; ``parts`` is a power of two."""
     import numpy as np
@@ -149,7 +167,7 @@ def _sender(order: int, parts: list[int]):
                 a, b = cut[p], cut[p + 1]
                 # every partition of words hears from every block, to tell it the totals
                 if b > a or k == 0:
-                    for name, x in zip(out, (k, p, key[0].as_py(), keys[a:b].tobytes(), pack(counts[a:b]))):
+                    for name, x in zip(out, (k, p, key[0].as_py(), pack_keys(keys[a:b]), pack(counts[a:b]))):
                         out[name].append(x)
         return pa.table(out, pa.schema([("gram", pa.int32()), ("part", pa.int32()), ("block", pa.int32()),
                                         ("keys", pa.binary()), ("counts", pa.binary())]))
@@ -161,15 +179,17 @@ def _total(key, rows):
     import numpy as np
 
     gram, part = key[0].as_py(), key[1].as_py()
-    sent = [np.frombuffer(x, np.uint64) for x in rows["keys"].to_pylist()]
+    sent = [unpack_keys(x) for x in rows["keys"].to_pylist()]
     counts = [unpack(x, len(s)) for x, s in zip(rows["counts"].to_pylist(), sent)]
     keys, at = np.unique(np.concatenate(sent), return_inverse=True)
     totals = np.bincount(at, np.concatenate(counts), len(keys)).astype(np.int64)
+    # what other blocks add to a block's own count, mostly nothing
     answers = np.split(totals[at], np.cumsum([len(s) for s in sent])[:-1])
+    answers = [a - c for a, c in zip(answers, counts)]
     n = len(sent)
     end = int(totals[keys == np.uint64(end_key())].sum()) if gram == 0 else 0
     return pa.table({"block": rows["block"], "gram": pa.array([gram] * n, pa.int32()), "part": pa.array([part] * n, pa.int32()),
-                     "totals": pa.array([pack(x) for x in answers], pa.binary()),
+                     "others": pa.array([pack(x) for x in answers], pa.binary()),
                      "tokens": pa.array([int(totals.sum())] * n, pa.int64()),
                      "distinct": pa.array([int((totals > 0).sum())] * n, pa.int64()),
                      "ends": pa.array([end] * n, pa.int64())})
@@ -213,13 +233,15 @@ def _scorer(order: int, parts: list[int], mu: float, id_col: str):
         import numpy as np
 
         grams, _, first = grams_of(docs["text"].to_pylist(), order)
+        train = np.repeat(np.asarray(docs["train"].to_pylist(), np.float64), np.diff(first))
         got = {(r["gram"], r["part"]): r for r in answers.to_pylist()}
         at, counts = [], []
         for k, gram in enumerate(grams):
             keys, inverse = np.unique(gram, return_inverse=True)
             cut = _cuts(keys, parts[k])
-            counts.append(np.concatenate([unpack(got[k, p]["totals"], cut[p + 1] - cut[p]) for p in range(parts[k])
-                                          if cut[p + 1] > cut[p]]))
+            own = np.bincount(inverse, train, len(keys)).astype(np.int64)
+            counts.append(own + np.concatenate([unpack(got[k, p]["others"], cut[p + 1] - cut[p]) for p in range(parts[k])
+                                                if cut[p + 1] > cut[p]]))
             at.append(inverse)
         words = [got[0, p] for p in range(parts[0])]
         tokens, distinct, ends = (sum(r[x] for r in words) for x in ("tokens", "distinct", "ends"))
