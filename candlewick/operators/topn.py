@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.timefn import micros
+from candlewick.session import materialize
 
 
 def newest_n(df: DataFrame, n: int, key: str = "symbol", order: str = "datetime",
@@ -37,7 +38,9 @@ def closed_latest(df: DataFrame, key: str = "symbol", order: str = "datetime") -
 
 
 def drop_newest(df: DataFrame, n: int, key: str = "symbol", order: str = "datetime") -> DataFrame:
-    """SRT5: every row except the newest ``n`` of each key."""
+    """SRT5: every row except the newest ``n`` of each key.  The input is read
+    twice, so it is computed once and checkpointed."""
+    df = materialize(df)
     top = newest_n(df, n, key, order, rank_col=None).select(key, order)
     return df.join(top, [key, order], "left_anti")
 
