@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick import schema as S
-from candlewick.functions.indicators import gain, loss, pct_change, relative_strength, rsi_from_rs
-from candlewick.functions.timefn import elapsed_days
+from candlewick.functions.indicators import gain, interval_micros, loss, pct_change, relative_strength, rsi_from_rs
+from candlewick.functions.timefn import MICROS_PER_DAY, elapsed_days
 from candlewick.operators.divergence import divergence_flags, signal_code
 from candlewick.operators.ewma import fold_step
 from candlewick.operators.lifecycle import converted, lifecycle
@@ -33,6 +33,10 @@ from candlewick.session import drop_scratch, materialize, materialize_by
 from candlewick.sinks.tables import append_table, overwrite_table, read_state, read_table, upsert_state
 
 
+def _slice(interval: str) -> str:
+    return "year" if interval_micros(interval) >= MICROS_PER_DAY else "month"
+
+
 def _paths(out_dir: str) -> dict[str, str]:
     return {t: os.path.join(out_dir, t) for t in ("klines", "klines_rsi", "state")}
 
@@ -46,9 +50,9 @@ def backfill(spark: SparkSession, ticks: DataFrame, out_dir: str, interval: str
 def backfill_candles(spark: SparkSession, candles: DataFrame, out_dir: str, interval: str = "1 day",
                      block_rows: int = DEFAULT_BLOCK_ROWS) -> dict[str, str]:
     paths = _paths(out_dir)
-    overwrite_table(candles, paths["klines"], replace="all")
+    overwrite_table(candles, paths["klines"], replace="all", by=_slice(interval))
     r = rsi_frame(read_table(spark, paths["klines"]), interval, block_rows=block_rows, exact=True)
-    overwrite_table(r.select(*S.RSI_COLUMNS), paths["klines_rsi"], replace="all")
+    overwrite_table(r.select(*S.RSI_COLUMNS), paths["klines_rsi"], replace="all", by=_slice(interval))
     return paths
 
 
@@ -93,7 +97,7 @@ def newest_flags(rsi_rows: DataFrame, lookback: int = S.DIVERGENCE_ROWS) -> Data
         lambda q: (q["rsi"] >= S.OVERBOUGHT) & (q["rsi"] >= n["rsi"]) & (q["high"] < n["high"])).alias("bear"))
 
 
-def daily_tick(spark: SparkSession, out_dir: str, new_candles: DataFrame) -> DataFrame:
+def daily_tick(spark: SparkSession, out_dir: str, new_candles: DataFrame, interval: str = "1 day") -> DataFrame:
     """PIPE1: one new closed candle per symbol, against the tables of
     ``backfill`` and ``replay_state``.  Appends the candle and its RSI row, upserts the state, and
     returns the symbols' tick rows.  A tick that is already in ``klines_rsi``
@@ -102,9 +106,9 @@ def daily_tick(spark: SparkSession, out_dir: str, new_candles: DataFrame) -> Dat
     have = read_table(spark, paths["klines"]).select("symbol", "datetime")
     new = materialize(new_candles.join(have, ["symbol", "datetime"], "left_anti"))
     symbols = new.select("symbol")
-    append_table(new.select(*read_table(spark, paths["klines"]).columns), paths["klines"])
+    append_table(new.select(*read_table(spark, paths["klines"]).columns), paths["klines"], by=_slice(interval))
     touched = read_table(spark, paths["klines"]).join(symbols, "symbol", "left_semi")
-    append_table(materialize(tail_rsi(touched)), paths["klines_rsi"])
+    append_table(materialize(tail_rsi(touched)), paths["klines_rsi"], by=_slice(interval))
     flags = newest_flags(read_table(spark, paths["klines_rsi"]).join(symbols, "symbol", "left_semi"))
     state = read_state(spark, paths["state"]).select(
         "symbol", F.col("kind").alias("k0"), F.col("signal_datetime").alias("t0"), F.col("signal_close").alias("c0"),
@@ -174,7 +178,7 @@ def _main(argv=None) -> None:
         replay_state(spark, a.out, a.interval, a.block_rows)
         drop_scratch(spark)
     elif a.command == "tick":
-        daily_tick(spark, a.out, spark.read.parquet(a.input)).show(100, truncate=False)
+        daily_tick(spark, a.out, spark.read.parquet(a.input), a.interval).show(100, truncate=False)
     elif a.command == "daily":
         state = daily(read_table(spark, a.input), a.interval, a.block_rows)
         state.write.mode("overwrite").parquet(os.path.join(a.out, "daily"))

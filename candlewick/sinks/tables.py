@@ -1,12 +1,13 @@
 """Table sinks on files (SNK1-SNK3), merge-on-read upsert, keyed state tables.
 
 The original overwrote or appended PostgreSQL tables.  On a cluster the
-tables are parquet folders partitioned by symbol and month of ``datetime``:
+tables are parquet folders partitioned by symbol and a slice of ``datetime``
+(month, or year for daily rows):
 
-* ``overwrite_table`` (SNK1/SNK3): rows clustered by (symbol, month) and sorted
+* ``overwrite_table`` (SNK1/SNK3): rows clustered by (symbol, slice) and sorted
   by time (SRT1), so a symbol's history is many tasks' work, and a read of its
-  newest rows can skip old months.  Dynamic partition overwrite replaces the
-  (symbol, month) partitions that the new rows touch, or the whole table.
+  newest rows can skip old slices.  Dynamic partition overwrite replaces the
+  (symbol, slice) partitions that the new rows touch, or the whole table.
 * ``append_table`` (SNK2): append, laid out alike.
 * ``read_upserted`` (SNK2 made idempotent): the newest version of each
   (symbol, datetime) wins when the table is read, so appending the same
@@ -25,30 +26,30 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.topn import dedupe_latest
 
-MONTH = "month"
+SLICES = {"month": "yyyy-MM", "year": "yyyy"}  # names of the layout column, formats of its values
 
 
-def _laid_out(df: DataFrame, order: str) -> DataFrame:
-    return df.withColumn(MONTH, F.date_format(F.date_trunc("month", F.col(order).cast("timestamp")), "yyyy-MM"))
+def _laid_out(df: DataFrame, order: str, by: str) -> DataFrame:
+    return df.withColumn(by, F.date_format(F.col(order).cast("timestamp"), SLICES[by]))
 
 
 def overwrite_table(df: DataFrame, path: str, key: str = "symbol", order: str = "datetime",
-                    replace: str = "partitions") -> None:
+                    replace: str = "partitions", by: str = "month") -> None:
     """``replace``: "partitions" (those that ``df`` has rows of) or "all"."""
     if replace not in ("partitions", "all"):
         raise ValueError("replace is 'partitions' or 'all'")
-    (_laid_out(df, order).repartition(key, MONTH).sortWithinPartitions(key, MONTH, order)
+    (_laid_out(df, order, by).repartition(key, by).sortWithinPartitions(key, by, order)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
-     .partitionBy(key, MONTH).parquet(path))
+     .partitionBy(key, by).parquet(path))
 
 
-def append_table(df: DataFrame, path: str, key: str = "symbol", order: str = "datetime") -> None:
-    _laid_out(df, order).repartition(key, MONTH).write.mode("append").partitionBy(key, MONTH).parquet(path)
+def append_table(df: DataFrame, path: str, key: str = "symbol", order: str = "datetime", by: str = "month") -> None:
+    _laid_out(df, order, by).repartition(key, by).write.mode("append").partitionBy(key, by).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table without its layout column (a filter on ``month`` needs the plain reader)."""
-    return spark.read.parquet(path).drop(MONTH)
+    """The table without its layout column (a filter on that needs the plain reader)."""
+    return spark.read.parquet(path).drop(*SLICES)
 
 
 def read_upserted(spark: SparkSession, path: str, keys: list[str], version: str) -> DataFrame:

@@ -83,13 +83,13 @@ def test_daily_ticks_equal_the_replay_of_their_state(spark):
     backfill_candles(spark, c.where(F.col("datetime") < F.lit(times[-3])), out, "4 hours", 64)
     replay_state(spark, out, "4 hours", 64)
     for t in times[-3:]:
-        got = daily_tick(spark, out, c.where(F.col("datetime") == F.lit(t)))
+        got = daily_tick(spark, out, c.where(F.col("datetime") == F.lit(t)), "4 hours")
         assert got.count() == c.where(F.col("datetime") == F.lit(t)).count()
         state = {r.symbol: r for r in read_state(spark, os.path.join(out, "state")).collect()}
         for r in got.collect():
             assert state[r.symbol].state == int(r.live_after)
             assert (r.kind > 0) or not r.live_after
-    again = daily_tick(spark, out, c.where(F.col("datetime") == F.lit(times[-1])))
+    again = daily_tick(spark, out, c.where(F.col("datetime") == F.lit(times[-1])), "4 hours")
     assert again.count() == 0
     assert read_table(spark, os.path.join(out, "klines_rsi")).count() == c.count()
 
