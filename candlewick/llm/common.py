@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from candlewick.session import checkpoint_dir
 
 #: Upper bound of one Arrow batch handed to a Python worker.
-ARROW_BATCH_BYTES = 8 << 20
+ARROW_BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
