@@ -58,6 +58,7 @@ def windows_of(words: list[bytes], n: int) -> set[bytes]:
 def _blocks(items: DataFrame, item_id: str, text: str, n: int, limit: int) -> Iterator[dict]:
     """Windows with the ids of their items, at most ``limit`` (and one item) at a time."""
     block: dict[str, set] = {}
+    n_blocks = 0
     for row in items.select(F.col(item_id).cast("string"), F.col(text)).toLocalIterator():
         for w in windows_of(words_of(row[1]), n):
             ids = block.setdefault(w.decode("latin-1"), set())
@@ -65,8 +66,9 @@ def _blocks(items: DataFrame, item_id: str, text: str, n: int, limit: int) -> It
                 ids.add(row[0])
         if len(block) >= limit:
             yield block
-            block = {}
-    yield block
+            block, n_blocks = {}, n_blocks + 1
+    if block or not n_blocks:
+        yield block
 
 
 def _automaton(block: dict):

@@ -208,11 +208,11 @@ def top_k(index: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int
     spark = queries.sparkSession
     asked = materialize(queries.where(F.col(id_col).isNotNull() & usable(F.col(vector))).select(
         F.col(id_col).cast("long").alias("query_id"), quantised(F.col(vector), scale).alias("q")).distinct())
-    blocks = [r.block for r in index.select("block").collect()]  # one small number per ROWS rows
-    n_queries = asked.count()
+    last = index.agg(F.max("block")).head()[0]
+    n_blocks, n_queries = (0 if last is None else last + 1), asked.count()
     # enough units for every core, none with more queries than its bound
     cores = spark.sparkContext.defaultParallelism
-    groups = max(1, -(-n_queries // QUERIES), min(n_queries, -(-2 * cores // max(1, len(blocks)))))
+    groups = max(1, -(-n_queries // QUERIES), min(n_queries, -(-2 * cores // max(1, n_blocks))))
     asked = asked.withColumn("part", F.pmod(F.xxhash64("query_id", "q"), F.lit(groups)).cast("int"))
 
     def search(key, left, right):
@@ -230,7 +230,8 @@ def top_k(index: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int
         return pa.table(dict(zip(("query_id", "vec_id", "score"), (pa.array(c, pa.int64()) for c in cols))))
 
     # queries, in groups, go to every block; index blocks go to every group of queries
-    to_blocks = asked.withColumn("block", F.explode(F.lit(sorted(blocks)).cast("array<int>")))
+    # (a block without rows has no index and finds nothing)
+    to_blocks = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(0, n_blocks - 1)))))
     numbered = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     found = (to_blocks.groupBy("block", "part").cogroup(numbered.groupBy("block", "part"))
              .applyInArrow(search, _FOUND))
