@@ -130,14 +130,11 @@ def classes(rows: DataFrame, id_col: str, fp: str, max_bits: int = MAX_BITS) ->
     fps = materialize(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(id_col).alias("first")))
     found = materialize(components(links(fps, max_bits), "a", "b").withColumnRenamed("node", "fp"))
     rooted = materialize(fps.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
-    linked = rooted.join(found.select(F.col("root")).distinct(), "root", "left_semi")
     # of fingerprints that hold the smallest id, the smallest one stands for the class
-    best = materialize(linked.groupBy("root").agg(
+    best = materialize(rooted.groupBy("root").agg(
         F.min(F.struct(F.col("first").isNull().alias("none"), F.col("first"), F.col("fp"))).alias("best")))
-    out = rooted.join(best, "root", "left")
-    return materialize(out.select(
-        "fp", "root", F.coalesce(F.col("best.first"), F.when(F.col("best").isNull(), F.col("first"))).alias("component_id"),
-        F.coalesce(F.col("best.fp") == F.col("fp"), F.lit(True)).alias("rep")))
+    return materialize(rooted.join(best, "root").select(
+        "fp", "root", F.col("best.first").alias("component_id"), (F.col("best.fp") == F.col("fp")).alias("rep")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
