@@ -28,6 +28,7 @@ The blocked scan equals the sequential fold up to floating-point rounding.
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -209,26 +210,19 @@ def exact_fold(rows: DataFrame, xcols: list[str], ecols: list[str], com: float,
     schema = rows.schema
     names = schema.fieldNames()
 
+    def step(acc: float, v: float) -> float:
+        return keep * acc + a * v
+
     def replay(own, prev):
         own = own.sort_values(T, kind="stable")
         prev = prev.sort_values(T, kind="stable")
         for x, e in zip(xcols, ecols):
-            xs = own[x].to_numpy(dtype=float)
-            out = [0.0] * len(xs)
+            xs = own[x].tolist()  # plain floats: the same bits, a fraction of the time
             if len(prev):
-                px = prev[x].to_numpy(dtype=float)
-                acc = float(prev[e].iloc[0])
-                for v in px[1:]:
-                    acc = keep * acc + a * v
-                start = 0
+                *_, acc = accumulate(prev[x].tolist()[1:], step, initial=float(prev[e].iloc[0]))
+                own[e] = list(accumulate(xs, step, initial=acc))[1:]
             else:
-                acc = float(xs[0])
-                out[0] = acc
-                start = 1
-            for i in range(start, len(xs)):
-                acc = keep * acc + a * xs[i]
-                out[i] = acc
-            own[e] = out
+                own[e] = list(accumulate(xs, step))
         return own[names]
 
     return (rows.groupBy(key, BLK).cogroup(halo.groupBy(key, BLK))
