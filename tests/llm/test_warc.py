@@ -105,3 +105,27 @@ def test_faults_are_found():
     broken[len(raw) // 2] ^= 0xFF
     told = list(read_records(io.BytesIO(bytes(broken)), "a", strict=False))
     assert any(r["error"] for r in told) and all(r["payload"] in payloads for r in told if not r["error"])
+
+
+def test_a_hot_payload_is_split(spark):
+    """A third of all pages with one payload: the join by digest is two plain
+    shuffles, which adaptive execution splits at the hot digest."""
+    pages = spark.range(30_000).select(
+        F.col("id").alias("page_id"), F.when(F.col("id") % 3 == 0, 2000).otherwise(2000 + F.col("id") % 7).cast("long").alias("size"),
+        F.sha1(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).cast("binary")).alias("digest"))
+    own = {"spark.sql.shuffle.partitions": "48", "spark.sql.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    before = {k: spark.conf.get(k, None) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        again = warc.revisits(pages, "page_id", "digest", "size")
+        got = again.collect()
+        plan = again._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert len(got) == 9_999 and {r.refers_to for r in got} == {29_997}
+    assert "skew=true" in plan
