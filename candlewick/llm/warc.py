@@ -265,6 +265,7 @@ def revisits(pages: DataFrame, page_id: str, digest: str, size: str, revisit_byt
     ids = pages.where(F.col(size) >= revisit_bytes).select(page_id, digest, size)
     last = (ids.groupBy(F.col(digest).alias("_digest"), F.col(size).alias("_size"))
             .agg(F.max(page_id).alias("refers_to"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
+    last = materialize(last)  # two plain shuffles below, which adaptive execution can split at a hot payload
     met = ids.join(last, (F.col(digest) == F.col("_digest")) & (F.col(size) == F.col("_size")))
     return (met.where(F.col("refers_to").isNotNull() & ~F.col(page_id).eqNullSafe(F.col("refers_to")))
             .select(page_id, digest, "refers_to").distinct())
