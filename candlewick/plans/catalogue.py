@@ -381,11 +381,11 @@ def _events_path(sf):
 
 
 def _stream_candles(spark, sf):
-    return spark.read.parquet(landed_glob(run_candle_stream(spark, _events_path(sf), "1 day")))
+    return spark.read.parquet(landed_glob(run_candle_stream(spark, _events_path(sf), "1 day", delay=None)))
 
 
 def _stream_signals(spark, sf):
-    return run_streams(spark, _events_path(sf), "4 hours")
+    return run_streams(spark, _events_path(sf), "4 hours", delay=None)
 
 
 def _closed(candles_sql, interval):

@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,10 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isFile()
 
 
+def _is_tick():
+    return F.col("ts").isNotNull() & F.col("value").isNotNull()
+
+
 def event_tick_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """``events`` parquet files as a tick stream (symbol, ts TIMESTAMP, seq, price, qty)."""
     r = spark.readStream.schema(EVENTS_SCHEMA)
@@ -57,12 +61,41 @@ def event_tick_stream(spark: SparkSession, path: str, max_files: int | None = No
         r = r.option("pathGlobFilter", os.path.basename(path))
         path = os.path.dirname(path)
     ev = r.parquet(path)
-    return (ev.where(F.col("ts").isNotNull() & F.col("value").isNotNull())
+    return (ev.where(_is_tick())
               .select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"),
                       F.col("event_id").alias("seq"), F.col("value").alias("price"),
                       F.lit(1.0).alias("qty")))
 
 
+def measured_lag(spark: SparkSession, path: str) -> tuple[int | None, int]:
+    """(newest tick in epoch milliseconds, delay in milliseconds) of a whole
+    ``events`` table: with this delay its stream drops no tick, whatever files
+    a batch takes.
+
+    Files are streamed by modification time, so the delay covers how far the
+    oldest tick of a file lags behind the newest of the files before it; files
+    of one time may come in any order.  Files in time order need none.  The
+    running maximum is over one row per modification time."""
+    # the watermark drops a tick at its own millisecond too, and both ends are cut to milliseconds
+    spare = 2
+    at, name = F.col("_metadata.file_modification_time"), F.col("_metadata.file_path")
+    us = micros("ts")
+    files = (spark.read.schema(EVENTS_SCHEMA).parquet(path).where(_is_tick()).groupBy(at.alias("m"))
+             .agg(F.min(us).alias("lo"), F.max(us).alias("hi"), (F.min(name) != F.max(name)).alias("several")))
+    before = F.max("hi").over(Window.orderBy("m").rowsBetween(Window.unboundedPreceding, -1))
+    lag = F.greatest(before, F.when(F.col("several"), F.col("hi"))) - F.col("lo")
+    newest, lag = files.select("hi", lag.alias("lag")).agg(F.max("hi"), F.max("lag")).first()
+    return (None if newest is None else newest // 1000), (0 if lag is None or lag < 0 else lag // 1000 + spare)
+
+
+def write_closing_tick(spark: SparkSession, path: str, at_ms: int) -> None:
+    """One ``events`` row at ``at_ms`` that moves the watermark on; its symbol is null."""
+    (spark.range(1).select(*[(F.timestamp_millis(F.lit(at_ms)).cast("timestamp_ntz") if f.name == "ts" else
+                              F.lit(0.0 if f.name == "value" else None).cast(f.dataType)).alias(f.name)
+                             for f in EVENTS_SCHEMA.fields])
+     .coalesce(1).write.mode("append").parquet(path))
+
+
 def stream_candles(ticks: DataFrame, interval: str, delay: str, dedupe: bool = True) -> DataFrame:
     """STR1: closed candles only; same columns and rules as the batch resampler.
 

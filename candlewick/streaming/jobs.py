@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from candlewick.session import checkpoint_dir, materialize
 from candlewick.streaming.candles import (
-    CANDLE_STREAM_SCHEMA, batch_folder, dropped_ticks, event_tick_stream, land, landed_glob, stream_candles, write_batch)
+    CANDLE_STREAM_SCHEMA, batch_folder, dropped_ticks, event_tick_stream, land, landed_glob, measured_lag, stream_candles,
+    write_batch, write_closing_tick)
 from candlewick.streaming.signals import OUT_SCHEMA, STATE_TABLE, advance
 
 
@@ -34,6 +35,11 @@ def run_folder(spark: SparkSession, name: str) -> str:
 MAX_FILES = 64  # tick files of one batch
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def landed_ids(spark: SparkSession, out_dir: str) -> list[int]:
     """Ids of the batches in ``out_dir``, ascending."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_dir)
@@ -58,24 +64,48 @@ def advance_batch(spark: SparkSession, base: str, batch_id: int, candles_dir: st
     done.select("symbol", "state.*").write.mode("overwrite").parquet(batch_folder(states, batch_id))
 
 
-def run_candle_stream(spark: SparkSession, events_path: str, interval: str, delay: str = "0 seconds",
+def run_candle_stream(spark: SparkSession, events_path: str, interval: str, delay: str | None = "0 seconds",
                       base: str | None = None, max_files: int = MAX_FILES, signals: bool = False) -> str:
     """Run STR1 -> STR4 (with ``signals`` also STR2/STR3) to completion
     (availableNow); returns the landed folder.  Ticks that lag behind the
     newest one by more than ``delay`` are dropped by the watermark; their
-    number is written to ``<base>/dropped`` and a warning names it."""
+    number is written to ``<base>/dropped`` and a warning names it.
+
+    ``delay=None`` is for a whole table and a fresh ``base``: the delay is
+    measured on the table (``measured_lag``), the windows that it holds open
+    are closed up to the newest tick, as without a delay, and a dropped tick is
+    an error."""
     base = base or run_folder(spark, "candles")
     out = os.path.join(base, "candles")
     then = (lambda s, i: advance_batch(s, base, i)) if signals else None
-    q = land(stream_candles(event_tick_stream(spark, events_path, max_files), interval, delay),
-             out, os.path.join(base, "_ckpt_candles"), then=then)
-    q.awaitTermination()
-    dropped = dropped_ticks(q)
-    if dropped:
-        warnings.warn(f"{dropped} ticks came later than the delay of {delay} and were dropped", stacklevel=2)
+    ticks, whole = event_tick_stream(spark, events_path, max_files), delay is None
+    if whole:
+        if landed_ids(spark, out):
+            raise ValueError(f"a measured delay needs a fresh folder, {out} has batches")
+        newest, lag = measured_lag(spark, events_path)
+        delay, closing = f"{lag} milliseconds", os.path.join(base, "closing")
+        make_folder(spark, closing)
+        ticks = ticks.unionByName(event_tick_stream(spark, closing))
+
+    def run():
+        q = land(stream_candles(ticks, interval, delay), out, os.path.join(base, "_ckpt_candles"), then=then)
+        q.awaitTermination()
+        return q, dropped_ticks(q)
+
+    q, dropped = run()
+    if whole and lag and newest is not None:
+        # after this tick the watermark is the table's newest tick; its own window stays open
+        write_closing_tick(spark, closing, newest + lag)
+        q, more = run()
+        dropped += more
     (spark.range(1).select(F.lit(str(q.runId)).alias("run"), F.lit(delay).alias("delay"),
                            F.lit(dropped).cast("long").alias("dropped"))
      .write.mode("append").parquet(os.path.join(base, "dropped")))
+    if dropped:
+        said = f"{dropped} ticks came later than the delay of {delay} and were dropped"
+        if whole:
+            raise RuntimeError(said)
+        warnings.warn(said, stacklevel=2)
     return out
 
 
@@ -95,7 +125,7 @@ def read_signals(spark: SparkSession, signals_dir: str, late: bool = False) -> D
 
 
 def run_streams(spark: SparkSession, events_path: str, interval: str = "4 hours",
-                delay: str = "0 seconds", max_files: int = MAX_FILES) -> DataFrame:
+                delay: str | None = "0 seconds", max_files: int = MAX_FILES) -> DataFrame:
     base = run_folder(spark, "streams")
     run_candle_stream(spark, events_path, interval, delay, base, max_files, signals=True)
     return read_signals(spark, os.path.join(base, "signals"))

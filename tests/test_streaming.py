@@ -2,18 +2,23 @@
 
 import os
 
+import duckdb
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from candlewick.operators.divergence import divergence_flags
 from candlewick.operators.lifecycle import lifecycle
 from candlewick.operators.resample import candles_from_ticks
 from candlewick.operators.rsi import frame_rows, rsi_frame
 from candlewick.sources.ticks import event_ticks
-from candlewick.streaming.candles import landed_glob
+from candlewick.streaming import jobs
+from candlewick.streaming.candles import landed_glob, measured_lag
 from candlewick.streaming.jobs import (
     advance_batch, current_state, read_signals, run_candle_stream, run_folder, run_signal_stream, run_streams)
 from tests.conftest import SF001
+from tools.oracle_check import digest
 
 
 def _split_events(spark, parts=4):
@@ -126,3 +131,53 @@ def test_candle_stream_holds_open_windows(spark):
     n = spark.read.parquet(landed_glob(out)).count()
     total = candles_from_ticks(event_ticks(spark, SF001), "1 day").count()
     assert n == total - 5  # the newest window of each of the 5 symbols is still open
+
+
+def _unordered_events(spark, parts=150):
+    """An sf folder whose events are three batches of files, each with ticks of any time."""
+    sf = run_folder(spark, "unordered")
+    src = os.path.join(sf, "events.parquet")
+    os.makedirs(src)
+    t = pq.read_table(os.path.join(SF001, "events.parquet"))
+    for i in range(parts):
+        part = os.path.join(src, f"part-{i:03d}.parquet")
+        pq.write_table(t.take(list(range(parts - 1 - i, t.num_rows, parts))), part)
+        os.utime(part, (1_000_000 + i // 3, 1_000_000 + i // 3))
+    return sf
+
+
+def test_queries_over_many_unordered_files_match_the_sql(spark):
+    sf = _unordered_events(spark)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{sf}/events.parquet/*.parquet'")
+    for name in ("stream_candles", "stream_rsi", "stream_lifecycle"):
+        got = E.queries()[name](spark, sf).toPandas()
+        exp = con.sql(E.oracle_sql()[name]).df()
+        assert len(got) == len(exp) > 0, name
+        assert digest(got) == digest(exp), name
+
+
+def test_measured_lag(spark):
+    """Files in time order need no delay, those against it the span from the
+    oldest to the newest; files of one modification time have no order."""
+    _, src = _split_events(spark)
+    files = [os.path.join(src, f"part-{i:03d}.parquet") for i in range(4)]
+    newest, lag = measured_lag(spark, src)
+    assert lag == 0 and newest == event_ticks(spark, SF001).agg(F.unix_millis(F.max("ts").cast("timestamp"))).first()[0]
+    for i, f in enumerate(files):
+        os.utime(f, (1_000_000 - i, 1_000_000 - i))
+    span = pq.read_table(files[0])["ts"].to_pandas().min(), pq.read_table(files[-1])["ts"].to_pandas().max()
+    _, backward = measured_lag(spark, src)
+    assert 0 < backward - (span[1] - span[0]).total_seconds() * 1000 <= 2
+    for f in files:
+        os.utime(f, (1_000_000, 1_000_000))
+    assert measured_lag(spark, src)[1] == backward
+
+
+def test_whole_table_fails_on_dropped_ticks(spark, monkeypatch):
+    _, src = _split_events(spark)
+    for i in range(4):
+        os.utime(os.path.join(src, f"part-{i:03d}.parquet"), (1_000_000 - i, 1_000_000 - i))
+    monkeypatch.setattr(jobs, "measured_lag", lambda *_: (0, 0))
+    with pytest.raises(RuntimeError, match="dropped"):
+        run_candle_stream(spark, src, "4 hours", delay=None, max_files=1)
