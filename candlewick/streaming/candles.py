@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -100,7 +101,7 @@ def stream_candles(ticks: DataFrame, interval: str, delay: str, dedupe: bool = T
     """STR1: closed candles only; same columns and rules as the batch resampler.
 
     ``delay`` is how far ticks may lag behind the newest one; later ones are
-    dropped by the watermark and counted (``dropped_ticks``).
+    dropped by the watermark and counted (``Landing``).
 
     With ``dedupe`` a tick re-delivered by an at-least-once source (same
     symbol and seq) is counted once (``dropDuplicatesWithinWatermark``).
@@ -129,26 +130,51 @@ def batch_folder(out_dir: str, batch_id: int) -> str:
     return os.path.join(out_dir, f"batch={batch_id:012d}")
 
 
+class Landing:
+    """A started landing query and the ticks that its watermark dropped, batch by batch."""
+
+    def __init__(self) -> None:
+        self.query, self.started, self.batches, self.by_batch = None, threading.Event(), 0, {}
+
+    def note(self) -> None:
+        """Take over the figures of the progress entries there are.  The query keeps
+        only the newest ones, so every batch notes those of the batches before it."""
+        for p in self.query.recentProgress:
+            p = json.loads(p.json if isinstance(p.json, str) else json.dumps(p))
+            n = sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
+            self.by_batch[p["batchId"]] = max(n, self.by_batch.get(p["batchId"], 0))
+
+    def await_dropped(self) -> int:
+        """Rows that the watermark dropped as too late, over all batches of the query."""
+        self.query.awaitTermination()
+        self.note()
+        if self.batches and not self.by_batch:
+            raise RuntimeError("dropped ticks can't be counted: spark.sql.streaming.numRecentProgressUpdates is below 2")
+        return sum(self.by_batch.values())
+
+
 def land(df: DataFrame, out_dir: str, checkpoint: str, key: str = "symbol",
-         order: str = "datetime", trigger: dict | None = None, then=None):
+         order: str = "datetime", trigger: dict | None = None, then=None, landing: Landing | None = None):
     """STR4: idempotent per-batch landing; returns the started query.
-    ``then(spark, batch_id)`` follows each landed batch."""
+    ``then(spark, batch_id)`` follows each landed batch; ``landing`` counts
+    the dropped ticks."""
 
     def landed(batch: DataFrame, batch_id: int):
+        if landing:
+            landing.started.wait()
+            landing.batches += 1
+            landing.note()
         write_batch(batch, batch_folder(out_dir, batch_id), key, order)
         if then:
             then(batch.sparkSession, batch_id)
 
     w = df.writeStream.foreachBatch(landed).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
-
-
-def dropped_ticks(query) -> int:
-    """Rows that the watermark dropped as too late, over the query's recent progress."""
-    return sum(int(op.get("numRowsDroppedByWatermark", 0))
-               for p in query.recentProgress for op in json.loads(p.json if isinstance(p.json, str) else json.dumps(p))
-               .get("stateOperators", []))
+    q = w.start()
+    if landing:
+        landing.query = q
+        landing.started.set()
+    return q
 
 
 def landed_glob(out_dir: str) -> str:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from candlewick.session import checkpoint_dir, materialize
 from candlewick.streaming.candles import (
-    CANDLE_STREAM_SCHEMA, batch_folder, dropped_ticks, event_tick_stream, land, landed_glob, measured_lag, stream_candles,
+    CANDLE_STREAM_SCHEMA, Landing, batch_folder, event_tick_stream, land, landed_glob, measured_lag, stream_candles,
     write_batch, write_closing_tick)
 from candlewick.streaming.signals import OUT_SCHEMA, STATE_TABLE, advance
 
@@ -88,9 +88,10 @@ def run_candle_stream(spark: SparkSession, events_path: str, interval: str, dela
         ticks = ticks.unionByName(event_tick_stream(spark, closing))
 
     def run():
-        q = land(stream_candles(ticks, interval, delay), out, os.path.join(base, "_ckpt_candles"), then=then)
-        q.awaitTermination()
-        return q, dropped_ticks(q)
+        landing = Landing()
+        q = land(stream_candles(ticks, interval, delay), out, os.path.join(base, "_ckpt_candles"), then=then,
+                 landing=landing)
+        return q, landing.await_dropped()
 
     q, dropped = run()
     if whole and lag and newest is not None:

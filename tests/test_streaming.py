@@ -181,3 +181,20 @@ def test_whole_table_fails_on_dropped_ticks(spark, monkeypatch):
     monkeypatch.setattr(jobs, "measured_lag", lambda *_: (0, 0))
     with pytest.raises(RuntimeError, match="dropped"):
         run_candle_stream(spark, src, "4 hours", delay=None, max_files=1)
+
+
+def test_drops_of_all_batches_are_counted(spark):
+    """Also those whose progress entry the query no longer keeps."""
+    base, src = _split_events(spark, 6)
+    for i in range(6):
+        os.utime(os.path.join(src, f"part-{i:03d}.parquet"), (1_000_000 - i, 1_000_000 - i))
+    seen = []
+    for kept in ("100", "2"):  # with 2, Spark keeps one entry
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+        try:
+            with pytest.warns(UserWarning, match="dropped"):
+                run_candle_stream(spark, src, "4 hours", base=os.path.join(base, kept), max_files=1)
+        finally:
+            spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        seen.append(spark.read.parquet(os.path.join(base, kept, "dropped")).first().dropped)
+    assert seen[0] == seen[1] > 0
