@@ -15,8 +15,9 @@ The streaming form of PIPE1 is ``streaming.jobs.run_streams``.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick import schema as S
@@ -98,18 +99,38 @@ def newest_flags(rsi_rows: DataFrame, lookback: int = S.DIVERGENCE_ROWS) -> Data
 
 
 def daily_tick(spark: SparkSession, out_dir: str, new_candles: DataFrame, interval: str = "1 day") -> DataFrame:
-    """PIPE1: one new closed candle per symbol, against the tables of
-    ``backfill`` and ``replay_state``.  Appends the candle and its RSI row, upserts the state, and
-    returns the symbols' tick rows.  A tick that is already in ``klines_rsi``
-    is not appended again."""
+    """PIPE1: new closed candles, as a rule one per symbol, against the tables of
+    ``backfill`` and ``replay_state``.  Appends the candles and their RSI rows,
+    upserts the state, and returns the tick rows.
+
+    New is every stored or arriving candle after the symbol's newest row in
+    ``klines_rsi``, so a repeat takes up what a failed run left, and finds
+    nothing after a whole one.  A symbol's candles are taken one after the
+    other, a round each.  A candle that is not stored and not after that
+    row is an error."""
     paths = _paths(out_dir)
+    done = materialize(read_table(spark, paths["klines_rsi"]).groupBy("symbol").agg(F.max("datetime").alias("_done")))
     have = read_table(spark, paths["klines"]).select("symbol", "datetime")
-    new = materialize(new_candles.join(have, ["symbol", "datetime"], "left_anti"))
-    symbols = new.select("symbol")
+    new = materialize(new_candles.dropDuplicates(["symbol", "datetime"]).join(have, ["symbol", "datetime"], "left_anti"))
+    late = new.join(done, "symbol").where("datetime <= _done").select("symbol", "datetime").first()
+    if late:
+        raise ValueError(f"{late.symbol} {late.datetime}: the candle is older than the symbol's newest RSI row")
     append_table(new.select(*read_table(spark, paths["klines"]).columns), paths["klines"], by=_slice(interval))
-    touched = read_table(spark, paths["klines"]).join(symbols, "symbol", "left_semi")
-    append_table(materialize(tail_rsi(touched)), paths["klines_rsi"], by=_slice(interval))
-    flags = newest_flags(read_table(spark, paths["klines_rsi"]).join(symbols, "symbol", "left_semi"))
+    pending = materialize(
+        read_table(spark, paths["klines"]).join(done, "symbol", "left").where("_done IS NULL OR datetime > _done")
+        .select("symbol", F.col("datetime").alias("_at")).distinct()
+        .withColumn("_round", F.row_number().over(Window.partitionBy("symbol").orderBy("_at"))))
+    rounds = pending.agg(F.max("_round")).first()[0] or 1
+    ticks = [_tick_round(spark, paths, pending.where(F.col("_round") == i + 1).drop("_round"), interval)
+             for i in range(rounds)]
+    return reduce(DataFrame.unionByName, ticks)
+
+
+def _tick_round(spark: SparkSession, paths: dict[str, str], at: DataFrame, interval: str) -> DataFrame:
+    """One candle of each symbol in ``at`` (symbol, _at), with the rows up to it."""
+    upto = lambda t: read_table(spark, paths[t]).join(at, "symbol").where("datetime <= _at").drop("_at")
+    append_table(materialize(tail_rsi(upto("klines"))), paths["klines_rsi"], by=_slice(interval))
+    flags = newest_flags(upto("klines_rsi"))
     state = read_state(spark, paths["state"]).select(
         "symbol", F.col("kind").alias("k0"), F.col("signal_datetime").alias("t0"), F.col("signal_close").alias("c0"),
         (F.col("state") != 0).alias("live"))
@@ -148,7 +169,7 @@ def _main(argv=None) -> None:
     """Command line for spark-submit (or ``python -m candlewick.plans.jobs``).
 
     backfill: ticks parquet -> <out>/klines, klines_rsi, state   (PIPE2)
-    tick:     candles parquet (one new closed candle per symbol) -> <out>, as PIPE1
+    tick:     candles parquet (new closed candles) -> <out>, as PIPE1
     daily:    klines parquet -> <out>/daily (newest tick per symbol, by replay)
     stream:   events parquet folder -> landed candles and signal tables (STR1-STR4)
     """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from candlewick import schema as S
 from candlewick.operators.resample import candles_from_ticks
 from candlewick.plans.jobs import backfill, backfill_candles, daily, daily_tick, replay_state
+from candlewick.session import materialize
 from candlewick.sinks.messages import kafka_frame, to_json_messages
 from candlewick.sinks.tables import append_table, overwrite_table, read_state, read_table, read_upserted, upsert_state
 from candlewick.sources.klines import decode_kline_payload, kline_rejects
@@ -141,3 +142,29 @@ def test_job_command_line(spark):
     assert stored == {r.symbol: r.state for r in state.collect()}
     with pytest.raises(SystemExit):  # a stream needs to be told its delay
         _main(["stream", "--input", "x", "--out", out])
+
+
+def test_missed_days_and_a_failed_run_are_taken_up(spark):
+    """Several new candles of a symbol, some already stored without RSI row,
+    give the rows and the state of single ticks."""
+    c = materialize(candles_from_ticks(event_ticks(spark, SF001), "4 hours"))
+    times = [r[0] for r in c.select("datetime").distinct().orderBy("datetime").collect()][-3:]
+    tables, ticks = [], []
+    for single in (True, False):
+        out = run_folder(spark, "missed")
+        backfill_candles(spark, c.where(F.col("datetime") < F.lit(times[0])), out, "4 hours")
+        replay_state(spark, out, "4 hours")
+        if single:
+            got = [r for t in times for r in daily_tick(spark, out, c.where(F.col("datetime") == F.lit(t)), "4 hours").collect()]
+        else:
+            klines = os.path.join(out, "klines")
+            first = c.where(F.col("datetime") == F.lit(times[0])).select(*read_table(spark, klines).columns)
+            append_table(first, klines, by="month")  # where a run failed
+            got = daily_tick(spark, out, c.where(F.col("datetime") >= F.lit(times[0])), "4 hours").collect()
+        ticks.append(sorted(map(str, got)))
+        tables.append([sorted(map(str, read_table(spark, os.path.join(out, t)).collect())) for t in ("klines", "klines_rsi")]
+                      + [sorted(map(str, read_state(spark, os.path.join(out, "state")).collect()))])
+    assert ticks[0] == ticks[1] and len(ticks[0]) == c.where(F.col("datetime") >= F.lit(times[0])).count() > 5
+    assert tables[0] == tables[1]
+    with pytest.raises(ValueError, match="older"):
+        daily_tick(spark, out, c.limit(1).withColumn("datetime", F.col("datetime") - F.expr("INTERVAL 1 HOUR")), "4 hours")
