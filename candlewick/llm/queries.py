@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import quality, toxicity
 from candlewick.llm.common import fold, table
 from candlewick.llm.decontaminate import decontaminate
+from candlewick.llm.fill_middle import fill_in_middle, restore
+from candlewick.llm.hard_negatives import mine
+from candlewick.llm.license_scan import scan_licenses
 from candlewick.llm.lm_score import score_documents
 from candlewick.llm.sentencepiece_codec import encode_checked, n_tokens
 from candlewick.llm.sharding import shard_documents
@@ -19,6 +22,7 @@ from candlewick.llm.warc import page_id_of, read_warc, write_warc
 SHARDS = 40
 QUERY_EVERY, TOP = 50, 5
 TOKEN_LIMIT = 512
+ANCHOR_EVERY = 100
 TOXIC = 0.7
 
 
@@ -102,6 +106,31 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def _sha256(text: str) -> Column:
+    return F.sha2(F.col(text).cast("binary"), 256)
+
+
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fim.*")
+    return restore(cut, F.col("output"), F.col("form")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", _sha256("output").alias("output_sha256"),
+        _sha256("restored").alias("restored_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return mine(vectors, F.col("vec_id") % ANCHOR_EVERY == 0)
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = F.col("license")
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", *[x[c].alias(c) for c in ("n_words", "n_base", "first_word", "last_word")],
+        F.array_join(x["base_labels"], ",").alias("base_labels"), F.array_join(x["labels"], ",").alias("labels"),
+        x["score"].alias("score"), F.size(x["spans"]).alias("n_spans"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_lm_score": op2_lm_score,
@@ -113,6 +142,9 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_license_scan": op13_license_scan,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -155,4 +187,39 @@ l AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) A
 SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to FROM l""",
+    "op11_fill_middle": """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents),
+r AS (SELECT doc_id, t, n, CAST('0x' || s[1:8] AS BIGINT) % (n + 1) AS x, CAST('0x' || s[9:16] AS BIGINT) % (n + 1) AS y,
+    CAST('0x' || s[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || s[25:32] AS BIGINT) % 100 AS h4 FROM h),
+c AS (SELECT doc_id, t, n, least(x, y) AS a, greatest(x, y) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+         WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM r),
+p AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1) AS s FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS output FROM p)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars, sha256(output) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN output
+    WHEN 'psm' THEN substring(output, 4, strpos(output, '<S>') - 4) || substring(output, strpos(output, '<M>') + 3)
+      || substring(output, strpos(output, '<S>') + 3, strpos(output, '<M>') - strpos(output, '<S>') - 3)
+    ELSE substring(output, strpos(output, '<P>') + 3, strpos(output, '<M>') - strpos(output, '<P>') - 3)
+      || substring(output, strpos(output, '<M>') + 3) || substring(output, 4, strpos(output, '<P>') - 4)
+    END) AS restored_sha256
+FROM o""",
+    "op12_hard_negatives": f"""
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % {ANCHOR_EVERY} = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score QUALIFY rank <= 10""",
 }
