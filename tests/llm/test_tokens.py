@@ -1,10 +1,12 @@
+import numpy as np
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as pb
 from tokenizers import Tokenizer
 
 from candlewick.llm.queries import op7_token_counts, op8_sentencepiece, tokenizer_path
-from candlewick.llm.sentencepiece_codec import decode, encode, encode_checked, parse_model, rebuild, restored
+from candlewick.llm.sentencepiece_codec import (Segments, decode, encode, encode_checked, parse_model, rebuild, restored,
+                                                splits)
 from candlewick.llm.token_count import count_tokens
 from tests.conftest import SF001
 from tests.llm.helpers import TEXTS, edge_docs, empty_docs
@@ -87,3 +89,52 @@ def test_unigram_rebuild(byte_fallback, squeeze, prefix):
         assert ids == sp.encode(t), t
         if 0 not in ids:
             assert restored(parse_model(raw), tok.decode(ids, skip_special_tokens=False)) == sp.decode(ids), t
+
+
+@pytest.mark.parametrize("byte_fallback", [True, False])
+@pytest.mark.parametrize("squeeze", [True, False])
+@pytest.mark.parametrize("prefix", [True, False])
+def test_segments_give_whole_texts(byte_fallback, squeeze, prefix):
+    raw = small_model(byte_fallback, squeeze, prefix)
+    spec = parse_model(raw)
+    sp, tok = sentencepiece.SentencePieceProcessor(model_proto=raw), rebuild(spec)
+    assert splits(spec)
+    texts = ["abc", "a bc  abc ab", None, "", "  ab  c ", "aé b😀c ", "abcabcab" * 30, "x", "c\na", " ", "   ", "a▁b ▁ c"]
+    expected = [sp.encode(t or "") for t in texts]
+    for most, most_bytes in ((1 << 18, 1 << 20), (3, 1 << 20), (0, 64), (100, 2)):
+        segments = Segments(spec, tok, most, most_bytes)
+        for _ in range(2):
+            ids, sizes, back = segments.encode(texts)
+            assert as_lists(ids, sizes) == expected
+            assert back.tolist() == [0 not in i for i in expected]
+            assert len(segments.known) <= most and segments.bytes <= most_bytes
+
+
+def as_lists(ids, sizes):
+    return [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+
+
+def test_pieces_across_markers_are_no_segments():
+    m = pb.ModelProto()
+    m.ParseFromString(small_model(True, False, True))
+    m.pieces.add(piece="b▁a", score=-1, type=1)
+    raw = m.SerializeToString()
+    spec = parse_model(raw)
+    assert not splits(spec)
+    sp, tok = sentencepiece.SentencePieceProcessor(model_proto=raw), rebuild(spec)
+    for t in ("ab ab a", "b a b a"):
+        assert tok.encode(t, add_special_tokens=False).ids == sp.encode(t)
+
+
+def test_segments_on_whole_documents(spark):
+    """The distinct segments give the original library's ids, text for text."""
+    with open(tokenizer_path("piece_bpe_32k.model"), "rb") as f:
+        raw = f.read()
+    spec = parse_model(raw)
+    assert splits(spec)
+    sp, tok = sentencepiece.SentencePieceProcessor(model_proto=raw), rebuild(spec)
+    texts = [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()] + ODD
+    segments = Segments(spec, tok)
+    ids, sizes, back = segments.encode(texts)
+    assert as_lists(ids, sizes) == [sp.encode(t) for t in texts] and all(back)
+    assert as_lists(ids, sizes) == [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
