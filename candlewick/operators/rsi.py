@@ -15,9 +15,9 @@ from candlewick.functions.indicators import (
     gain, interval_micros, loss, relative_strength, rsi_from_averages_warm, rsi_from_rs)
 from candlewick.operators.ewma import (
     alpha_of, block_plan, blocked_ewma, exact_fold, exact_rows, local_sums)
-from candlewick.session import materialize_by
+from candlewick.session import materialize, materialize_by
 from candlewick.operators.sequence import (
-    BLK, DEFAULT_BLOCK_ROWS, OWN, T, block_position, blocks_with_halo, in_block, with_row_index)
+    BLK, DEFAULT_BLOCK_ROWS, OWN, T, block_position, blocks_with_halo, in_block, prefix_sum, with_row_index)
 
 
 def with_gains(df: DataFrame, key: str) -> DataFrame:
@@ -44,20 +44,27 @@ def rsi_frame(candles: DataFrame, interval: str = "1 hour", com: float = S.COM,
     values are compared with each other (divergence on flat prices).  Blocks
     have ``frame_rows(com, block_rows, exact)`` rows.
     """
+    _, r = _averages(candles, ["up", "down"], interval, com, block_rows, key, order, exact)
+    return (r.withColumn("rs", relative_strength("up_ewma", "down_ewma"))
+             .withColumn("rsi", rsi_from_rs("rs")))
+
+
+def _averages(candles: DataFrame, cols: list[str], interval: str, com: float, block_rows: int, key: str, order: str,
+              exact: bool) -> tuple[DataFrame, DataFrame]:
+    """The gain columns of every row, in blocks (a written table), and these
+    rows with ``<c>_ewma`` of ``cols``."""
     rows_r = frame_rows(com, block_rows, exact)
     seq = with_row_index(candles, interval_micros(interval) * rows_r, key, order)
     blocks = blocks_with_halo(seq, rows_r, 1).repartition(key, BLK)  # AQE may coalesce
-    u = with_gains(blocks, key)
-    u = u.select("*", *local_sums(["up", "down"], com, rows_r, key)).where(F.col(OWN)).drop(OWN)
+    u = with_gains(blocks, key).withColumn("known", F.col("delta").isNotNull().cast("double"))
+    u = u.select("*", *local_sums(cols, com, rows_r, key)).where(F.col(OWN)).drop(OWN)
     # read three times (block sums, carry join, exact-fold halo): write the
     # windowed rows once as a table bucketed by (symbol, block) in the shared
     # checkpoint folder; readers keep that partitioning, nothing reshuffles
-    u = materialize_by(u, [key, BLK], [key, BLK, T])
-    r = blocked_ewma(u, ["up", "down"], ["up_ewma", "down_ewma"], com, rows_r, key)
-    if exact:
-        r = exact_fold(r, ["up", "down"], ["up_ewma", "down_ewma"], com, rows_r, key)
-    return (r.withColumn("rs", relative_strength("up_ewma", "down_ewma"))
-             .withColumn("rsi", rsi_from_rs("rs")))
+    u = materialize_by(u if "known" in cols else u.drop("known"), [key, BLK], [key, BLK, T])
+    averages = [f"{c}_ewma" for c in cols]
+    r = blocked_ewma(u, cols, averages, com, rows_r, key)
+    return u, exact_fold(r, cols, averages, com, rows_r, key) if exact else r
 
 
 def rsi(candles: DataFrame, interval: str = "1 hour", com: float = S.COM,
@@ -103,15 +110,23 @@ def rsi_warmup(candles: DataFrame, interval: str = "1 hour", period: int = S.WAR
                block_rows: int = DEFAULT_BLOCK_ROWS, exact: bool = False) -> DataFrame:
     """CMP3: normalised averages with ``min_periods = period`` (com = period - 1).
 
-    AU_t = up_ewma_t / (1 - b^t); NULL while fewer than ``period`` deltas
-    exist (row index < period).  Columns: datetime, symbol, close, AU, AD, RSI.
+    The weighted mean of the differences so far, weights decaying by position:
+    AU_t = sum(b^(t-i) up_i) / sum(b^(t-i)) over the rows i that have a
+    difference, NULL while fewer than ``period`` of them have one.  A row
+    without a close takes part in neither sum and repeats the averages before
+    it, the rows after it weigh what was before the less.  (Only after some
+    9,000 rows without one do the weights underflow, and the averages are NULL
+    until the next.)  Columns: datetime, symbol, close, AU, AD, RSI.
     """
-    com = period - 1
-    beta = 1.0 - alpha_of(com)
-    r = rsi_frame(candles, interval, com, block_rows, exact=exact)
-    norm = F.lit(1.0) - F.pow(F.lit(beta), F.col(T).cast("double"))
-    warm = F.col(T) >= period
-    au = F.when(warm, F.col("up_ewma") / norm)
-    ad = F.when(warm, F.col("down_ewma") / norm)
+    com, key = period - 1, "symbol"
+    u, r = _averages(candles, ["up", "down", "known"], interval, com, block_rows, key, "datetime", exact)
+    # differences before a block, and in it
+    blocks = materialize(u.groupBy(key, BLK).agg(F.sum("known").cast("bigint").alias("_n")))
+    before = prefix_sum(blocks, key, BLK, "_n", "_before").select(key, BLK, "_before")
+    seen = F.sum("known").over(in_block(key).rowsBetween(Window.unboundedPreceding, 0)) + F.col("_before")
+    r = r.join(before, [key, BLK]).withColumn("_seen", seen)
+    warm = F.col("_seen") >= period
+    au = F.when(warm, F.try_divide("up_ewma", "known_ewma"))
+    ad = F.when(warm, F.try_divide("down_ewma", "known_ewma"))
     return (r.select("datetime", "symbol", "close", au.alias("AU"), ad.alias("AD"))
              .withColumn("RSI", rsi_from_averages_warm("AU", "AD")))

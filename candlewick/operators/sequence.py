@@ -42,15 +42,16 @@ def with_row_index(df: DataFrame, span_micros: int, key: str = "symbol",
     """Add ``_t`` = 0-based position of the row within its ``key``.
 
     ``span_micros`` sizes the coarse spans: pick interval x block rows so a
-    span holds a bounded number of candles.  A row without ``order`` has no
-    position: it fails the job (see ``sources.ticks.tick_rejects`` and
+    span holds a bounded number of candles.  A row without ``order`` or ``key``
+    has no position: it fails the job (see ``sources.ticks.tick_rejects`` and
     ``sources.klines.kline_rejects`` for setting such rows aside).
 
     The input is computed once: its rows are written as a table bucketed by
     (key, span), which the counts, the join and the numbering read in place.
     """
-    at = F.coalesce(F.floor(micros(order) / F.lit(int(span_micros))),
-                    F.raise_error(F.lit(f"a row has no {order}")).cast("bigint"))
+    lacks = lambda c: F.raise_error(F.lit(f"a row has no {c}")).cast("bigint")
+    at = F.coalesce(F.floor(micros(order) / F.lit(int(span_micros))), lacks(order))
+    at = F.when(F.col(key).isNull(), lacks(key)).otherwise(at)
     d = materialize_by(df.withColumn("_tb", at).repartition(key, "_tb"), [key, "_tb"], [key, "_tb", order])
     counts = materialize(d.groupBy(key, "_tb").agg(F.count(F.lit(1)).alias("_n")))
     offsets = prefix_sum(counts, key, "_tb", "_n", "_off")

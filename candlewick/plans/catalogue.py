@@ -27,7 +27,8 @@ from candlewick.operators.resample import candles_from_ticks, resample_candles
 from candlewick.operators.rsi import frame_rows, rsi_frame, rsi_tail, rsi_warmup, with_gains
 from candlewick.operators.sequence import OWN, blocks_with_halo, with_row_index
 from candlewick.plans import sqlparts as Q
-from candlewick.plans.jobs import backfill, backfill_candles, daily_tick, replay_state
+from candlewick.plans.jobs import (backfill, backfill_candles, correct_candles, daily_tick, replay_state,
+                                   stage_tick)
 from candlewick.session import materialize, materialize_by
 from candlewick.sources.klines import decode_kline_payload, pack_kline_payload, read_kline_payloads, read_klines
 from candlewick.sources.literal import state_frame
@@ -209,6 +210,36 @@ def _daily_tick(spark, sf):
     return daily_tick(spark, out, new)
 
 
+def _tick_recovery(spark, sf):
+    """PIPE1 with a job that dies: the newest candles' tables are written, but
+    the job ends before its commit.  A second job runs the same tick; the
+    stored ticks of the newest candles are read back."""
+    c = materialize(_daily_orders(spark, sf))
+    new = topn.newest(c)
+    out = run_folder(spark, "recovery")
+    backfill_candles(spark, c.join(new, ["symbol", "datetime"], "left_anti"), out, "1 day")
+    replay_state(spark, out, "1 day")
+    stage_tick(spark, out, new)
+    daily_tick(spark, out, new)
+    return topn.newest(read_table(spark, os.path.join(out, "ticks")))
+
+
+def _corrected(spark, sf):
+    """A backfill of candles of which about one in a hundred is wrong and one in
+    two hundred is missing, then the true candles arrive as corrections."""
+    c = materialize(_daily_orders(spark, sf))
+    newest = topn.newest(c).select("symbol", F.col("datetime").alias("_newest"))
+    draw = F.pmod(F.xxhash64("symbol", "datetime"), F.lit(200))
+    was = c.join(newest, "symbol").withColumn("_draw", F.when(F.col("datetime") < F.col("_newest"), draw).otherwise(9))
+    for x in ("open", "high", "low", "close"):
+        was = was.withColumn(x, F.when(F.col("_draw") < 2, F.col(x) * 1.25).otherwise(F.col(x)))
+    out = run_folder(spark, "corrected")
+    backfill_candles(spark, was.where("_draw <> 2").select(*c.columns), out, "1 day")
+    replay_state(spark, out, "1 day", BLOCK)
+    correct_candles(spark, out, c, "1 day", BLOCK)
+    return out
+
+
 def _daily(spark, sf):
     life = _life(spark, sf, "1 day", 2048, _daily_orders(spark, sf))
     return topn.newest(life)
@@ -354,6 +385,16 @@ QUERIES: dict[str, Query] = {
         _daily_tick, ["datetime", "symbol", "close", "rsi", "bull", "bear", "kind", "signal_datetime", "signal_close",
                       "pct", "converted", "age_days", "live_after"], {"close", "rsi", "signal_close", "pct"},
         Q.daily_tick(O1D), "PIPE1 CMP2 CMP4 CMP5 CMP7 FLT4 SNK2 SNK3"),
+    "daily_tick_recovery": Query(
+        _tick_recovery, ["datetime", "symbol", "close", "rsi", "bull", "bear", "kind", "signal_datetime", "signal_close",
+                         "pct", "converted", "age_days", "live_after"], {"close", "rsi", "signal_close", "pct"},
+        Q.daily_tick(O1D), "PIPE1 SNK1 SNK2 SNK3 (a tick whose job died is taken up whole)"),
+    "corrected_rsi": Query(
+        lambda s, d: read_table(s, os.path.join(_corrected(s, d), "klines_rsi")), S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(O1D),
+        "SNK2 CMP1 (changed and late candles: RSI rows as after a backfill)"),
+    "corrected_ticks": Query(
+        lambda s, d: read_table(s, os.path.join(_corrected(s, d), "ticks")), LIFE_COLS, LIFE_DBL,
+        Q.lifecycle_final(Q.flags(Q.rsi_full(O1D))), "SNK2 LIFE1 (changed and late candles: signals replayed)"),
     "daily_state": Query(
         _daily, LIFE_COLS, LIFE_DBL,
         f"SELECT * FROM ({Q.lifecycle_final(Q.flags(Q.rsi_full(O1D)))}) "
@@ -376,6 +417,28 @@ def _csv_warmup(spark, sf):
     return rsi_warmup(c, "1 day", block_rows=BLOCK, exact=True)
 
 
+def _with_gaps(spark, sf):
+    """Daily candles of which one in twenty lacks its close."""
+    return _daily_orders(spark, sf).withColumn("close", F.when(F.dayofyear("datetime") % 20 != 3, F.col("close")))
+
+
+def _csv_permuted(spark, sf):
+    """SRC7 with files of two layouts, further columns, and malformed values
+    (close where trades % 7 = 0, time where trades % 11 = 0)."""
+    from candlewick.sources.klines import read_csv_candles
+    path = run_folder(spark, "csv")
+    n = F.col("NumTrades")
+    text = [F.when(n % 11 == 0, F.lit("soon")).otherwise(F.col("datetime").cast("string")).alias("datetime"),
+            F.when(n % 7 == 0, F.lit("n/a")).otherwise(F.col("close").cast("string")).alias("close"), "open", "low",
+            n.alias("NumTrades"), "high", "volume"]
+    c = _daily_orders(spark, sf)
+    for i, columns in enumerate((text, [*reversed(text), F.lit("x,y").alias("note")])):
+        part = c.where(F.pmod(F.ascii("symbol"), F.lit(2)) == i)
+        part.select("symbol", *columns).write.mode("append").partitionBy("symbol").option("header", True).csv(path)
+    return read_csv_candles(spark, path, strict=False, rejected="rejected").withColumn(
+        "datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
 def _events_path(sf):
     return os.path.join(sf, "events.parquet")
 
@@ -445,6 +508,17 @@ QUERIES.update({
     "csv_rsi_warmup": Query(_csv_warmup, ["datetime", "symbol", "close", "AU", "AD", "RSI"],
                             {"close", "AU", "AD", "RSI"}, WARM_SQL.replace("{src}", Q.rsi_full(O1D)),
                             "SRC7 CMP3"),
+    "csv_permuted": Query(
+        _csv_permuted, ["symbol", "datetime", "open", "high", "low", "close", "volume", "NumTrades", "rejected"],
+        {"open", "high", "low", "close", "volume"},
+        "SELECT symbol, CASE WHEN NumTrades % 11 <> 0 THEN datetime END AS datetime, open, high, low, "
+        "CASE WHEN NumTrades % 7 <> 0 THEN close END AS close, volume, NumTrades, "
+        f"NumTrades % 7 = 0 OR NumTrades % 11 = 0 AS rejected FROM ({O1D})", "SRC7 CST1 (by name, rejects marked)"),
+    "rsi_warmup_gaps": Query(
+        lambda s, d: rsi_warmup(_with_gaps(s, d), "1 day", block_rows=BLOCK),
+        ["datetime", "symbol", "close", "AU", "AD", "RSI"], {"close", "AU", "AD", "RSI"},
+        Q.warmup_gaps(f"SELECT * REPLACE (CASE WHEN dayofyear(datetime) % 20 <> 3 THEN close END AS close) FROM ({O1D})"),
+        "WIN5 CMP3 PD2 (candles without a close)"),
     "stream_candles": Query(_stream_candles, CANDLE_COLS, CANDLE_DBL, _closed(C1D, "1 day"), "STR1 STR4"),
     "stream_rsi": Query(_stream_signals, S.RSI_COLUMNS, RSI_DBL, Q.rsi_full(C4H_CLOSED), "STR2 STR4"),
     "stream_lifecycle": Query(_stream_signals, LIFE_COLS, LIFE_DBL,

@@ -56,6 +56,20 @@ def rsi_tail(src: str, tail: int = S.TAIL_ROWS) -> str:
             f"FROM ({gains(src)}))")
 
 
+def warmup_gaps(src: str) -> str:
+    """The normalised averages over rows of which some have no difference:
+    weighted sums of values and of weights, each a fold over a running list."""
+    w = "(PARTITION BY symbol ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    n = S.WARMUP_PERIODS
+    return ("SELECT datetime, symbol, close, AU, AD, CASE WHEN AU IS NULL OR AD IS NULL THEN NULL "
+            "WHEN AD = 0 THEN CASE WHEN AU > 0 THEN 100.0 END ELSE 100.0 - 100.0 / (1.0 + AU / AD) END AS RSI FROM ("
+            f"SELECT *, CASE WHEN seen >= {n} THEN u / k END AS AU, CASE WHEN seen >= {n} THEN d / k END AS AD FROM ("
+            f"SELECT *, count(delta) OVER {w} AS seen, list_reduce(list(up) OVER {w}, {FOLD}) AS u, "
+            f"list_reduce(list(down) OVER {w}, {FOLD}) AS d, "
+            f"list_reduce(list(CASE WHEN delta IS NULL THEN 0.0 ELSE 1.0 END) OVER {w}, {FOLD}) AS k "
+            f"FROM ({gains(src)})))")
+
+
 def flags(rsi_src: str, lookback: int = S.DIVERGENCE_ROWS) -> str:
     """bull/bear per row by a correlated EXISTS over the look-back rows."""
     back = lookback - 1

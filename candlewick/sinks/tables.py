@@ -15,6 +15,10 @@ tables are parquet folders partitioned by symbol and a slice of ``datetime``
 * ``upsert_state`` / ``read_state`` (SNK3): a small table with one row per key.
   Each upsert writes the next compacted version; readers take the newest
   complete one, and versions before the last two are removed.
+
+The tables of the daily pipeline change together and live in a store
+(``sinks.store``); ``read_table`` and ``read_state`` read the newest version of
+a store's table by its path, ``<store>/<table>``.
 """
 
 from __future__ import annotations
@@ -25,12 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators.topn import dedupe_latest
-
-SLICES = {"month": "yyyy-MM", "year": "yyyy"}  # names of the layout column, formats of its values
+from candlewick.sinks.store import _SYMBOL, SLICES, Store, slice_of
 
 
 def _laid_out(df: DataFrame, order: str, by: str) -> DataFrame:
-    return df.withColumn(by, F.date_format(F.col(order).cast("timestamp"), SLICES[by]))
+    return df.withColumn(by, slice_of(order, by))
 
 
 def overwrite_table(df: DataFrame, path: str, key: str = "symbol", order: str = "datetime",
@@ -49,7 +52,12 @@ def append_table(df: DataFrame, path: str, key: str = "symbol", order: str = "da
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The table without its layout column (a filter on that needs the plain reader)."""
-    return spark.read.parquet(path).drop(*SLICES)
+    folder, name = os.path.split(path.rstrip("/"))
+    store = Store(spark, folder)
+    if store.exists() and name in (snap := store.snapshot()).schemas:
+        return store.read(snap, name)
+    found = spark.read.parquet(path).drop(*SLICES)
+    return found.drop("symbol").withColumnRenamed(_SYMBOL, "symbol") if _SYMBOL in found.columns else found
 
 
 def read_upserted(spark: SparkSession, path: str, keys: list[str], version: str) -> DataFrame:
@@ -73,6 +81,10 @@ def _versions(spark: SparkSession, path: str) -> tuple:
 
 def read_state(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest complete version, None before the first upsert."""
+    folder, name = os.path.split(path.rstrip("/"))
+    store = Store(spark, folder)
+    if store.exists() and name in (snap := store.snapshot()).schemas:
+        return store.read(snap, name)
     *_, versions = _versions(spark, path)
     return spark.read.parquet(os.path.join(path, f"version={versions[-1]:012d}")) if versions else None
 

@@ -9,8 +9,11 @@ through the driver.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick import schema as S
 from candlewick.functions.indicators import interval_micros
@@ -102,12 +105,56 @@ def read_kline_payloads(spark: SparkSession, path: str) -> DataFrame:
                      F.get_json_object("value", "$.payload").alias("payload"))
 
 
-def read_csv_candles(spark: SparkSession, path: str, symbol: str | None = None) -> DataFrame:
-    """SRC7: header CSV with the notebook's candle columns, explicit schema."""
-    df = spark.read.schema(S.CSV_CANDLE_SCHEMA).option("header", True).csv(path)
-    if symbol is not None:
-        df = df.withColumn("symbol", F.lit(symbol))
-    return df
+def _csv_layouts(spark: SparkSession, path: str) -> dict[tuple, list[str]]:
+    """Header -> files that have it.  One pass over the lines, one row per file."""
+    columns = F.transform(F.split(F.regexp_replace("value", "^\ufeff", ""), ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    header = F.array_contains(columns, "datetime") & F.array_contains(columns, "close")
+    found = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.max(F.when(header, columns)).alias("names")).collect()
+    wanted = [f.name for f in S.CSV_CANDLE_SCHEMA.fields]
+    layouts: dict[tuple, list[str]] = {}
+    for r in found:
+        lacking = sorted(set(wanted) - set(r.names or ()))
+        if lacking or len(set(r.names)) < len(r.names):
+            raise ValueError(f"{r.file}: the header lacks {lacking}" if lacking else f"{r.file}: a column name comes twice")
+        layouts.setdefault(tuple(r.names), []).append(r.file)
+    return layouts
+
+
+def read_csv_candles(spark: SparkSession, path: str, symbol: str | None = None, strict: bool = True,
+                     rejected: str | None = None) -> DataFrame:
+    """SRC7: header CSV with the notebook's candle columns, typed.
+
+    Columns are found by their names in each file's own header, in any order;
+    other columns are left out.  An empty value is NULL.  A row is malformed if
+    it has no time, a value that is no number, or more or fewer values than the
+    header: it fails the job (``strict``); with ``strict`` off what is malformed
+    is NULL, and ``rejected`` names a boolean column that marks such rows.
+    """
+    layouts, parts = _csv_layouts(spark, path), []
+    for names, files in layouts.items():
+        raw = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))]
+                           + [T.StructField("_row", T.StringType())])
+        df = (spark.read.schema(raw).option("header", True).option("columnNameOfCorruptRecord", "_row")
+              .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path))
+        if len(layouts) > 1:  # prunes files
+            df = df.where(F.col("_metadata.file_path").isin(files))
+        at = {n: F.when(F.col(f"_{i}") != "", F.col(f"_{i}")) for i, n in enumerate(names)}
+        typed = {f.name: at[f.name].try_cast(f.dataType) for f in S.CSV_CANDLE_SCHEMA.fields}
+        bad = F.col("_row").isNotNull() | typed["datetime"].isNull()
+        for n, value in typed.items():
+            bad = bad | (at[n].isNotNull() & value.isNull())
+        folders = [c for c in df.columns if c not in raw.fieldNames()]  # partition columns
+        parts.append(df.select(*[v.alias(n) for n, v in typed.items()], *folders, bad.alias("_bad"),
+                               F.concat_ws(",", *[F.col(f"_{i}") for i in range(len(names))]).alias("_text")))
+    if not parts:
+        parts = [spark.createDataFrame([], S.CSV_CANDLE_SCHEMA).select("*", F.lit(False).alias("_bad"), F.lit("").alias("_text"))]
+    df = reduce(DataFrame.unionByName, parts)
+    if strict:
+        told = F.raise_error(F.concat(F.lit("a candle row does not parse: "), F.col("_text"))).cast("timestamp")
+        df = df.withColumn("datetime", F.when(F.col("_bad"), told).otherwise(F.col("datetime")))
+    df = df.withColumnRenamed("_bad", rejected).drop("_text") if rejected else df.drop("_bad", "_text")
+    return df.withColumn("symbol", F.lit(symbol)) if symbol is not None else df
 
 
 def read_klines(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

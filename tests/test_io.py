@@ -11,7 +11,7 @@ from candlewick.plans.jobs import backfill, backfill_candles, daily, daily_tick,
 from candlewick.session import materialize
 from candlewick.sinks.messages import kafka_frame, to_json_messages
 from candlewick.sinks.tables import append_table, overwrite_table, read_state, read_table, read_upserted, upsert_state
-from candlewick.sources.klines import decode_kline_payload, kline_rejects
+from candlewick.sources.klines import decode_kline_payload, kline_rejects, read_csv_candles
 from candlewick.sources.literal import state_frame
 from candlewick.sources.ticks import event_ticks, tick_rejects
 from candlewick.streaming.jobs import run_folder
@@ -168,3 +168,39 @@ def test_missed_days_and_a_failed_run_are_taken_up(spark):
     assert tables[0] == tables[1]
     with pytest.raises(ValueError, match="older"):
         daily_tick(spark, out, c.limit(1).withColumn("datetime", F.col("datetime") - F.expr("INTERVAL 1 HOUR")), "4 hours")
+
+
+def write_file(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+def test_csv_columns_are_found_by_name(spark):
+    out = run_folder(spark, "csv")
+    write_file(out, "a.csv", "datetime,open,high,low,close,volume,NumTrades\n2024-01-01,1,4,0.5,2,10,3\n2024-01-02,,4,1,3,10,\n")
+    write_file(out, "b c.csv", '\ufeff"note","close","open",NumTrades,low,high, volume ,datetime\n"x, ""y""",2,1,3,0.5,4,10,2024-01-03\n')
+    write_file(out, "c.csv", "datetime,open,high,low,close,volume,NumTrades\n")
+    got = sorted(map(tuple, read_csv_candles(spark, out, "X").select("datetime", "open", "high", "low", "close", "volume", "NumTrades", "symbol").collect()))
+    assert [(r[0].day, *r[1:]) for r in got] == [(1, 1.0, 4.0, 0.5, 2.0, 10.0, 3, "X"), (2, None, 4.0, 1.0, 3.0, 10.0, None, "X"),
+                                                 (3, 1.0, 4.0, 0.5, 2.0, 10.0, 3, "X")]
+    one = read_csv_candles(spark, os.path.join(out, "b c.csv"))
+    assert [(r.open, r.close) for r in one.collect()] == [(1.0, 2.0)]
+
+
+def test_csv_rows_that_do_not_parse(spark):
+    out = run_folder(spark, "csv")
+    head = "datetime,open,high,low,close,volume,NumTrades\n"
+    write_file(out, "a.csv", head + "2024-01-01,1,4,0.5,n/a,10,3\nsoon,1,4,0.5,2,10,3\n2024-01-03,1,4,0.5,2,10\n"
+               "2024-01-04,1,4,0.5,2,10,3,9\n2024-01-05,1,4,0.5,2,10,3\n,1,4,0.5,2,10,3\n2024-01-06,1,4,0.5,2,10,3.5\n")
+    with pytest.raises(Exception, match="does not parse"):
+        read_csv_candles(spark, out).collect()
+    got = read_csv_candles(spark, out, strict=False, rejected="bad").collect()
+    assert len(got) == 7 and [r.datetime.day for r in got if not r.bad] == [5]
+    assert [r.close for r in got if r.bad and r.datetime and r.datetime.day == 1] == [None]
+    assert read_csv_candles(spark, out, strict=False).columns == [f.name for f in S.CSV_CANDLE_SCHEMA.fields]
+    for bad in ("datetime,open\n", "datetime,close,close,open,high,low,volume,NumTrades\n", "1,2,3\n"):
+        other = run_folder(spark, "csv")
+        write_file(other, "a.csv", bad + "2024-01-01,1\n")
+        with pytest.raises(ValueError):
+            read_csv_candles(spark, other)

@@ -11,7 +11,7 @@ from candlewick.operators import lifecycle as lc
 from candlewick.operators import topn
 from candlewick.operators.ewma import ewma
 from candlewick.operators.resample import candles_from_ticks, resample_candles
-from candlewick.operators.rsi import frame_rows, rsi_frame, rsi_tail
+from candlewick.operators.rsi import frame_rows, rsi_frame, rsi_tail, rsi_warmup
 from candlewick.operators.sequence import T, with_row_index
 from candlewick.sources.klines import decode_kline_payload, pack_kline_payload
 from candlewick.sources.ticks import event_ticks
@@ -319,3 +319,31 @@ def test_a_later_flag_does_not_replace_a_live_signal(spark):
     # an idle symbol is not checked
     later = states.unionByName(states.limit(0))
     assert lc.conversion_check(topn.newest(later.where("kind = 0")), lc.live_signals(later.where("kind = 0"))).count() == 0
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_warmup_rsi_over_gaps_equals_pandas(spark, exact):
+    """One in twenty closes is missing, in runs too, from the start on, and across block edges."""
+    import numpy as np
+    import pandas as pd
+    r = np.random.default_rng(7)
+    n = 1500
+    frames = []
+    for s in ("A", "B"):
+        close = 100 + np.cumsum(r.normal(0, 1, n))
+        close[r.random(n) < 0.05] = np.nan
+        close[300:330] = np.nan
+        close[:2] = np.nan
+        frames.append(pd.DataFrame({"symbol": s, "datetime": pd.date_range("2020-01-01", periods=n), "close": close}))
+    pdf = pd.concat(frames, ignore_index=True)
+    src = [(a, b.to_pydatetime(), None if np.isnan(c) else float(c)) for a, b, c in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(src, "symbol string, datetime timestamp_ntz, close double").withColumn(
+        "open", F.col("close")).withColumn("high", F.col("close")).withColumn("low", F.col("close"))
+    got = rsi_warmup(df, "1 day", block_rows=1024 if exact else 64, exact=exact).toPandas().sort_values(["symbol", "datetime"])
+    for s, g in pdf.groupby("symbol"):
+        mine = got[got.symbol == s].reset_index(drop=True)
+        delta = g.close.diff().reset_index(drop=True)
+        for name, x in (("AU", delta.clip(lower=0)), ("AD", delta.clip(upper=0).abs())):
+            want = x.ewm(com=13, min_periods=14).mean()
+            assert want.isna().tolist() == mine[name].isna().tolist()
+            assert np.allclose(want.dropna(), mine[name].dropna(), rtol=1e-11, atol=0)
