@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from candlewick.llm.decontaminate import decontaminate
+from candlewick.llm.decontaminate import _blocks, decontaminate
 from candlewick.llm.queries import op1_decontamination
 from tests.conftest import SF001
 from tests.llm.helpers import TEXTS, edge_docs, empty_docs
@@ -73,3 +73,33 @@ def test_edges(spark):
     assert decontaminate(empty_docs(spark), items).count() == 0
     none = decontaminate(edge_docs(spark), items.where("item_id = -1"))
     assert none.where("contamination.contaminated").count() == 0 and none.count() == len(TEXTS)
+
+
+LAPPED = "w0 w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 w15 w16 w17 w18 w19 w20 w21 w22 w23"
+
+
+@pytest.mark.parametrize("blocks", [{}, {"block_windows": 1}, {"block_windows": 4}, {"block_bytes": 100}, {"block_bytes": 1}])
+def test_spans_do_not_depend_on_the_blocks(spark, blocks):
+    """Windows of different blocks overlap, touch and come out of order in a text."""
+    items = spark.createDataFrame([(1, LAPPED), (2, "w3 w4"), (3, "z1 z2 z3 z4 z5 z6 z7 z8 z9 z10 z11")], "item_id long, text string")
+    text = "x " + LAPPED + " y w3 w4, z1 z2 z3 z4 z5 z6 z7 z8 z9 z10 z11 " + LAPPED[9:]
+    docs = spark.createDataFrame([(1, text), (2, "a w3 w4 b"), (3, "nothing"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: r.contamination for r in decontaminate(docs, items, **blocks).collect()}
+    assert [text[s.start:s.end] for s in got[1].spans] == [
+        LAPPED, "w3 w4, z1 z2 z3 z4 z5 z6 z7 z8 z9 z10 z11 " + LAPPED[9:]]
+    assert got[1]["items"] == ["1", "2", "3"] and got[1].n_hit == 24 + 2 + 11 + 21
+    assert [(got[i].full, got[i].contaminated) for i in (1, 2, 3, 4)] == [(True, True), (False, True), (False, False), (False, False)]
+
+
+def test_blocks_by_bytes(spark):
+    items = spark.createDataFrame([(i, " ".join(f"v{(i * 7 + j) % 997}" for j in range(30))) for i in range(200)],
+                                  "item_id long, text string")
+    blocks = list(_blocks(items, "item_id", "text", 10, 10**6, 10_000))
+    sizes = [sum(len(w) + sum(map(len, ids)) for w, ids in b.items()) for b in blocks]
+    assert len(blocks) > 5 and max(sizes) < 10_100
+    whole, = _blocks(items, "item_id", "text", 10, 10**6, 10**9)
+    joined: dict = {}
+    for b in blocks:
+        for w, ids in b.items():
+            joined.setdefault(w, set()).update(ids)
+    assert joined == whole
