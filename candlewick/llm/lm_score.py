@@ -9,11 +9,11 @@ lower order:
 
 As an automaton: a state for each context h, an arc for each n-gram h w that
 training has (weight log10 pk), a failure arc from h to its suffix h' (weight
-log10 of mu / (c(h) + mu)).  A text is read left to right; each token takes an
-arc, after as many failure arcs as needed, and the state that it leads to is
-carried on.  A state is the longest suffix of what was read, so the states of
-all positions are known from the tokens and a block of texts is traversed
-position-parallel in numpy: one vector step for each failure level.
+log10 of mu / (c(h) + mu)).  The state without context has an arc for every
+token.  A text is read once from left to right; each token takes an arc, after
+as many failure arcs as needed, and the state that it leads to is carried on,
+with the log-probability so far.  A text begins in the state of the context
+before its first token.
 
 Scale.  The model grows with the corpus, so it is neither collected nor
 broadcast.  Documents are dealt into blocks of about ``BLOCK_BYTES`` by a hash
@@ -196,35 +196,70 @@ def _total(key, rows):
 
 
 class Automaton:
-    """Arcs and failure arcs that the n-grams of one block reach."""
+    """States, arcs and failure arcs that the n-grams of one block can reach.
 
-    def __init__(self, counts: list, tokens: int, distinct: int, ends: int, mu: float):
-        """``counts[k]``: training counts of the distinct n-grams of order k + 1."""
+    States are numbered: 0 has no context; then come, for k = 1 to order - 1,
+    the context before a text's first token and the n-grams of k tokens.
+    ``arcs`` maps state * words + token to (weight, next state) and
+    ``fails`` a state to (weight, next shorter state)."""
+
+    def __init__(self, grams: list, counts: list, first, tokens: int, distinct: int, ends: int, mu: float):
+        """``grams[k]``: at each position the number of its n-gram of k + 1
+        tokens; ``counts[k]``: training counts of these n-grams."""
         import numpy as np
 
-        self.counts, self.mu, self.ends = counts, mu, ends
-        self.base = (counts[0] + 0.5) / (tokens + 0.5 * (distinct + 1))
-        self.base_weight = np.log10(self.base)
+        order, begins = len(grams), first[:-1]
+        self.words = len(counts[0])
+        base = (counts[0] + 0.5) / (tokens + 0.5 * (distinct + 1))
+        self.base_weight = np.log10(base)
+        offset = np.cumsum([1] + [len(c) + 1 for c in counts[:-1]])  # of the states of k tokens, the text's begin first
+        self.start = int(offset[order - 2]) if order > 1 else 0
 
-    def traverse(self, at: list, context_at: list):
-        """log10 probability of every position.  ``at[k]``: its n-gram of order
-        k + 1; ``context_at[k]``: that n-gram's context among those of order k,
-        -1 at the beginning of a text."""
-        import numpy as np
+        def state(k: int, gram):
+            """The state after an n-gram of k tokens that training has (0: none)."""
+            return np.where(counts[k - 1][gram] > 0, offset[k - 1] + 1 + gram, 0) if k else np.zeros(len(gram), np.int64)
 
-        lower = self.base[at[0]]
-        arcs, fails = [self.base_weight[at[0]]], [None]
-        for k in range(1, len(at)):
-            context = np.where(context_at[k] < 0, self.ends, self.counts[k - 1][np.maximum(context_at[k], 0)])
-            lower = (self.counts[k][at[k]] + self.mu * lower) / (context + self.mu)
-            arcs.append(np.log10(lower))
-            fails.append(np.log10(self.mu / (context + self.mu)))
-        weight, here = np.zeros(len(at[0])), np.ones(len(at[0]), bool)
-        for k in range(len(at) - 1, 0, -1):  # from the longest context down the failure arcs
-            seen = self.counts[k][at[k]] > 0
-            weight += np.where(here, np.where(seen, arcs[k], fails[k]), 0.0)
-            here &= ~seen
-        return weight + np.where(here, arcs[0], 0.0)
+        keys, weights, following = [np.arange(self.words)], [self.base_weight], [state(min(1, order - 1), np.arange(self.words))]
+        fail_weight, fail_to, lower = [np.zeros(1)], [np.zeros(1, np.int64)], base
+        for k in range(1, order):
+            # of each n-gram of k + 1 tokens one place tells its context, its token and its suffix
+            where = np.zeros(len(counts[k]), np.int64)
+            where[grams[k]] = np.arange(len(grams[k]))
+            opens = np.isin(where, begins)
+            context = np.where(opens, -1, grams[k - 1][np.maximum(where - 1, 0)])
+            suffix = grams[k - 1][where]
+            seen = np.where(opens, ends, counts[k - 1][np.maximum(context, 0)])
+            lower = (counts[k] + mu * lower[suffix]) / (seen + mu)
+            held = np.flatnonzero(counts[k] > 0)
+            keys.append((offset[k - 1] + 1 + context[held]) * self.words + grams[0][where[held]])
+            weights.append(np.log10(lower[held]))
+            following.append(state(k + 1, held) if k + 1 < order else state(k, suffix[held]))
+            # failure arcs of the contexts of k tokens, to their suffixes of k - 1
+            shorter = np.zeros(len(counts[k - 1]), np.int64)
+            if k > 1:
+                place = np.zeros(len(counts[k - 1]), np.int64)
+                place[grams[k - 1]] = np.arange(len(grams[k - 1]))
+                shorter = offset[k - 2] + 1 + grams[k - 2][place]
+            have = np.concatenate([[ends], counts[k - 1]])
+            fail_weight.append(np.log10(mu / (have + mu)))
+            fail_to.append(np.concatenate([[offset[k - 2] if k > 1 else 0], shorter]))
+        self.arcs = dict(zip(np.concatenate(keys).tolist(),
+                             zip(np.concatenate(weights).tolist(), np.concatenate(following).tolist())))
+        self.fails = list(zip(np.concatenate(fail_weight).tolist(), np.concatenate(fail_to).tolist()))
+
+    def traverse(self, tokens: list[int]) -> float:
+        """log10 probability of a text, read from left to right."""
+        arcs, fails, words = self.arcs, self.fails, self.words
+        state, total = self.start, 0.0
+        for t in tokens:
+            arc = arcs.get(state * words + t)
+            while arc is None:
+                weight, state = fails[state]
+                total += weight
+                arc = arcs.get(state * words + t)
+            total += arc[0]
+            state = arc[1]
+        return total
 
 
 def _scorer(order: int, parts: list[int], mu: float, id_col: str):
@@ -246,13 +281,8 @@ def _scorer(order: int, parts: list[int], mu: float, id_col: str):
         words = [got[0, p] for p in range(parts[0])]
         tokens, distinct, ends = (sum(r[x] for r in words) for x in ("tokens", "distinct", "ends"))
         begins = first[:-1]
-        context_at = [None]
-        for k in range(1, order):
-            c = np.empty(len(at[0]), np.int64)
-            c[1:] = at[k - 1][:-1]
-            c[begins] = -1
-            context_at.append(c)
-        machine = Automaton(counts, tokens, distinct, ends, mu)
+        machine = Automaton(at, counts, first, tokens, distinct, ends, mu)
+        scores = [machine.traverse(at[0][a:b].tolist()) for a, b in zip(first[:-1], first[1:])]
         known = counts[0][at[0]] > 0
         return pa.table({
             id_col: docs[id_col], "train": docs["train"],
@@ -260,7 +290,7 @@ def _scorer(order: int, parts: list[int], mu: float, id_col: str):
             "n_known": pa.array(np.add.reduceat(known.astype(np.int64), begins), pa.int64()),
             "train_tokens": pa.array(np.full(len(begins), tokens, np.int64), pa.int64()),
             "base_score": pa.array(np.add.reduceat(machine.base_weight[at[0]], begins), pa.float64()),
-            "score": pa.array(np.add.reduceat(machine.traverse(at, context_at), begins), pa.float64())})
+            "score": pa.array(scores, pa.float64())})
     return score
 
 

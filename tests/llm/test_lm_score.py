@@ -2,10 +2,11 @@ import collections
 import math
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from candlewick.llm.lm_score import MU, score_documents
+from candlewick.llm.lm_score import Automaton, grams_of, MU, score_documents
 from candlewick.llm.queries import op2_lm_score
 from tests.conftest import SF001
 from tests.llm.helpers import TEXTS, edge_docs, empty_docs
@@ -69,21 +70,44 @@ def test_orders_blocks_and_edges(spark, order):
     close([tuple(r) for r in got.collect()], exp)
 
 
-def test_probabilities_sum_to_one():
-    docs = [(1, "a b a c", True), (2, "b b a", True)]
-    words = ["a", "b", "c", "unseen"]
-    # after "a": every next token, the end and one unknown word share all probability
-    for order in (2, 3):
-        first = brute(docs + [(0, "a", False)], order)[-1][6]
-        # p(a) p(end | a) against p(a) p(w | a): take the first two tokens' share
-        total = 10 ** first
-        for w in words:
-            two = brute(docs + [(0, f"a {w}", False)], order)[-1][6]
-            last = brute(docs + [(0, f"a {w}", False)], order)[-1]
-            assert last[2] == 3
-            total += 10 ** two
-        head = sum(10 ** brute(docs + [(0, f"{w}", False)], order)[-1][6] for w in words)
-        assert 0 < total < 1 and 0 < head < 1
+def machine_of(texts, train, order, mu=100.0):
+    """The automaton of one block that is the whole corpus, and its token numbers."""
+    grams, _, first = grams_of(texts, order)
+    learned = np.repeat(np.asarray(train, float), np.diff(first))
+    at, counts = [], []
+    for g in grams:
+        keys, inverse = np.unique(g, return_inverse=True)
+        at.append(inverse)
+        counts.append(np.bincount(inverse, learned, len(keys)).astype(np.int64))
+    ends = int(sum(train))
+    known = [at[0][a:b].tolist() for a, b in zip(first[:-1], first[1:])]
+    return Automaton(at, counts, first, int(counts[0].sum()), int((counts[0] > 0).sum()), ends, mu), known
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_probabilities_sum_to_one(order):
+    """After any beginning, the next tokens that training knows, and one that it does not, share all probability."""
+    texts = ["a b a c", "b b a", "a b a b c a", "unseen"]
+    machine, known = machine_of(texts, [1, 1, 1, 0], order)
+    for text in known[:3]:
+        for n in range(len(text)):
+            head = machine.traverse(text[:n])
+            assert sum(10 ** (machine.traverse(text[:n] + [t]) - head) for t in range(machine.words)) == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_state_is_carried(order):
+    """The state after a text's beginning is that of its longest context in training."""
+    machine, known = machine_of(["a b c", "x b c", "a b", "q"], [1, 1, 1, 0], order)
+    a, b, c, _ = known[0]
+    assert len(machine.arcs) > machine.words and len(machine.fails) > machine.words
+    # with two tokens of context "a b" and "x b" are different states, with one they are the same
+    x = known[1][0]
+    after = lambda *t: machine.traverse([*t, c]) - machine.traverse([*t])
+    assert (after(a, b) == pytest.approx(after(x, b))) == (order == 2)
+    # an unknown word leads back to the state without context
+    unknown = known[3][0]
+    assert after(a, unknown) == pytest.approx(machine.base_weight[c])
 
 
 def test_no_rows_and_no_training(spark):
