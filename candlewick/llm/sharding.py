@@ -11,9 +11,12 @@ new region alone.
 
 Laws and edge cases
 -------------------
-* Law ``key``: the key and the tree decide, nothing else.  ``default_tree(n)``
-  fills regions of ``RACKS * SHARDS`` shards; going from ``n`` full regions to
-  one more shard opens a new region, hence takes rows only into the new shard.
+* Law ``key``: the key and the number of shards decide, nothing else.
+  ``default_tree(n)`` puts the first ``FIRST`` shards into regions and racks;
+  every shard after them is a region of its own, so going from any ``n`` to
+  n + 1 changes no other draw and takes rows only into the new shard.  Fewer
+  shards than ``FIRST`` are a ValueError: pass the number that a smaller
+  cluster starts with as ``first``, and keep it.
 * Rows with equal keys share a shard; a null key is a key like any other.
 * ``slots`` numbers the rows of each shard from 0 without gaps.  It never
   orders a whole shard in one task: rows are counted per (shard, bucket), a
@@ -34,6 +37,7 @@ from candlewick.llm.common import free_name
 from candlewick.session import materialize
 
 RACKS, SHARDS = 4, 5  # of a region, of a rack
+FIRST = 40            # shards that a cluster starts with
 ROWS_PER_BUCKET = 20_000
 
 
@@ -45,9 +49,14 @@ class Leaf:
     weight: float = 1.0
 
 
-def default_tree(n_shards: int) -> list[Leaf]:
-    """Equal weights; regions and racks filled one after another."""
-    return [Leaf(s // (RACKS * SHARDS), s // SHARDS, s) for s in range(n_shards)]
+def default_tree(n_shards: int, first: int = FIRST) -> list[Leaf]:
+    """Equal weights.  The first shards fill regions and racks one after
+    another, each later one opens a region."""
+    if not 0 < first <= n_shards:
+        raise ValueError(f"{n_shards} shards, but the cluster starts with {first}: movement would not be confined")
+    regions, racks = -(-first // (RACKS * SHARDS)), -(-first // SHARDS)
+    return ([Leaf(s // (RACKS * SHARDS), s // SHARDS, s) for s in range(first)]
+            + [Leaf(regions + i, racks + i, first + i) for i in range(n_shards - first)])
 
 
 def _children(tree: list[Leaf], parent: str | None, child: str) -> dict[int, dict[int, float]]:
@@ -107,7 +116,8 @@ def slots(df: DataFrame, shard: str, order: list[str], n_shards: int, out: str =
             .withColumn(out, (F.col(out) + F.col(first)).cast("long")).drop(b, first))
 
 
-def shard_documents(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text: str = "text",
+                    first: int = FIRST) -> DataFrame:
     """Placement of every document under law ``key``, with its slot and its
     place once one more shard is opened."""
     t = F.coalesce(F.col(text), F.lit(""))
@@ -116,6 +126,6 @@ def shard_documents(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text
         (F.octet_length(t) + 16).cast("long").alias("size"),
         F.crc32(t.cast("binary")).alias("text_crc32"),
         F.lit("key").alias("law"))
-    rows = place(rows, F.col(id_col), default_tree(n_shards), "shard")
-    rows = place(rows, F.col(id_col), default_tree(n_shards + 1), "grown_shard")
+    rows = place(rows, F.col(id_col), default_tree(n_shards, first), "shard")
+    rows = place(rows, F.col(id_col), default_tree(n_shards + 1, first), "grown_shard")
     return slots(materialize(rows), "shard", [id_col, "text_crc32", "size"], n_shards)

@@ -90,3 +90,19 @@ def test_edges(spark):
 def test_no_python_in_the_plan(spark):
     plan = shard_documents(edge_docs(spark), 40)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("n,first", [(40, 40), (41, 40), (45, 40), (59, 40), (60, 40), (3, 3), (7, 3), (1, 1), (21, 20)])
+def test_one_more_shard_takes_rows_only_into_itself(spark, n, first):
+    rows = place(place(spark.range(20_000), F.col("id"), default_tree(n, first), "a"), F.col("id"),
+                 default_tree(n + 1, first), "b").groupBy("a", "b").count().collect()
+    moved = sum(r["count"] for r in rows if r.a != r.b)
+    assert all(r.b == n for r in rows if r.a != r.b)
+    assert abs(moved / 20_000 - 1 / (n + 1)) < 0.25 / (n + 1) + 0.003
+    assert {r.b for r in rows} == set(range(n + 1))
+
+
+def test_fewer_shards_than_the_first_are_refused(spark):
+    with pytest.raises(ValueError, match="confined"):
+        shard_documents(edge_docs(spark), 39)
+    assert shard_documents(edge_docs(spark), 5, first=5).count() == len(TEXTS)
