@@ -31,10 +31,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import bounded_batches, free_name
+from candlewick.llm.common import bounded_batches, free_name, written
 from candlewick.llm.components import components
 from candlewick.session import materialize
 
@@ -148,12 +148,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
              max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` with one document of each class: that of the
-    smallest id (of rows that repeat it, one)."""
-    fp, n = free_name(docs, "_fp"), free_name(docs, "_n")
-    marked = fingerprints(docs, text, fp, shingle)
-    rows = materialize(marked.select(id_col, fp))
+    smallest id.  Of rows that repeat this id, the one of the smallest
+    fingerprint stays, then that of the smallest text hash; of rows equal in
+    these the first as numbered when the fingerprints were written.
+
+    Texts are read once for their fingerprints and written beside them; the
+    choice is made on (fingerprint, id, text hash, number) alone."""
+    fp, row = free_name(docs, "_fp"), free_name(docs, "_row")
+    marked = written(fingerprints(docs, text, fp, shingle).withColumn(row, F.monotonically_increasing_id()), "simhash")
+    rows = materialize(marked.select(id_col, fp, F.struct(F.xxhash64(text).alias("h"), F.col(row).alias("row")).alias("_key")))
     stay = (classes(rows, id_col, fp, max_bits).where("rep")
             .select(F.col("fp").alias("_stay_fp"), F.col("component_id").alias("_stay_id")))
-    met = marked.join(stay, (F.col(fp) == F.col("_stay_fp")) & F.col(id_col).eqNullSafe(F.col("_stay_id")), "left_semi")
-    first = F.row_number().over(Window.partitionBy(fp, id_col).orderBy(F.lit(0)))
-    return met.withColumn(n, first).where(F.col(n) == 1).drop(n, fp)
+    met = rows.join(stay, (F.col(fp) == F.col("_stay_fp")) & F.col(id_col).eqNullSafe(F.col("_stay_id")))
+    chosen = met.groupBy("_stay_fp").agg(F.min("_key").alias("_key")).select(F.col("_key")["row"].alias(row))
+    return marked.join(chosen, row, "left_semi").drop(row, fp).select(*docs.columns)
