@@ -24,7 +24,8 @@ Edge cases: vectors that are null or hold null or non-finite components take
 no part, nor do rows with a null id.  A shorter vector counts as padded with
 zeros; an empty one scores 0.  Ties go to the smaller id.  Repeated equal rows
 are one query, and each a candidate of others; rows with the query's id are
-its own.  Empty tables give an empty result; other columns are not read.
+its own.  Rows that share an id but not the vector are queries of their own,
+with a ranking each under that id.  Empty tables give an empty result; other columns are not read.
 Scores need to fit in 62 bits, which is checked.
 """
 
@@ -42,7 +43,7 @@ QUERIES = 2_048    # of a unit, at most
 SCALE = 256
 
 _INDEX = "block int, ids binary, low binary, slices binary, bits int"
-_FOUND = "query_id long, vec_id long, score long"
+_FOUND = "query_id long, query long, vec_id long, score long"
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
@@ -207,7 +208,8 @@ def top_k(index: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int
     """(query_id, rank, vec_id, score): the ``k`` best rows of every query."""
     spark = queries.sparkSession
     asked = materialize(queries.where(F.col(id_col).isNotNull() & usable(F.col(vector))).select(
-        F.col(id_col).cast("long").alias("query_id"), quantised(F.col(vector), scale).alias("q")).distinct())
+        F.col(id_col).cast("long").alias("query_id"), quantised(F.col(vector), scale).alias("q")).distinct()
+        .withColumn("query", F.xxhash64("q")))
     last = index.agg(F.max("block")).head()[0]
     n_blocks, n_queries = (0 if last is None else last + 1), asked.count()
     # enough units for every core, none with more queries than its bound
@@ -218,16 +220,15 @@ def top_k(index: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int
     def search(key, left, right):
         import numpy as np
 
-        out = ([], [], [])
+        out = ([], [], [], [])
         for row in right.to_pylist():
             block = load_block(row)
-            for qid, q in zip(left["query_id"].to_pylist(), left["q"].to_pylist()):
+            for qid, query, q in zip(*(left[c].to_pylist() for c in ("query_id", "query", "q"))):
                 ids, scores = search_block(block, qid, q, k)
-                out[0].append(np.full(len(ids), qid, np.int64))
-                out[1].append(ids)
-                out[2].append(scores)
+                for col, x in zip(out, (np.full(len(ids), qid, np.int64), np.full(len(ids), query, np.int64), ids, scores)):
+                    col.append(x)
         cols = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), (pa.array(c, pa.int64()) for c in cols))))
+        return pa.table(dict(zip(("query_id", "query", "vec_id", "score"), (pa.array(c, pa.int64()) for c in cols))))
 
     # queries, in groups, go to every block; index blocks go to every group of queries
     # (a block without rows has no index and finds nothing)
@@ -235,6 +236,6 @@ def top_k(index: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int
     numbered = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     found = (to_blocks.groupBy("block", "part").cogroup(numbered.groupBy("block", "part"))
              .applyInArrow(search, _FOUND))
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_id", "query").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

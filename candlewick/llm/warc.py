@@ -60,6 +60,7 @@ VERSIONS = (b"WARC/1.0", b"WARC/1.1")
 MANDATORY = ("warc-type", "warc-record-id", "warc-date", "content-length")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_ID = "urn:page:"
+ARCHIVES_A_TASK = 8
 
 _MANIFEST = "path string, records long, bytes long"
 _RECORD_TYPE = pa.struct([("path", pa.string()), ("frame", pa.int64()), ("record_id", pa.string()),
@@ -345,7 +346,8 @@ def read_warc(archives: DataFrame, path: str = "path", strict: bool = True) -> D
             yield pa.RecordBatch.from_struct_array(pa.array(rows, _RECORD_TYPE))
 
     spark = archives.sparkSession
-    tasks = max(1, min(archives.count(), 4 * spark.sparkContext.defaultParallelism))
+    n = archives.count()  # a task reads few archives, however many there are
+    tasks = max(1, min(n, 4 * spark.sparkContext.defaultParallelism), -(-n // ARCHIVES_A_TASK))
     return archives.select(path).repartition(tasks).mapInArrow(read, _RECORD)
 
 

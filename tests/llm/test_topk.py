@@ -52,3 +52,10 @@ def test_signed_digits():
         assert sum(s << i for i, s, dims in digits for _ in dims) == x
         places = sorted(i for i, _, _ in digits)
         assert all(b - a > 1 for a, b in zip(places, places[1:]))
+
+
+def test_an_id_with_two_vectors_has_two_rankings(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0]), (1, [2.0, 0.5]), (2, [0.5, 2.0]), (3, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, top_k(build_index(df, "vec_id", "embedding"), df.where("vec_id = 50"), "vec_id", "embedding", 2).collect()))
+    assert got == [(50, 1, 1, 256 * 512), (50, 1, 2, 256 * 512), (50, 2, 1, 256 * 128), (50, 2, 2, 256 * 128)]
