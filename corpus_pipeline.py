@@ -7,7 +7,8 @@ next stage's ``docs``.  All but the last return the columns of ``documents``.
 1. quality: documents that the positive-unlabelled classifier scores below 0.5 go.
 2. toxicity: documents with a calibrated toxicity of 0.7 or more go.
 3. simhash: one document of each near-duplicate class stays, that of the smallest id.
-4. decontamination: documents that hold a window of a benchmark item go.
+4. decontamination: documents that hold a full window (ten words) of a benchmark item go; a
+   short item ("yes", a name) marks a document but is no reason to drop it.
 5. sentencepiece: token ids, checked against the original library.
 
 Null and empty texts pass through the operators like any other (each operator's
@@ -48,7 +49,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = free_name(docs, "_contamination")
     marked = decontaminate(docs, table(spark, sf_dir, "benchmark"), out=found)
-    return marked.where(~F.col(found)["contaminated"]).select(*docs.columns)
+    return marked.where(~F.col(found)["full"]).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
