@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import threading
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -53,14 +54,19 @@ def _is_tick():
     return F.col("ts").isNotNull() & F.col("value").isNotNull()
 
 
-def event_tick_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """``events`` parquet files as a tick stream (symbol, ts TIMESTAMP, seq, price, qty)."""
-    r = spark.readStream.schema(EVENTS_SCHEMA)
+def event_tick_stream(spark: SparkSession, path: str, max_files: int | None = None,
+                      names: list[str] | None = None) -> DataFrame:
+    """``events`` parquet files as a tick stream (symbol, ts TIMESTAMP, seq,
+    price, qty), all or those of the given ``names``."""
+    # a file may be admitted long after newer ones
+    r = spark.readStream.schema(EVENTS_SCHEMA).option("maxFileAge", "36500d")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     if is_file(spark, path):  # a single-file table: stream its folder, filtered to the file
-        r = r.option("pathGlobFilter", os.path.basename(path))
-        path = os.path.dirname(path)
+        path, names = os.path.dirname(path), [os.path.basename(path)]
+    if names:
+        literal = ["".join(f"\\{c}" if c in "{}[]*?\\,^!" else c for c in n) for n in names]
+        r = r.option("pathGlobFilter", literal[0] if len(literal) == 1 else "{" + ",".join(literal) + "}")
     ev = r.parquet(path)
     return (ev.where(_is_tick())
               .select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"),
@@ -89,12 +95,29 @@ def measured_lag(spark: SparkSession, path: str) -> tuple[int | None, int]:
     return (None if newest is None else newest // 1000), (0 if lag is None or lag < 0 else lag // 1000 + spare)
 
 
-def write_closing_tick(spark: SparkSession, path: str, at_ms: int) -> None:
-    """One ``events`` row at ``at_ms`` that moves the watermark on; its symbol is null."""
-    (spark.range(1).select(*[(F.timestamp_millis(F.lit(at_ms)).cast("timestamp_ntz") if f.name == "ts" else
-                              F.lit(0.0 if f.name == "value" else None).cast(f.dataType)).alias(f.name)
-                             for f in EVENTS_SCHEMA.fields])
-     .coalesce(1).write.mode("append").parquet(path))
+SPARE_MS = 2  # the watermark drops a tick at its own millisecond too, and both ends are cut to milliseconds
+
+
+def admissions(spark: SparkSession, path: str, max_files: int) -> list[tuple[list[str], int]]:
+    """A whole ``events`` table in event-time order: (names of files, delay in
+    milliseconds) of each step, in turn.
+
+    Files are admitted by their oldest tick, ``max_files`` at a time, whenever
+    they were written.  After a step the watermark may reach the oldest tick of
+    the files still to come, so the delay is what the newest tick so far is
+    ahead of it: nothing is dropped, and the state holds the overlap of the
+    files, not the table.  The last step's delay is 0.  The driver sees a row
+    for each file, as a file index does; files of one name go together."""
+    us = micros("ts")
+    files = (spark.read.schema(EVENTS_SCHEMA).parquet(path).where(_is_tick()).groupBy(F.col("_metadata.file_name").alias("name"))
+             .agg(F.min(us).alias("lo"), F.max(us).alias("hi")).orderBy("lo", "name").collect())
+    steps, newest = [], None
+    for i in range(0, len(files), max_files):
+        part = files[i:i + max_files]
+        newest = max([f.hi for f in part] + ([] if newest is None else [newest]))
+        ahead = newest // 1000 + SPARE_MS - files[i + max_files].lo // 1000 if i + max_files < len(files) else 0
+        steps.append(([unquote(f.name) for f in part], max(0, ahead)))  # the metadata is URL-encoded
+    return steps
 
 
 def stream_candles(ticks: DataFrame, interval: str, delay: str, dedupe: bool = True) -> DataFrame:
@@ -131,18 +154,20 @@ def batch_folder(out_dir: str, batch_id: int) -> str:
 
 
 class Landing:
-    """A started landing query and the ticks that its watermark dropped, batch by batch."""
+    """A started landing query; batch by batch the ticks that its watermark dropped and the rows of its state."""
 
     def __init__(self) -> None:
-        self.query, self.started, self.batches, self.by_batch = None, threading.Event(), 0, {}
+        self.query, self.started, self.batches, self.by_batch, self.held = None, threading.Event(), 0, {}, {}
 
     def note(self) -> None:
         """Take over the figures of the progress entries there are.  The query keeps
         only the newest ones, so every batch notes those of the batches before it."""
         for p in self.query.recentProgress:
             p = json.loads(p.json if isinstance(p.json, str) else json.dumps(p))
-            n = sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
-            self.by_batch[p["batchId"]] = max(n, self.by_batch.get(p["batchId"], 0))
+            dropped, held = (sum(int(op.get(x, 0)) for op in p.get("stateOperators", []))
+                             for x in ("numRowsDroppedByWatermark", "numRowsTotal"))
+            self.by_batch[p["batchId"]] = max(dropped, self.by_batch.get(p["batchId"], 0))
+            self.held[p["batchId"]] = max(held, self.held.get(p["batchId"], 0))
 
     def await_dropped(self) -> int:
         """Rows that the watermark dropped as too late, over all batches of the query."""

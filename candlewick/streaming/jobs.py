@@ -21,10 +21,12 @@ import warnings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.functions.timefn import micros
 from candlewick.session import checkpoint_dir, materialize
 from candlewick.streaming.candles import (
-    CANDLE_STREAM_SCHEMA, Landing, batch_folder, event_tick_stream, land, landed_glob, measured_lag, stream_candles,
-    write_batch, write_closing_tick)
+    CANDLE_STREAM_SCHEMA, Landing, admissions, batch_folder, event_tick_stream, land, landed_glob, stream_candles,
+    write_batch)
+from candlewick.streaming.blocked import advance_blocked
 from candlewick.streaming.signals import OUT_SCHEMA, STATE_TABLE, advance
 
 
@@ -33,11 +35,7 @@ def run_folder(spark: SparkSession, name: str) -> str:
 
 
 MAX_FILES = 64  # tick files of one batch
-
-
-def make_folder(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+GROUP_ROWS = 50_000  # candles of a symbol that one task folds; a batch with more of one goes in blocks
 
 
 def landed_ids(spark: SparkSession, out_dir: str) -> list[int]:
@@ -50,7 +48,8 @@ def landed_ids(spark: SparkSession, out_dir: str) -> list[int]:
     return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
 
 
-def advance_batch(spark: SparkSession, base: str, batch_id: int, candles_dir: str | None = None) -> None:
+def advance_batch(spark: SparkSession, base: str, batch_id: int, candles_dir: str | None = None,
+                  group_rows: int = GROUP_ROWS) -> None:
     """Signals of one landed batch, and the state table after it."""
     signals, states = os.path.join(base, "signals"), os.path.join(base, "state")
     candles = spark.read.schema(CANDLE_STREAM_SCHEMA).parquet(
@@ -58,10 +57,17 @@ def advance_batch(spark: SparkSession, base: str, batch_id: int, candles_dir: st
     before = [i for i in landed_ids(spark, states) if i < batch_id]
     state = (spark.read.schema(STATE_TABLE).parquet(batch_folder(states, before[-1])) if before
              else spark.createDataFrame([], STATE_TABLE))
-    done = materialize(advance(candles, state))
-    write_batch(done.select(F.explode("rows").alias("r")).select("r.*"), batch_folder(signals, batch_id))
+    most, lo, hi = candles.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n"), F.min(micros("datetime")).alias("lo"), F.max(micros("datetime")).alias("hi")).agg(
+        F.max("n"), F.min("lo"), F.max("hi")).first()
+    if (most or 0) > group_rows:
+        rows, now = advance_blocked(candles, state, max(1, (hi - lo) // most))
+    else:
+        done = materialize(advance(candles, state))
+        rows, now = done.select(F.explode("rows").alias("r")).select("r.*"), done.select("symbol", "state.*")
+    write_batch(rows, batch_folder(signals, batch_id))
     # last: a batch with a state table is complete
-    done.select("symbol", "state.*").write.mode("overwrite").parquet(batch_folder(states, batch_id))
+    now.write.mode("overwrite").parquet(batch_folder(states, batch_id))
 
 
 def run_candle_stream(spark: SparkSession, events_path: str, interval: str, delay: str | None = "0 seconds",
@@ -71,37 +77,32 @@ def run_candle_stream(spark: SparkSession, events_path: str, interval: str, dela
     newest one by more than ``delay`` are dropped by the watermark; their
     number is written to ``<base>/dropped`` and a warning names it.
 
-    ``delay=None`` is for a whole table and a fresh ``base``: the delay is
-    measured on the table (``measured_lag``), the windows that it holds open
-    are closed up to the newest tick, as without a delay, and a dropped tick is
-    an error."""
+    ``delay=None`` is for a whole table and a fresh ``base``: its files are
+    admitted in event-time order (``admissions``), each step a run of the same
+    query with the delay that the files to come need, the last without; a
+    dropped tick is an error.  The most rows that the state held after a batch
+    are written beside the dropped ticks."""
     base = base or run_folder(spark, "candles")
     out = os.path.join(base, "candles")
     then = (lambda s, i: advance_batch(s, base, i)) if signals else None
-    ticks, whole = event_tick_stream(spark, events_path, max_files), delay is None
+    whole = delay is None
     if whole:
         if landed_ids(spark, out):
-            raise ValueError(f"a measured delay needs a fresh folder, {out} has batches")
-        newest, lag = measured_lag(spark, events_path)
-        delay, closing = f"{lag} milliseconds", os.path.join(base, "closing")
-        make_folder(spark, closing)
-        ticks = ticks.unionByName(event_tick_stream(spark, closing))
-
-    def run():
+            raise ValueError(f"event-time order needs a fresh folder, {out} has batches")
+        steps = [(event_tick_stream(spark, events_path, names=names), f"{ms} milliseconds")
+                 for names, ms in admissions(spark, events_path, max_files) or [(None, 0)]]
+    else:
+        steps = [(event_tick_stream(spark, events_path, max_files), delay)]
+    dropped = held = 0
+    for ticks, delay in steps:
         landing = Landing()
         q = land(stream_candles(ticks, interval, delay), out, os.path.join(base, "_ckpt_candles"), then=then,
                  landing=landing)
-        return q, landing.await_dropped()
-
-    q, dropped = run()
-    if whole and lag and newest is not None:
-        # after this tick the watermark is the table's newest tick; its own window stays open
-        write_closing_tick(spark, closing, newest + lag)
-        q, more = run()
-        dropped += more
-    (spark.range(1).select(F.lit(str(q.runId)).alias("run"), F.lit(delay).alias("delay"),
-                           F.lit(dropped).cast("long").alias("dropped"))
-     .write.mode("append").parquet(os.path.join(base, "dropped")))
+        dropped += landing.await_dropped()
+        held = max([held, *landing.held.values()])
+        (spark.range(1).select(F.lit(str(q.runId)).alias("run"), F.lit(delay).alias("delay"),
+                               F.lit(dropped).cast("long").alias("dropped"), F.lit(held).cast("long").alias("state_rows"))
+         .write.mode("append").parquet(os.path.join(base, "dropped")))
     if dropped:
         said = f"{dropped} ticks came later than the delay of {delay} and were dropped"
         if whole:

@@ -1,5 +1,7 @@
 """Streaming equals batch; multi-batch state carry; replay is harmless."""
 
+import datetime as dt
+import math
 import os
 
 import duckdb
@@ -14,10 +16,11 @@ from candlewick.operators.resample import candles_from_ticks
 from candlewick.operators.rsi import frame_rows, rsi_frame
 from candlewick.sources.ticks import event_ticks
 from candlewick.streaming import jobs
-from candlewick.streaming.candles import landed_glob, measured_lag
+from candlewick.plans import sqlparts as Q
+from candlewick.streaming.candles import admissions, landed_glob, measured_lag
 from candlewick.streaming.jobs import (
     advance_batch, current_state, read_signals, run_candle_stream, run_folder, run_signal_stream, run_streams)
-from tests.conftest import SF001
+from tests.conftest import SF001, SF01
 from tools.oracle_check import digest
 
 
@@ -178,7 +181,8 @@ def test_whole_table_fails_on_dropped_ticks(spark, monkeypatch):
     _, src = _split_events(spark)
     for i in range(4):
         os.utime(os.path.join(src, f"part-{i:03d}.parquet"), (1_000_000 - i, 1_000_000 - i))
-    monkeypatch.setattr(jobs, "measured_lag", lambda *_: (0, 0))
+    real = jobs.admissions
+    monkeypatch.setattr(jobs, "admissions", lambda *a: [(names, 0) for names, _ in reversed(real(*a))])
     with pytest.raises(RuntimeError, match="dropped"):
         run_candle_stream(spark, src, "4 hours", delay=None, max_files=1)
 
@@ -198,3 +202,83 @@ def test_drops_of_all_batches_are_counted(spark):
             spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
         seen.append(spark.read.parquet(os.path.join(base, kept, "dropped")).first().dropped)
     assert seen[0] == seen[1] > 0
+
+
+def test_state_is_bounded_by_the_overlap_of_files(spark):
+    """Two hundred files written in no order, each of a stretch of time that
+    overlaps its neighbours': the SQL's candles, and a state that holds few
+    files' ticks instead of the table's."""
+    sf = run_folder(spark, "stretches")
+    src = os.path.join(sf, "events.parquet")
+    os.makedirs(src)
+    t = pq.read_table(os.path.join(SF01, "events.parquet")).sort_by("ts")
+    n, step = t.num_rows, t.num_rows / 200
+    for i in range(200):
+        # two of three rows of the own stretch, the third of the stretch before
+        own = [k for k in range(int(i * step), int((i + 1) * step)) if k % 3 or i == 199]
+        before = [k for k in range(int((i - 1) * step), int(i * step)) if k % 3 == 0] if i else []
+        at = os.path.join(src, f"part {(i * 37) % 200:03d},{{x}}.parquet")
+        pq.write_table(t.take(before + own), at)
+        os.utime(at, (1_000_000 + (i * 61) % 200 * 864_000,) * 2)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{src}/*.parquet'")
+    assert con.sql("SELECT count(*) FROM events").fetchall()[0][0] == n
+    steps = admissions(spark, src, 25)
+    assert [len(names) for names, _ in steps] == [25] * 8 and steps[-1][1] == 0
+    assert sorted(x for names, _ in steps for x in names) == sorted(os.listdir(src))
+    base = run_folder(spark, "overlap")
+    out = run_candle_stream(spark, src, "1 hour", None, base, max_files=25)
+    got = spark.read.parquet(landed_glob(out)).select("symbol", "datetime", "open", "close", "NumTrades").toPandas()
+    closed = "datetime + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events)"
+    exp = con.sql(f"SELECT symbol, datetime, open, close, NumTrades FROM ({Q.candles(Q.EVENT_TICKS, '1 hour')}) WHERE {closed}").df()
+    assert len(got) == len(exp) > 0 and digest(got) == digest(exp)
+    held = [r.state_rows for r in spark.read.parquet(os.path.join(base, "dropped")).collect()]
+    ticks_a_step = n / 8
+    assert len(held) == 8 and 0 < max(held) < 1.7 * ticks_a_step  # one batch and an overlap, dedupe rows and windows
+
+
+def _hot_batches(n=2600):
+    """Two batches of hourly candles: a hot symbol, one that is new in the second,
+    and candles that come again, late or corrected."""
+    rows = lambda s, a, b: [(s, f"{(d := dt.datetime(2020, 1, 1) + dt.timedelta(hours=i))}",
+                             round(100 + 25 * math.sin(i / 11) + (i * 7919 % 101) / 20, 3)) for i in range(a, b)]
+    one = rows("H", 0, n) + rows("B", 0, 20)
+    two = rows("H", n, 2 * n) + rows("B", 20, 25) + rows("N", 0, 45)
+    again = rows("H", n - 3, n)[:2] + rows("B", 3, 4) + rows("H", n + 5, n + 6)
+    corrected = [("H", again[0][1], 1.5), ("H", str(dt.datetime(2019, 5, 1)), 7.0), ("N", rows("N", 4, 5)[0][1], 3.25)]
+    return one, two + again + corrected
+
+
+def test_a_hot_symbol_in_blocks_gives_the_same_rows_and_state(spark):
+    made = {}
+    batches = _hot_batches()
+    for group_rows in (10**9, 500):
+        base = run_folder(spark, "hot")
+        for i, rows in enumerate(batches):
+            _candle_batch(spark, base, i, rows)
+            advance_batch(spark, base, i, os.path.join(base, "candles"), group_rows=group_rows)
+        s = read_signals(spark, os.path.join(base, "signals"))
+        late = read_signals(spark, os.path.join(base, "signals"), late=True)
+        state = spark.read.parquet(os.path.join(base, "state", "batch=000000000001"))
+        made[group_rows] = [sorted(map(str, s.collect())), sorted(r.close for r in late.where("symbol = 'H'").collect()),
+                            late.count(), sorted(map(str, state.collect()))]
+    a, b = made.values()
+    assert len(a[0]) == len(b[0]) == 5200 + 25 + 45
+    assert [x for x in a[0] if "'N'" not in x] == [x for x in b[0] if "'N'" not in x]  # the same bits
+    assert a[1] == b[1] == [1.5, 7.0] and a[2] == b[2] == 3  # H twice, N's second version
+    assert [x for x in a[3] if "'N'" not in x] == [x for x in b[3] if "'N'" not in x]
+    assert any("kind=1" in x for x in a[0]) and any("kind=2" in x for x in a[0])
+
+
+def test_a_hot_symbol_is_several_tasks(spark, monkeypatch):
+    from candlewick.operators import ewma
+    from candlewick.streaming import blocked
+    seen = []
+    real = ewma.exact_fold
+    monkeypatch.setattr(blocked, "exact_fold", lambda df, *a: seen.append(df) or real(df, *a))
+    base = run_folder(spark, "hot")
+    one, _ = _hot_batches(8000)
+    _candle_batch(spark, base, 0, one)
+    advance_batch(spark, base, 0, os.path.join(base, "candles"), group_rows=500)
+    blocks = seen[0].where("symbol = 'H'").select("_blk", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len({r["_blk"] for r in blocks}) >= 4 and len({r.task for r in blocks}) >= 3
