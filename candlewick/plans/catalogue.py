@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ from candlewick.operators.sequence import OWN, blocks_with_halo, with_row_index
 from candlewick.plans import sqlparts as Q
 from candlewick.plans.jobs import (backfill, backfill_candles, correct_candles, daily_tick, replay_state,
                                    stage_tick)
+from candlewick.plans.feeds import INTERVALS, fed_candles, feed_ticks
 from candlewick.session import materialize, materialize_by
 from candlewick.sources.klines import decode_kline_payload, pack_kline_payload, read_kline_payloads, read_klines
 from candlewick.sources.literal import state_frame
@@ -439,6 +441,15 @@ def _csv_permuted(spark, sf):
         "datetime", F.col("datetime").cast("timestamp_ntz"))
 
 
+def _fed(spark, sf):
+    """All ticks in three feeds, each with ticks of any time, and the second
+    one sent twice; the candles of all intervals."""
+    t, out = event_ticks(spark, sf), run_folder(spark, "fed")
+    for i in (2, 0, 0, 1):
+        feed_ticks(spark, out, t.where(F.pmod("seq", F.lit(3)) == i), f"part {i}")
+    return reduce(DataFrame.unionByName, [fed_candles(spark, out, x).withColumn("span", F.lit(x)) for x in INTERVALS])
+
+
 def _events_path(sf):
     return os.path.join(sf, "events.parquet")
 
@@ -508,6 +519,10 @@ QUERIES.update({
     "csv_rsi_warmup": Query(_csv_warmup, ["datetime", "symbol", "close", "AU", "AD", "RSI"],
                             {"close", "AU", "AD", "RSI"}, WARM_SQL.replace("{src}", Q.rsi_full(O1D)),
                             "SRC7 CMP3"),
+    "candles_fed": Query(
+        _fed, CANDLE_COLS + ["span"], CANDLE_DBL,
+        " UNION ALL ".join(f"SELECT *, '{x}' AS span FROM ({c})" for x, c in zip(INTERVALS, (C1H, C4H, C1D))),
+        "RES1 RES2 RES3 (merged from feeds in any order)"),
     "csv_permuted": Query(
         _csv_permuted, ["symbol", "datetime", "open", "high", "low", "close", "volume", "NumTrades", "rejected"],
         {"open", "high", "low", "close", "volume"},
