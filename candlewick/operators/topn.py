@@ -38,11 +38,11 @@ def closed_latest(df: DataFrame, key: str = "symbol", order: str = "datetime") -
 
 
 def drop_newest(df: DataFrame, n: int, key: str = "symbol", order: str = "datetime") -> DataFrame:
-    """SRT5: every row except the newest ``n`` of each key.  The input is read
-    twice, so it is computed once and checkpointed."""
+    """SRT5: every row except the newest ``n`` of each key (a null key is one).
+    The input is read twice, so it is computed once and checkpointed."""
     df = materialize(df)
-    top = newest_n(df, n, key, order, rank_col=None).select(key, order)
-    return df.join(top, [key, order], "left_anti")
+    top = newest_n(df, n, key, order, rank_col=None).select(F.col(key).alias("_key"), F.col(order).alias("_at"))
+    return df.join(top, F.col(key).eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_at")), "left_anti")
 
 
 def dedupe_latest(df: DataFrame, keys: list[str], version: str, tiebreak: list[str] | None = None

@@ -26,8 +26,8 @@ BULLISH = 1
 BEARISH = 2
 EXCHANGE_TZ = "Asia/Seoul"
 
-# kline_1d as written by the backfill job (12 columns, positional from the
-# exchange array; index 6 is skipped).
+# Names and types of kline_1d as written by the backfill job
+# (12 columns, positional from the exchange array; index 6 is skipped).
 KLINE_SCHEMA = T.StructType([
     T.StructField("datetime", T.TimestampType(), True),
     T.StructField("symbol", T.StringType(), True),

@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -83,11 +84,27 @@ def materialize(df):
 SCRATCH = "candlewick_"
 
 
-def drop_scratch(spark: SparkSession) -> int:
+def _scratch_names(spark: SparkSession) -> list[str]:
+    return [t.name for t in spark.catalog.listTables() if t.name.startswith(SCRATCH)]
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Drops the scratch tables that were made inside, when it ends: for whoever
+    reads or writes a query's result within it."""
+    before = set(_scratch_names(spark))
+    try:
+        yield
+    finally:
+        drop_scratch(spark, keep=before)
+
+
+def drop_scratch(spark: SparkSession, keep: set[str] = frozenset()) -> int:
     """Drop the tables that ``materialize_by`` has written in this session,
-    with their files; frames over them can't be read any more.  Returns how
-    many there were.  The jobs call it when their results are written."""
-    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(SCRATCH)]
+    with their files, but for those to ``keep``; frames over them can't be read
+    any more.  Returns how many there were.  The jobs call it when their
+    results are written."""
+    names = [n for n in _scratch_names(spark) if n not in keep]
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for name in names:
         spark.sql(f"DROP TABLE {name}")

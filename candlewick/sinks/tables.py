@@ -53,7 +53,7 @@ def append_table(df: DataFrame, path: str, key: str = "symbol", order: str = "da
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The table without its layout column (a filter on that needs the plain reader)."""
     folder, name = os.path.split(path.rstrip("/"))
-    store = Store(spark, folder)
+    store = Store(spark, folder or ".")
     if store.exists() and name in (snap := store.snapshot()).schemas:
         return store.read(snap, name)
     found = spark.read.parquet(path).drop(*SLICES)
@@ -82,7 +82,7 @@ def _versions(spark: SparkSession, path: str) -> tuple:
 def read_state(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest complete version, None before the first upsert."""
     folder, name = os.path.split(path.rstrip("/"))
-    store = Store(spark, folder)
+    store = Store(spark, folder or ".")
     if store.exists() and name in (snap := store.snapshot()).schemas:
         return store.read(snap, name)
     *_, versions = _versions(spark, path)

@@ -111,3 +111,15 @@ def test_scratch_tables_are_dropped(spark):
     assert m.count() == 10 and os.path.isdir(scratch_table_path(spark, name))
     assert drop_scratch(spark) > 0 and not os.path.exists(scratch_table_path(spark, name))
     assert not [t for t in spark.catalog.listTables() if t.name.startswith(SCRATCH)]
+
+
+def test_scratch_scope_drops_what_was_made_inside(spark):
+    from candlewick.plans.catalogue import QUERIES
+    from candlewick.session import SCRATCH, scratch_scope
+    names = lambda: {t.name for t in spark.catalog.listTables() if t.name.startswith(SCRATCH)}
+    QUERIES["rsi_history"].spark(spark, SF001)
+    before = names()
+    with scratch_scope(spark):
+        df = QUERIES["rsi_history"].spark(spark, SF001)
+        assert df.count() > 0 and names() > before
+    assert names() == before

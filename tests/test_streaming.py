@@ -282,3 +282,27 @@ def test_a_hot_symbol_is_several_tasks(spark, monkeypatch):
     advance_batch(spark, base, 0, os.path.join(base, "candles"), group_rows=500)
     blocks = seen[0].where("symbol = 'H'").select("_blk", F.spark_partition_id().alias("task")).distinct().collect()
     assert len({r["_blk"] for r in blocks}) >= 4 and len({r.task for r in blocks}) >= 3
+
+
+def test_signals_on_streaming_state_equal_the_state_table(spark):
+    """``stream_signals`` keeps the state in Structured Streaming: the same rows."""
+    from candlewick.streaming.candles import CANDLE_STREAM_SCHEMA
+    from candlewick.streaming.signals import stream_signals
+    base = run_folder(spark, "state")
+    for i, rows in enumerate(_hot_batches(120)):
+        _candle_batch(spark, base, i, rows)
+        advance_batch(spark, base, i, os.path.join(base, "candles"))
+        folder = os.path.join(base, "candles", f"batch={i:012d}")
+        for f in os.listdir(folder):
+            os.utime(os.path.join(folder, f), (1_000_000 + i, 1_000_000 + i))
+    files = [len([f for f in os.listdir(os.path.join(base, "candles", d)) if f.endswith(".parquet")])
+             for d in sorted(os.listdir(os.path.join(base, "candles")))]
+    stream = (spark.readStream.schema(CANDLE_STREAM_SCHEMA).option("maxFilesPerTrigger", files[0])
+              .parquet(os.path.join(base, "candles", "batch=*")))
+    q = (stream_signals(stream).writeStream.format("parquet").option("path", os.path.join(base, "out"))
+         .option("checkpointLocation", os.path.join(base, "_ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(os.path.join(base, "out")).where("symbol <> 'N'")
+    exp = read_signals(spark, os.path.join(base, "signals")).where("symbol <> 'N'")
+    assert sorted(map(str, got.where("NOT late").select(exp.columns).collect())) == sorted(map(str, exp.collect()))
+    assert sorted(r.close for r in got.where("late").collect()) == [1.5, 7.0]
