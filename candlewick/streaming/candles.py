@@ -98,9 +98,10 @@ def measured_lag(spark: SparkSession, path: str) -> tuple[int | None, int]:
 SPARE_MS = 2  # the watermark drops a tick at its own millisecond too, and both ends are cut to milliseconds
 
 
-def admissions(spark: SparkSession, path: str, max_files: int) -> list[tuple[list[str], int]]:
+def admissions(spark: SparkSession, path: str, max_files: int) -> tuple[list[tuple[list[str], int]], bool]:
     """A whole ``events`` table in event-time order: (names of files, delay in
-    milliseconds) of each step, in turn.
+    milliseconds) of each step, in turn, and whether the last step has the
+    newest tick (else windows stay open, see ``repeat_newest_tick``).
 
     Files are admitted by their oldest tick, ``max_files`` at a time, whenever
     they were written.  After a step the watermark may reach the oldest tick of
@@ -116,8 +117,16 @@ def admissions(spark: SparkSession, path: str, max_files: int) -> list[tuple[lis
         part = files[i:i + max_files]
         newest = max([f.hi for f in part] + ([] if newest is None else [newest]))
         ahead = newest // 1000 + SPARE_MS - files[i + max_files].lo // 1000 if i + max_files < len(files) else 0
+        ends = max(f.hi for f in part) == newest
         steps.append(([unquote(f.name) for f in part], max(0, ahead)))  # the metadata is URL-encoded
-    return steps
+    return steps, not steps or ends
+
+
+def repeat_newest_tick(spark: SparkSession, path: str, folder: str) -> None:
+    """Deliver the newest tick of ``events`` once more, so that the watermark
+    reaches it; as a tick that came already it is in no candle."""
+    ticks = spark.read.schema(EVENTS_SCHEMA).parquet(path).where(_is_tick())
+    ticks.orderBy(F.col("ts").desc()).limit(1).coalesce(1).write.mode("append").parquet(folder)
 
 
 def stream_candles(ticks: DataFrame, interval: str, delay: str, dedupe: bool = True) -> DataFrame:

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from candlewick.functions.timefn import micros
 from candlewick.session import checkpoint_dir, materialize
 from candlewick.streaming.candles import (
-    CANDLE_STREAM_SCHEMA, Landing, admissions, batch_folder, event_tick_stream, land, landed_glob, stream_candles,
-    write_batch)
+    CANDLE_STREAM_SCHEMA, Landing, admissions, batch_folder, event_tick_stream, land, landed_glob, repeat_newest_tick,
+    stream_candles, write_batch)
 from candlewick.streaming.blocked import advance_blocked
 from candlewick.streaming.signals import OUT_SCHEMA, STATE_TABLE, advance
 
@@ -38,6 +38,11 @@ MAX_FILES = 64  # tick files of one batch
 GROUP_ROWS = 50_000  # candles of a symbol that one task folds; a batch with more of one goes in blocks
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def landed_ids(spark: SparkSession, out_dir: str) -> list[int]:
     """Ids of the batches in ``out_dir``, ascending."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_dir)
@@ -79,8 +84,8 @@ def run_candle_stream(spark: SparkSession, events_path: str, interval: str, dela
 
     ``delay=None`` is for a whole table and a fresh ``base``: its files are
     admitted in event-time order (``admissions``), each step a run of the same
-    query with the delay that the files to come need, the last without; a
-    dropped tick is an error.  The most rows that the state held after a batch
+    query with the delay that the files to come need, the last without (and the
+    newest tick once more, if it came earlier); a dropped tick is an error.  The most rows that the state held after a batch
     are written beside the dropped ticks."""
     base = base or run_folder(spark, "candles")
     out = os.path.join(base, "candles")
@@ -89,12 +94,20 @@ def run_candle_stream(spark: SparkSession, events_path: str, interval: str, dela
     if whole:
         if landed_ids(spark, out):
             raise ValueError(f"event-time order needs a fresh folder, {out} has batches")
-        steps = [(event_tick_stream(spark, events_path, names=names), f"{ms} milliseconds")
-                 for names, ms in admissions(spark, events_path, max_files) or [(None, 0)]]
+        again = os.path.join(base, "again")
+        make_folder(spark, again)
+        plan, ends = admissions(spark, events_path, max_files)
+        plan = plan or [(None, 0)]
+        steps = [(names, f"{ms} milliseconds") for names, ms in (plan if ends else [*plan, plan[-1]])]
     else:
-        steps = [(event_tick_stream(spark, events_path, max_files), delay)]
+        steps = [(None, delay)]
     dropped = held = 0
-    for ticks, delay in steps:
+    for i, (names, delay) in enumerate(steps):
+        ticks = event_tick_stream(spark, events_path, None if whole else max_files, names)
+        if whole:
+            if i == len(plan):
+                repeat_newest_tick(spark, events_path, again)
+            ticks = ticks.unionByName(event_tick_stream(spark, again))
         landing = Landing()
         q = land(stream_candles(ticks, interval, delay), out, os.path.join(base, "_ckpt_candles"), then=then,
                  landing=landing)

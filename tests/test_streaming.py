@@ -182,7 +182,7 @@ def test_whole_table_fails_on_dropped_ticks(spark, monkeypatch):
     for i in range(4):
         os.utime(os.path.join(src, f"part-{i:03d}.parquet"), (1_000_000 - i, 1_000_000 - i))
     real = jobs.admissions
-    monkeypatch.setattr(jobs, "admissions", lambda *a: [(names, 0) for names, _ in reversed(real(*a))])
+    monkeypatch.setattr(jobs, "admissions", lambda *a: ([(names, 0) for names, _ in reversed(real(*a)[0])], True))
     with pytest.raises(RuntimeError, match="dropped"):
         run_candle_stream(spark, src, "4 hours", delay=None, max_files=1)
 
@@ -223,8 +223,8 @@ def test_state_is_bounded_by_the_overlap_of_files(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW events AS SELECT * FROM '{src}/*.parquet'")
     assert con.sql("SELECT count(*) FROM events").fetchall()[0][0] == n
-    steps = admissions(spark, src, 25)
-    assert [len(names) for names, _ in steps] == [25] * 8 and steps[-1][1] == 0
+    steps, ends = admissions(spark, src, 25)
+    assert ends and [len(names) for names, _ in steps] == [25] * 8 and steps[-1][1] == 0
     assert sorted(x for names, _ in steps for x in names) == sorted(os.listdir(src))
     base = run_folder(spark, "overlap")
     out = run_candle_stream(spark, src, "1 hour", None, base, max_files=25)
