@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +39,46 @@ def test_labels_outside_the_training_rows_are_not_used(spark):
     assert a.prior == b.prior and (a.weights == b.weights).all()
 
 
+def test_toxic_labels_outside_the_training_rows_are_not_used(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    use = fold("doc_id", 3) != 1
+    turned = labels.withColumn("toxic", F.when(use, F.col("toxic")).otherwise(1 - F.col("toxic")))
+    a, b = (toxicity.fit(docs, x, use) for x in (labels, turned))
+    assert a.lexicon == b.lexicon and a.share == b.share and a.lexicon["words"]
+    assert a.trees.toDebugString.split("\n", 1)[1] == b.trees.toDebugString.split("\n", 1)[1]
+    assert (a.calibration.boundaries, a.calibration.predictions) == (b.calibration.boundaries, b.calibration.predictions)
+
+
+def test_quality_scores_equal_brute_force(spark):
+    """The piecewise-linear scorer by hand: a weight for each step between knots."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").limit(300)
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    model = quality.fit(spark.read.parquet(f"{SF01}/documents.parquet"), labels, fold("doc_id", 3) != 1)
+    table = quality._classes()
+    for r in quality.score(docs, model, out="score").collect():
+        x, total, i = quality.statistics(r.text, table), model.bias, 0
+        for value, knots in zip(x, model.knots):
+            for a, b in zip(knots, knots[1:]):
+                total += float(model.weights[i]) * min(1.0, max(0.0, (value - a) / (b - a)))
+                i += 1
+        assert i == len(model.weights)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-4)
+
+
+def test_toxicity_scores_equal_brute_force(spark):
+    """Trees added up and the isotonic steps interpolated by hand."""
+    from pyspark.ml.linalg import Vectors
+    every = spark.read.parquet(f"{SF01}/documents.parquet")
+    model = toxicity.fit(every, spark.read.parquet(f"{SF01}/labels.parquet"), fold("doc_id", 3) != 1)
+    trees, weights = model.trees.trees, model.trees.treeWeights
+    steps, values = list(model.calibration.boundaries), list(model.calibration.predictions)
+    for r in toxicity.score(every.limit(60), model, out="score").collect():
+        x = Vectors.dense(toxicity.features(r.text, model.lexicon["words"], model.lexicon["stems"]))
+        margin = sum(w * t.predict(x) for w, t in zip(weights, trees))
+        assert r.score == pytest.approx(min(1.0, max(0.0, float(np.interp(margin, steps, values)))), abs=1e-9)
+
+
 def test_prior_estimate_and_risk():
     rng = np.random.default_rng(0)
     for share in (0.3, 0.8):
