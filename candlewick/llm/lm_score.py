@@ -200,8 +200,10 @@ class Automaton:
 
     States are numbered: 0 has no context; then come, for k = 1 to order - 1,
     the context before a text's first token and the n-grams of k tokens.
-    ``arcs`` maps state * words + token to (weight, next state) and
-    ``fails`` a state to (weight, next shorter state)."""
+    Arc number t is that of state 0 and token t; ``arcs`` maps state * words +
+    token of the other states to the number of their arc.  An arc has a weight
+    and the state that it leads to, ``fails`` has (weight, next shorter state)
+    of each state."""
 
     def __init__(self, grams: list, counts: list, first, tokens: int, distinct: int, ends: int, mu: float):
         """``grams[k]``: at each position the number of its n-gram of k + 1
@@ -219,7 +221,7 @@ class Automaton:
             """The state after an n-gram of k tokens that training has (0: none)."""
             return np.where(counts[k - 1][gram] > 0, offset[k - 1] + 1 + gram, 0) if k else np.zeros(len(gram), np.int64)
 
-        keys, weights, following = [np.arange(self.words)], [self.base_weight], [state(min(1, order - 1), np.arange(self.words))]
+        keys, weights, following = [np.zeros(0, np.int64)], [self.base_weight], [state(min(1, order - 1), np.arange(self.words))]
         fail_weight, fail_to, lower = [np.zeros(1)], [np.zeros(1, np.int64)], base
         for k in range(1, order):
             # of each n-gram of k + 1 tokens one place tells its context, its token and its suffix
@@ -243,22 +245,23 @@ class Automaton:
             have = np.concatenate([[ends], counts[k - 1]])
             fail_weight.append(np.log10(mu / (have + mu)))
             fail_to.append(np.concatenate([[offset[k - 2] if k > 1 else 0], shorter]))
-        self.arcs = dict(zip(np.concatenate(keys).tolist(),
-                             zip(np.concatenate(weights).tolist(), np.concatenate(following).tolist())))
+        keys = np.concatenate(keys).tolist()
+        self.arcs = dict(zip(keys, range(self.words, self.words + len(keys))))
+        self.weights, self.following = np.concatenate(weights).tolist(), np.concatenate(following).tolist()
         self.fails = list(zip(np.concatenate(fail_weight).tolist(), np.concatenate(fail_to).tolist()))
 
     def traverse(self, tokens: list[int]) -> float:
         """log10 probability of a text, read from left to right."""
-        arcs, fails, words = self.arcs, self.fails, self.words
+        arc_of, weights, following, fails, words = self.arcs.get, self.weights, self.following, self.fails, self.words
         state, total = self.start, 0.0
         for t in tokens:
-            arc = arcs.get(state * words + t)
+            arc = arc_of(state * words + t) if state else t
             while arc is None:
                 weight, state = fails[state]
                 total += weight
-                arc = arcs.get(state * words + t)
-            total += arc[0]
-            state = arc[1]
+                arc = arc_of(state * words + t) if state else t
+            total += weights[arc]
+            state = following[arc]
         return total
 
 
