@@ -11,9 +11,12 @@ Python worker: pre-tokens that the table misses are encoded by the library in
 batches and remembered.  The cache is emptied when it reaches
 ``cache_entries``; that costs time, never a result.  No pre-token is shuffled.
 
-Texts that hold an added token's string, or a character outside the range for
-which both regular-expression engines are known to agree, go whole to the
-library.  So every count is the library's.
+Texts of any script are split, by an engine other than the library's.  The
+pattern knows a character only by its class, so the two agree on a text if they
+agree on each of its characters; each character outside ``COMMON`` is tested
+once in a worker.  Texts that hold a character on which they differ (in newer
+versions of Unicode than one of them has), or an added token's string, go whole
+to the library.  So every count is the library's.
 
 Edge cases: null text counts as empty and has 0 tokens.  Texts are never
 truncated.  An empty table gives an empty result.  Other columns pass through;
@@ -39,10 +42,11 @@ CACHE_ENTRIES = 400_000    # of a worker's cache
 
 # Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Characters on whose classes the engines agree: printable ASCII, tab, line
-# feed, carriage return, Latin-1 letters and signs, Latin Extended-A, the
-# usual typographic quotes, dashes, bullet and ellipsis.
-UNSAFE = r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-ſ–—‘’“”•…€]"
+# Characters on whose classes the engines agree, so that they need no test:
+# printable ASCII, tab, line feed, carriage return, Latin-1 letters and signs,
+# Latin Extended-A, the usual typographic quotes, dashes, bullet and ellipsis.
+COMMON = r"[\t\n\r\x20-\x7e\xa1-\xac\xae-ſ–—‘’“”•…€]"
+OTHERS = COMMON.replace("[", "[^", 1)
 
 
 def supports(tokenizer_json: str) -> bool:
@@ -82,6 +86,29 @@ def frequent_pieces(df: DataFrame, text: str, k: int = FREQUENT, tracked: int =
     return [] if row is None else [x["item"] for x in row.top]
 
 
+class Agreement:
+    """Whether splitting here gives the library's pre-tokens."""
+
+    def __init__(self, tok):
+        import regex
+
+        self.pre, self.findall = tok.pre_tokenizer, regex.compile(PATTERN).findall
+        self.others = regex.compile(OTHERS).findall
+        self.tested: dict[str, bool] = {}
+
+    def same_class(self, c: str) -> bool:
+        """The character next to a letter, a digit, a sign and a space, each of
+        which a character of its own class joins, splits alike."""
+        if c not in self.tested:
+            probe = f"a{c}1{c}.{c} {c}"
+            theirs = [probe[a:b] for _, (a, b) in self.pre.pre_tokenize_str(probe)]
+            self.tested[c] = theirs == self.findall(probe)
+        return self.tested[c]
+
+    def on(self, text: str) -> bool:
+        return all(map(self.same_class, set(self.others(text))))
+
+
 class _Lengths(dict):
     """Worker cache of pre-token lengths over the broadcast table."""
 
@@ -100,7 +127,7 @@ class _Lengths(dict):
             self.update(zip(part, _lengths(self.tok, part)))
 
 
-def _count(texts: list, tok, cache: _Lengths, findall, unsafe, added: list[str]) -> list[int]:
+def _count(texts: list, tok, cache: _Lengths, agreement: Agreement | None, added: list[str]) -> list[int]:
     out, whole = [0] * len(texts), []
     i = 0
     while i < len(texts):
@@ -111,10 +138,11 @@ def _count(texts: list, tok, cache: _Lengths, findall, unsafe, added: list[str])
             t = texts[i]
             if t:
                 chars += len(t)
-                if unsafe(t) or any(a in t for a in added):
+                # without the two-tier form's premises every text goes to the library
+                if agreement is None or any(a in t for a in added) or not agreement.on(t):
                     whole.append(i)
                 else:
-                    toks = findall(t)
+                    toks = agreement.findall(t)
                     seen.update(toks)
                     run.append((i, toks))
             i += 1
@@ -130,8 +158,6 @@ def count_tokens(df: DataFrame, tokenizer_file: str, text: str = "text", out: st
                  frequent: int = FREQUENT, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
     """Add column ``out``: the number of tokens of ``text`` without begin, end
     or other added special tokens."""
-    import regex
-
     spark = df.sparkSession
     bounded_batches(spark)
     with open(tokenizer_file, encoding="utf-8") as f:
@@ -140,27 +166,23 @@ def count_tokens(df: DataFrame, tokenizer_file: str, text: str = "text", out: st
     table: dict[str, int] = {}
     exact = supports(tokenizer_json)
     if exact:
-        split, bad = regex.compile(PATTERN), regex.compile(UNSAFE)
-        pieces = [f" {p}" for p in frequent_pieces(df, text, frequent) if not bad.search(p)]
-        words = sorted({t for p in pieces for t in split.findall(p)})
-        table = dict(zip(words, _lengths(_tokenizer(tokenizer_json), words)))
+        tok = _tokenizer(tokenizer_json)
+        agreement = Agreement(tok)
+        pieces = [f" {p}" for p in frequent_pieces(df, text, frequent) if agreement.on(p)]
+        words = sorted({t for p in pieces for t in agreement.findall(p)})
+        table = dict(zip(words, _lengths(tok, words)))
     shared, name = spark.sparkContext.broadcast((tokenizer_json, table)), uuid.uuid4().hex
 
     @F.arrow_udf("long")
     def counts(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import regex
-
         store = worker_cache()
         at = ("token_count", name)
         if at not in store:
             store.clear()  # one tokenizer at a time
             tok = _tokenizer(shared.value[0])
-            store[at] = tok, _Lengths(tok, shared.value[1], cache_entries)
-        tok, cache = store[at]
-        findall = regex.compile(PATTERN).findall
-        # without the two-tier form's premises every text goes to the library
-        unsafe = regex.compile(UNSAFE).search if exact else (lambda t: True)
+            store[at] = tok, _Lengths(tok, shared.value[1], cache_entries), Agreement(tok) if exact else None
+        tok, cache, agreement = store[at]
         for texts in it:
-            yield pa.array(_count(texts.to_pylist(), tok, cache, findall, unsafe, added), pa.int64())
+            yield pa.array(_count(texts.to_pylist(), tok, cache, agreement, added), pa.int64())
 
     return df.withColumn(out, counts(F.coalesce(F.col(text), F.lit(""))))

@@ -1,13 +1,15 @@
 import numpy as np
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from sentencepiece import sentencepiece_model_pb2 as pb
 from tokenizers import Tokenizer
 
 from candlewick.llm.queries import op7_token_counts, op8_sentencepiece, tokenizer_path
 from candlewick.llm.sentencepiece_codec import (Segments, decode, encode, encode_checked, parse_model, rebuild, restored,
                                                 splits)
-from candlewick.llm.token_count import count_tokens
+from candlewick.llm.token_count import Agreement, count_tokens, _count, _Lengths
 from tests.conftest import SF001
 from tests.llm.helpers import TEXTS, edge_docs, empty_docs
 
@@ -37,6 +39,34 @@ def test_odd_texts_small_cache_and_edges(spark, name, cache):
     assert count_tokens(empty_docs(spark), tokenizer_path(name)).count() == 0
 
 
+SCRIPTS = ["Съешь ещё этих мягких булок, да выпей чаю 2024!", "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία.", "نص عربي ١٢٣ مع أرقام",
+           "敏捷的棕色狐狸 跳过\u3000懒狗。一二三", "สวัสดีชาวโลก ๑๒๓", "हिन्दी में पाठ १२३ है", "שלום עולם", "こんにちは、世界 ①②",
+           "한국어 문장\u2028입니다 \u00a0 x", "e\u0301 o\u0308 \u200d\u200b zero", "Ⅻ ½ 𝟘𝟙 𝓪𝓫 😀👩‍👩‍👧"]
+
+
+def test_every_script_goes_through_the_lookup():
+    """Counts are the library's though no text is given to it whole, but for characters that the engines class apart."""
+    tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    agreement, cache = Agreement(tok), _Lengths(tok, {}, 1000)
+    assert all(map(agreement.on, SCRIPTS))
+    expected = [len(tok.encode(t, add_special_tokens=False)) for t in SCRIPTS]
+    assert _count(SCRIPTS, None, cache, agreement, ["<|endoftext|>"]) == expected
+    apart = [c for c in map(chr, [*range(0x80, 0xd800), *range(0xe000, 0x1f000)]) if not agreement.same_class(c)]
+    assert len(apart) < 3000
+    for c in apart[:50]:
+        t = f"before {c}{c} after{c}1"
+        assert not agreement.on(t)
+        assert _count([t], tok, cache, agreement, []) == [len(tok.encode(t, add_special_tokens=False))]
+
+
+@given(st.text(max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_counts_of_any_text(text):
+    tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    got = _count([text], tok, _Lengths(tok, {}, 1000), Agreement(tok), ["<|endoftext|>"])
+    assert got == [len(tok.encode(text, add_special_tokens=False))]
+
+
 def test_sentencepiece_query(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
     text = {r.doc_id: r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
