@@ -22,10 +22,13 @@ counts to model partitions (ranges of the n-gram hash); a partition adds them
 up and answers every block with what others add to the counts that it sent,
 in the order sent, so the answer needs no keys.  A block then builds the part of
 the automaton that its texts can reach and traverses it.  Hot words are one row
-for each block.  Blocks, partitions and their number grow with the input; one
-block or partition is one task's unit of bounded size (a single longer text is
-a block's excess).  Everything is one plan of shuffles, which survives lost
-executors.
+for each block.  A block sends nothing to a partition of which it has no n-gram,
+so there are at most as many rows as distinct n-grams of the blocks, which grow
+in proportion to the input.  What every block must know, N, V and the number of
+training texts, is summed by an aggregate of its own and reaches a block as one
+row.  Blocks, partitions and their number grow with the input; one block or
+partition is one task's unit of bounded size (a single longer text is a block's
+excess).  Everything is one plan of shuffles, which survives lost executors.
 
 N-grams are known by 64-bit hashes: of n distinct ones about n^2 / 2^65 pairs
 collide, e.g. one in ten thousand corpora of 6e7 n-grams has such a pair.
@@ -41,6 +44,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from candlewick.llm.common import bounded_batches
 
@@ -51,7 +55,8 @@ PARTITION_KEYS = 2 << 20
 BYTES_A_TOKEN = 6  # about; only sizes partitions
 
 _SENT = "gram int, part int, block int, keys binary, counts binary"
-_ANSWER = "block int, gram int, part int, others binary, tokens long, distinct long, ends long"
+_ANSWER = "block int, gram int, part int, others binary"
+_SIZES = "tokens long, distinct long, ends long"
 
 
 def mix(context, token):
@@ -165,8 +170,7 @@ def _sender(order: int, parts: list[int]):
             cut = _cuts(keys, parts[k])
             for p in range(parts[k]):
                 a, b = cut[p], cut[p + 1]
-                # every partition of words hears from every block, to tell it the totals
-                if b > a or k == 0:
+                if b > a:
                     for name, x in zip(out, (k, p, key[0].as_py(), pack_keys(keys[a:b]), pack(counts[a:b]))):
                         out[name].append(x)
         return pa.table(out, pa.schema([("gram", pa.int32()), ("part", pa.int32()), ("block", pa.int32()),
@@ -174,25 +178,36 @@ def _sender(order: int, parts: list[int]):
     return send
 
 
-def _total(key, rows):
-    """One model partition: totals of its n-grams, told to each block."""
+def _added(rows):
+    """One model partition: its n-grams with their totals; what each block sent, and where it is among them."""
     import numpy as np
 
-    gram, part = key[0].as_py(), key[1].as_py()
     sent = [unpack_keys(x) for x in rows["keys"].to_pylist()]
     counts = [unpack(x, len(s)) for x, s in zip(rows["counts"].to_pylist(), sent)]
     keys, at = np.unique(np.concatenate(sent), return_inverse=True)
-    totals = np.bincount(at, np.concatenate(counts), len(keys)).astype(np.int64)
+    return keys, np.bincount(at, np.concatenate(counts), len(keys)).astype(np.int64), at, counts
+
+
+def _total(key, rows):
+    """One model partition: totals of its n-grams, told to each block that sent any."""
+    import numpy as np
+
+    _, totals, at, counts = _added(rows)
     # what other blocks add to a block's own count, mostly nothing
-    answers = np.split(totals[at], np.cumsum([len(s) for s in sent])[:-1])
-    answers = [a - c for a, c in zip(answers, counts)]
-    n = len(sent)
-    end = int(totals[keys == np.uint64(end_key())].sum()) if gram == 0 else 0
-    return pa.table({"block": rows["block"], "gram": pa.array([gram] * n, pa.int32()), "part": pa.array([part] * n, pa.int32()),
-                     "others": pa.array([pack(x) for x in answers], pa.binary()),
-                     "tokens": pa.array([int(totals.sum())] * n, pa.int64()),
-                     "distinct": pa.array([int((totals > 0).sum())] * n, pa.int64()),
-                     "ends": pa.array([end] * n, pa.int64())})
+    answers = np.split(totals[at], np.cumsum([len(c) for c in counts])[:-1])
+    return pa.table({"block": rows["block"], "gram": rows["gram"], "part": rows["part"],
+                     "others": pa.array([pack(a - c) for a, c in zip(answers, counts)], pa.binary())})
+
+
+def _sizes(key, rows):
+    """One partition of words: its training tokens, distinct ones and ends of texts (of other n-grams no row)."""
+    import numpy as np
+
+    found: list = [[], [], []]
+    if key[0].as_py() == 0:
+        keys, totals, _, _ = _added(rows)
+        found = [[int(totals.sum())], [int((totals > 0).sum())], [int(totals[keys == np.uint64(end_key())].sum())]]
+    return pa.table(dict(zip(("tokens", "distinct", "ends"), (pa.array(x, pa.int64()) for x in found))))
 
 
 class Automaton:
@@ -265,11 +280,13 @@ class Automaton:
         return total
 
 
-def _scorer(order: int, parts: list[int], mu: float, id_col: str):
+def _scorer(order: int, parts: list[int], mu: float, id_col: str, result: pa.Schema):
     def score(key, docs, answers):
         """One block: build its part of the automaton and traverse its texts."""
         import numpy as np
 
+        if not docs.num_rows:  # a block that no text fell into
+            return pa.table({f.name: pa.array([], f.type) for f in result})
         grams, _, first = grams_of(docs["text"].to_pylist(), order)
         train = np.repeat(np.asarray(docs["train"].to_pylist(), np.float64), np.diff(first))
         got = {(r["gram"], r["part"]): r for r in answers.to_pylist()}
@@ -281,8 +298,7 @@ def _scorer(order: int, parts: list[int], mu: float, id_col: str):
             counts.append(own + np.concatenate([unpack(got[k, p]["others"], cut[p + 1] - cut[p]) for p in range(parts[k])
                                                 if cut[p + 1] > cut[p]]))
             at.append(inverse)
-        words = [got[0, p] for p in range(parts[0])]
-        tokens, distinct, ends = (sum(r[x] for r in words) for x in ("tokens", "distinct", "ends"))
+        tokens, distinct, ends = (got[None, None][x] for x in ("tokens", "distinct", "ends"))
         begins = first[:-1]
         machine = Automaton(at, counts, first, tokens, distinct, ends, mu)
         scores = [machine.traverse(at[0][a:b].tolist()) for a, b in zip(first[:-1], first[1:])]
@@ -317,9 +333,14 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
                        F.coalesce(train, F.lit(False)).alias("train"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64(id_col, "text"), F.lit(blocks)).cast("int"))
     sent = rows.groupBy("block").applyInArrow(_sender(order, parts), _SENT)
-    answers = sent.groupBy("gram", "part").applyInArrow(_total, _ANSWER)
-    field = rows.schema[id_col]
-    schema = (f"`{id_col}` {field.dataType.simpleString()}, train boolean, n_tokens long, n_known long, "
-              "train_tokens long, base_score double, score double")
+    messages = sent.groupBy("gram", "part")  # one exchange, read twice
+    sizes = messages.applyInArrow(_sizes, _SIZES).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                                                        for c in ("tokens", "distinct", "ends")])
+    sizes = sizes.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "*")
+    answers = messages.applyInArrow(_total, _ANSWER).unionByName(sizes, allowMissingColumns=True)
+    result = rows.select(id_col, "train").schema
+    for name in ("n_tokens", "n_known", "train_tokens"):
+        result = result.add(name, "long")
+    result = result.add("base_score", "double").add("score", "double")
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _scorer(order, parts, mu, id_col), schema)
+        _scorer(order, parts, mu, id_col, to_arrow_schema(result)), result)

@@ -3,10 +3,11 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from candlewick.llm.lm_score import Automaton, grams_of, MU, score_documents
+from candlewick.llm.lm_score import _sender, Automaton, grams_of, MU, score_documents
 from candlewick.llm.queries import op2_lm_score
 from tests.conftest import SF001
 from tests.llm.helpers import TEXTS, edge_docs, empty_docs
@@ -110,6 +111,23 @@ def test_state_is_carried(order):
     assert after(a, unknown) == pytest.approx(machine.base_weight[c])
 
 
+def test_messages_are_no_more_than_ngrams():
+    """However many partitions there are, a block sends rows to those of its n-grams alone."""
+    docs = pa.table({"text": ["a b a b c", "c a"], "train": [True, False]})
+    sent = _sender(2, [1 << 12, 1 << 14])((pa.scalar(3),), docs)
+    assert sent.num_rows <= 4 + 8  # a, b, c and the end; ^a ab ba bc c$ ^c ca a$
+    assert len(set(zip(sent["gram"].to_pylist(), sent["part"].to_pylist()))) == sent.num_rows
+
+
+def test_blocks_are_sent_once(spark):
+    """Totals and sizes read one exchange of n-grams, and more blocks than texts change nothing."""
+    docs = spark.createDataFrame([(i, f"w{i} common words of {i % 3}") for i in range(40)], "doc_id long, text string")
+    got = score_documents(docs, F.col("doc_id") != 7, block_bytes=8, partition_keys=2)
+    close([tuple(r) for r in got.collect()], brute([(r.doc_id, r.text, r.doc_id != 7) for r in docs.collect()]))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("send(") == 1 and "Reused" in plan
+
+
 def test_no_rows_and_no_training(spark):
     assert score_documents(empty_docs(spark), F.lit(True)).count() == 0
     got = score_documents(edge_docs(spark), F.lit(False)).collect()
