@@ -15,9 +15,10 @@ Scorer: logistic in piecewise-linear features.  Dense text statistics are cut
 at quantiles of the unlabelled sample, and every step has a weight.
 
 Bounded sample: the fit uses at most about ``sample`` positives and as many
-unlabelled rows (documented parameter), picked by a hash of the id; only their
-dense statistics, never texts, reach the driver.  Scoring covers all rows and
-whole texts.
+unlabelled rows (documented parameter), picked by hashes of id and text; rows
+equal in both are one, so the bound holds however often an id or a row repeats.
+Only the sample's dense statistics, never texts, reach the driver.  Scoring
+covers all rows and whole texts.
 
 Edge cases: null and empty texts have all statistics zero and get a score like
 any other text.  A document labelled more than once is positive if all its
@@ -214,10 +215,15 @@ def with_statistics(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn(out, measured(F.col(text)))
 
 
-def picked(id_col: str, wanted: int, there: int, salt: str) -> Column:
-    """A row's id hash is among the first wanted / there of all."""
+def picked(by: list[str], wanted: int, there: int, salt: str) -> Column:
+    """The hash of a row's columns ``by`` is among the first wanted / there of all."""
     share = 1.0 if there <= wanted else wanted / there
-    return F.pmod(F.xxhash64(id_col, F.lit(salt)), F.lit(1 << 30)) < int(share * (1 << 30))
+    return F.pmod(F.xxhash64(*by, F.lit(salt)), F.lit(1 << 30)) < int(share * (1 << 30))
+
+
+def bounded(rows: DataFrame, wanted: int, salt: str) -> DataFrame:
+    """About ``wanted`` rows at most, whatever repeats; equal rows are one."""
+    return rows.where(picked(rows.columns, wanted, rows.count(), salt)).dropDuplicates()
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col: str = "doc_id", text: str = "text",
@@ -228,10 +234,10 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col:
     rows = docs.select(id_col, text).where(use)
     positives = (labels.where(use & F.col(label).isNotNull()).groupBy(id_col)
                  .agg(F.min(label).alias("_label")).where("_label = 1").select(id_col))
-    some_p = positives.where(picked(id_col, sample, positives.count(), "positive"))
-    some_u = rows.where(picked(id_col, sample, rows.count(), "unlabelled"))
-    # broadcast: about ``sample`` ids, whatever the size of the tables
-    some_p = rows.join(F.broadcast(some_p), id_col, "left_semi")
+    some_p = positives.where(picked([id_col], sample, positives.count(), "positive"))
+    # broadcast: about ``sample`` ids, whatever the size of the tables; an id may have many rows
+    some_p = bounded(rows.join(F.broadcast(some_p), id_col, "left_semi"), sample, "rows of positives")
+    some_u = bounded(rows, sample, "unlabelled")
 
     def matrix(df: DataFrame) -> list:
         # a stable order: the fit must not depend on that of the tasks

@@ -1,7 +1,8 @@
 """Toxicity by gradient-boosted trees over dense features, isotonically calibrated.
 
 Fit, on a bounded sample of labelled rows (at most about ``sample`` toxic and
-as many clean ones, picked by a hash of the id):
+as many clean ones, picked by hashes of id and text; rows equal in both are
+one, so the bound holds however often an id or a row repeats):
 
 1. Lexicon: words and word beginnings (four and five letters) whose document
    counts among toxic and clean rows differ beyond chance (likelihood-ratio
@@ -37,10 +38,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import bounded_batches, free_name
-from candlewick.llm.quality import picked
+from candlewick.llm.quality import bounded, picked
 from candlewick.session import materialize
 
 SAMPLE = 20_000
+SAMPLE_PARTITIONS = 64
 LEXICON = 4_096
 EVIDENCE = 24.0   # of the likelihood-ratio test, about one in a million by chance
 NEAR = 5          # words between a hit and a second-person word
@@ -179,11 +181,15 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col:
     n = told.agg(F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad"), F.count(F.lit(1)).alias("all")).head()
     n_bad, n_good = int(n.bad), int(n.all - n.bad)
     share = n_bad / n.all if n.all else 0.0
-    some = told.where(F.when(F.col("_bad") == 1, picked(id_col, sample, n_bad, "toxic"))
-                      .otherwise(picked(id_col, sample, n_good, "clean")))
-    # broadcast: about twice ``sample`` ids, whatever the size of the tables
-    rows = materialize(docs.select(id_col, text).where(use).join(F.broadcast(some), id_col)
-                       .withColumn("_part", F.pmod(F.xxhash64(id_col, F.lit("part")), F.lit(4))))
+    some = told.where(F.when(F.col("_bad") == 1, picked([id_col], sample, n_bad, "toxic"))
+                      .otherwise(picked([id_col], sample, n_good, "clean")))
+    # broadcast: about twice ``sample`` ids, whatever the size of the tables; an id may have many rows
+    of_ids = docs.select(id_col, text).where(use).join(F.broadcast(some), id_col)
+    rows = (bounded(of_ids.where("_bad = 1"), sample, "rows of toxic")
+            .unionByName(bounded(of_ids.where("_bad = 0"), sample, "rows of clean")))
+    # in a stable order: trees must not depend on that of the tasks
+    rows = rows.repartition(SAMPLE_PARTITIONS, id_col).sortWithinPartitions(id_col, F.xxhash64(text))
+    rows = materialize(rows.withColumn("_part", F.pmod(F.xxhash64(id_col, F.lit("part")), F.lit(4))))
     fitted = rows.where("_part > 0")
     lexicon = mine_lexicon(fitted, text, "_bad")
     per_class = {r["_bad"]: r["n"] for r in rows.where("_part > 0").groupBy("_bad").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -50,6 +50,33 @@ def test_toxic_labels_outside_the_training_rows_are_not_used(spark):
     assert (a.calibration.boundaries, a.calibration.predictions) == (b.calibration.boundaries, b.calibration.predictions)
 
 
+def test_sample_is_bounded_for_repeated_ids_and_rows(spark):
+    """A third of the rows has one id, another third is one row: neither fills the sample, nor is it left out."""
+    n = 3_000
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(n)] + [(-1, f"text {i}") for i in range(n)]
+                                 + [(-2, "the same")] * n, "doc_id long, text string")
+    got = quality.bounded(docs, 900, "x").collect()
+    assert 500 < len(got) < 700 and len(set(got)) == len(got)  # a tenth of 6,001 distinct rows
+    one = sum(r.doc_id == -1 for r in got)
+    assert 200 < one < 400 and 200 < sum(r.doc_id >= 0 for r in got) < 400
+    assert sorted(got) == sorted(quality.bounded(docs.repartition(7), 900, "x").collect())
+    few = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (None, None), (None, None), (2, "")],
+                                "doc_id long, text string")
+    assert quality.bounded(few, 900, "x").count() == 4
+
+
+def test_fit_with_repeated_ids(spark):
+    """One labelled id with many texts and one row many times: the fits take few of them."""
+    docs = spark.createDataFrame([(1, f"Good words, number {i}, stand here.") for i in range(600)] + [(2, "bad bad idiot")] * 600
+                                 + [(i, f"Some text {i}.") for i in range(3, 600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i != 2 and i % 2), int(i == 2 or i % 5 == 0)) for i in range(1, 600)],
+                                   "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, labels, sample=100)
+    assert 0 < model.prior < 1
+    assert quality.score(docs, model).where("quality_score between 0 and 1").count() == docs.count()
+    assert toxicity.score(docs, toxicity.fit(docs, labels, sample=100)).where("toxicity_score between 0 and 1").count() == docs.count()
+
+
 def test_quality_scores_equal_brute_force(spark):
     """The piecewise-linear scorer by hand: a weight for each step between knots."""
     docs = spark.read.parquet(f"{SF01}/documents.parquet").limit(300)
