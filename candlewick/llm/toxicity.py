@@ -38,11 +38,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import bounded_batches, free_name
-from candlewick.llm.quality import bounded, picked
+from candlewick.llm.quality import picked
 from candlewick.session import materialize
 
 SAMPLE = 20_000
-SAMPLE_PARTITIONS = 64
 LEXICON = 4_096
 EVIDENCE = 24.0   # of the likelihood-ratio test, about one in a million by chance
 NEAR = 5          # words between a hit and a second-person word
@@ -185,10 +184,12 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col:
                       .otherwise(picked([id_col], sample, n_good, "clean")))
     # broadcast: about twice ``sample`` ids, whatever the size of the tables; an id may have many rows
     of_ids = docs.select(id_col, text).where(use).join(F.broadcast(some), id_col)
-    rows = (bounded(of_ids.where("_bad = 1"), sample, "rows of toxic")
-            .unionByName(bounded(of_ids.where("_bad = 0"), sample, "rows of clean")))
+    there = {r["_bad"]: r["n"] for r in of_ids.groupBy("_bad").agg(F.count(F.lit(1)).alias("n")).collect()}
+    by = [id_col, text]
+    rows = of_ids.where(F.when(F.col("_bad") == 1, picked(by, sample, there.get(1, 0), "rows of toxic"))
+                        .otherwise(picked(by, sample, there.get(0, 0), "rows of clean"))).dropDuplicates()
     # in a stable order: trees must not depend on that of the tasks
-    rows = rows.repartition(SAMPLE_PARTITIONS, id_col).sortWithinPartitions(id_col, F.xxhash64(text))
+    rows = rows.sortWithinPartitions(id_col, F.xxhash64(text))
     rows = materialize(rows.withColumn("_part", F.pmod(F.xxhash64(id_col, F.lit("part")), F.lit(4))))
     fitted = rows.where("_part > 0")
     lexicon = mine_lexicon(fitted, text, "_bad")
